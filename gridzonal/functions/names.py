@@ -39,15 +39,20 @@ def run_time_from_marker(marker: Column) -> Column:
     return F.timestamp_add("HOUR", run_hour(marker), date_from_name(marker).cast("timestamp_ntz"))
 
 
-def run_marker(run_time: Column) -> Column:
-    return F.concat(
-        F.lit("datestamp_"),
-        F.date_format(run_time.cast("date"), "yyyyMMdd"),
-        F.lit("_"),
-        F.date_format(run_time, "HH:mm"),
+def clock(time: Column) -> Column:
+    """``HH:MM`` of a TIMESTAMP_NTZ, untouched by the session's time zone."""
+    return F.concat_ws(
+        ":",
+        F.lpad(F.hour(time).cast("string"), 2, "0"),
+        F.lpad(F.minute(time).cast("string"), 2, "0"),
     )
 
 
+def run_marker(run_time: Column) -> Column:
+    day = F.date_format(run_time.cast("date"), "yyyyMMdd")
+    return F.concat(F.lit("datestamp_"), day, F.lit("_"), clock(run_time))
+
+
 def grid_file_name(
     variable: Column, date: Column, stat: str | None = None, prefix: str = "grid"
 ) -> Column:

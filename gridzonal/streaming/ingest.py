@@ -23,25 +23,23 @@ def stream_grid_files(
     variable: Column | None = None,
     run_time: Column | None = None,
     area: tuple[float, float, float, float] | None = None,
-    max_files: int = 1000,
+    max_files: int | None = None,
 ) -> DataFrame:
     """New grid files of a folder as a stream of observations, with their ``source_file``."""
-    files = (
-        spark.readStream.format("binaryFile")
-        .option("maxFilesPerTrigger", max_files)
-        .load(folder)
-        .filter(base_name(F.col("path")).rlike(pattern))
-    )
+    reader = spark.readStream.format("binaryFile")
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    files = reader.load(folder).filter(base_name(F.col("path")).rlike(pattern))
     return to_observations(decode_files(files, area), spec, variable, run_time, source_file=True)
 
 
-def stream_parquet(spark: SparkSession, folder: str, schema: StructType, max_files: int = 1000) -> DataFrame:
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", max_files)
-        .option("recursiveFileLookup", "true")
-        .parquet(folder)
-    )
+def stream_parquet(
+    spark: SparkSession, folder: str, schema: StructType, max_files: int | None = None
+) -> DataFrame:
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(folder)
 
 
 def append_new(
@@ -67,9 +65,10 @@ def replace_runs(
 ) -> StreamingQuery:
     """Store forecast runs so that a file delivered again replaces its earlier rows.
 
-    Each micro-batch overwrites just the partitions it has rows for. The source file is part of the
-    partition key: a run that arrives in several files, or over several batches, is kept
-    whole, and a batch repeated after a failure rewrites the same partitions.
+    Each micro-batch overwrites just the partitions it has rows for, so a batch repeated after a
+    failure rewrites the same partitions. The source file is part of the partition key: a run
+    that arrives in several files, or over several batches, is kept whole. A caller whose partitions
+    gather several files must leave ``max_files`` unset, which reads each delivery as one batch.
     """
 
     def store(batch: DataFrame, _batch_id: int) -> None:
