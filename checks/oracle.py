@@ -121,6 +121,13 @@ CONVERT = """CASE variable
     WHEN 'signup' THEN {v} + CAST(-273.15 AS DOUBLE)
     WHEN 'view' THEN {v} * CAST(40 AS DOUBLE) END"""
 
+MODEL = """CASE event_type
+    WHEN 'click' THEN {v} * (CAST(1 AS DOUBLE) / 1e9)
+    WHEN 'error' THEN {v} * (CAST(1 AS DOUBLE) / 1e6)
+    WHEN 'purchase' THEN {v} * (CAST(1 AS DOUBLE) / CAST(44698 AS DOUBLE))
+    WHEN 'signup' THEN {v} - CAST(-273.15 AS DOUBLE)
+    WHEN 'view' THEN {v} * (CAST(1 AS DOUBLE) / CAST(40 AS DOUBLE)) END"""
+
 MONTH = "CAST(date_trunc('month', date) AS DATE)"
 DAYS = """days AS (
   SELECT variable, CAST(d AS DATE) AS date
@@ -284,7 +291,7 @@ SELECT zone_id, n_vertices, n_outside, CAST(0 AS BIGINT) AS n_long_edges, n_outs
     "replace_runs": f"WITH {FORECAST} SELECT * FROM fc",
     "current_run": f"""WITH {FORECAST}
 SELECT * FROM fc WHERE run_time = (SELECT max(run_time) FROM fc f WHERE f.variable = fc.variable)""",
-    "reanalysis_zone_daily": f"""WITH {OBS_NULL}, {ZONES}, {COVER}, {DAILY_STRICT},
+    "reanalysis_zone_daily": f"""WITH {_obs(MODEL.format(v="CASE WHEN event_id % 97 <> 0 THEN value END"))}, {ZONES}, {COVER}, {DAILY_STRICT},
 z AS (
   SELECT variable, zone_id AS code_muni, date, {_weighted('v_mean')} AS mean,
          {_weighted('v_max')} AS max, {_weighted('v_min')} AS min
@@ -292,7 +299,7 @@ z AS (
 SELECT variable, 'mean' AS stat, code_muni, date, {_r(CONVERT.format(v='mean'))} AS value FROM z
 UNION ALL SELECT variable, 'max', code_muni, date, {_r(CONVERT.format(v='max'))} FROM z
 UNION ALL SELECT variable, 'min', code_muni, date, {_r(CONVERT.format(v='min'))} FROM z""",
-    "forecast_zone_table": f"""WITH {FORECAST}, {ZONES}, {COVER},
+    "forecast_zone_table": f"""WITH {FORECAST.replace("ix, value", "ix, " + MODEL.format(v="value") + " AS value")}, {ZONES}, {COVER},
 z AS (
   SELECT variable, run_time, lead_hour, zone_id AS code_muni, {_weighted('value')} AS mean
   FROM fc JOIN cover USING (iy, ix) GROUP BY variable, run_time, lead_hour, zone_id)

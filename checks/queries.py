@@ -282,12 +282,13 @@ def zonal_forecast(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def reanalysis_zone_daily(spark: SparkSession, sf: str) -> DataFrame:
-    obs = v.grid_obs(spark, sf, with_nulls=True)
+    obs = v.in_model_units(v.grid_obs(spark, sf, with_nulls=True))
     return zone_daily(obs, v.zones(spark, sf), v.GRID, units=v.UNITS)
 
 
 def forecast_zone_table(spark: SparkSession, sf: str) -> DataFrame:
-    return zone_forecast(v.grid_forecast(spark, sf), v.zones(spark, sf), v.GRID, units=v.UNITS)
+    obs = v.in_model_units(v.grid_forecast(spark, sf))
+    return zone_forecast(obs, v.zones(spark, sf), v.GRID, units=v.UNITS)
 
 
 def current_run_table(spark: SparkSession, sf: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridzonal.functions.names import grid_file_name
+from gridzonal.functions.numeric import convert_units
 from gridzonal.operators.series import STATS, melt_stats
 from gridzonal.schema import GridSpec
 
@@ -64,6 +65,13 @@ def grid_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def in_model_units(obs: DataFrame) -> DataFrame:
+    """The values as a model would deliver them, so that conversion brings them to size again."""
+    undo = {name: (1 / scale, 0.0, "") for name, (scale, _offset, _unit) in UNITS.items()}
+    offset = convert_units(F.lit(0.0), F.col("variable"), UNITS)
+    return obs.withColumn("value", convert_units(F.col("value") - offset, F.col("variable"), undo))
+
+
 def _pentagon(shift: float = 0.0) -> Column:
     k = F.col("n_nationkey")
     lon = F.pmod(k, F.lit(5)) * 2.2 + 1.3 + shift
