@@ -269,7 +269,7 @@ def zonal_left_complete(spark: SparkSession, sf: str) -> DataFrame:
     box = footprint(zones, v.GRID)
     daily = grid.daily_cell_stats(v.grid_obs(spark, sf), ["mean"])
     means = zonal.zonal_mean(daily, zone_weights(zones, v.GRID), ["variable", "date"], "v_mean", box.rows)
-    return zonal.complete_zones(means, zones, ["variable", "date"])
+    return zonal.complete_zones(means, zones, v.present_days(spark, sf), ["variable", "date"])
 
 
 def zonal_forecast(spark: SparkSession, sf: str) -> DataFrame:
@@ -447,17 +447,18 @@ def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
 def replace_runs_stream(spark: SparkSession, sf: str) -> DataFrame:
     """A run delivered twice, the second time corrected, keeps only its later rows."""
     work = fresh_path(spark, "runs")
-    runs = v.grid_forecast(spark, sf).withColumn("source_file", names.run_marker(F.col("run_time")))
+    runs = v.grid_forecast(spark, sf)
 
     def deliver(batch: DataFrame, drop: str) -> None:
         batch.write.parquet(f"{work}/landing/{drop}")
         landed = stream_parquet(spark, f"{work}/landing", runs.schema)
-        replace_runs(landed, f"{work}/table", f"{work}/checkpoint").awaitTermination()
+        target, progress = f"{work}/table", f"{work}/checkpoint"
+        replace_runs(landed, target, progress, ["variable", "run_time"]).awaitTermination()
 
     early = runs.filter(F.col("run_time") < F.lit("2024-01-08").cast("timestamp_ntz"))
     deliver(early.withColumn("value", F.lit(-1.0)), "first")
     deliver(runs, "second")
-    return spark.read.schema(runs.schema).parquet(f"{work}/table").drop("source_file")
+    return spark.read.schema(runs.schema).parquet(f"{work}/table").select(*runs.columns)
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridzonal.schema import GridSpec
@@ -30,81 +30,78 @@ def zone_edges(zones: DataFrame) -> DataFrame:
     ``weight`` makes the area under the edges come out positive for shells and negative for
     holes, whichever way the source winds its rings. Rings may be closed or left open.
     """
-    ring = zones.select("zone_id", F.posexplode("rings").alias("ring", "r")).select(
-        "zone_id", "ring", F.col("r.role").alias("role"), F.col("r.pts").alias("pts")
-    )
-    following = F.concat(F.slice("pts", F.lit(2), F.size("pts") - 1), F.slice("pts", 1, 1))
-    # Coordinates relative to the ring's first vertex keep the shoelace sum well conditioned.
-    lon_first, lat_first = F.col("pts")[0]["lon"], F.col("pts")[0]["lat"]
-
-    def add_cross(total: Column, pair: Column) -> Column:
-        a, b = pair["a"], pair["b"]
-        return total + (
-            (a["lon"] - lon_first) * (b["lat"] - lat_first)
-            - (b["lon"] - lon_first) * (a["lat"] - lat_first)
-        )
-
-    wound = (
-        ring.filter(F.size("pts") >= 3)
-        .withColumn("pairs", F.arrays_zip(F.col("pts").alias("a"), following.alias("b")))
-        .withColumn("twice_area", F.aggregate("pairs", F.lit(0.0), add_cross))
-        .withColumn(
-            "weight",
-            (-F.signum("twice_area") * F.when(F.col("role") == "hole", -1).otherwise(1)).cast("int"),
-        )
+    rings = zones.selectExpr("zone_id", "posexplode(rings) AS (ring, r)").where("size(r.pts) >= 3")
+    paired = rings.selectExpr(
+        "zone_id",
+        "ring",
+        "r.role AS role",
+        "zip_with(r.pts, concat(slice(r.pts, 2, size(r.pts) - 1), slice(r.pts, 1, 1)), (a, b) -> struct(a, b)) AS pairs",
     )
-    return wound.select(
-        "zone_id", "ring", "role", "weight", F.posexplode("pairs").alias("edge", "e")
-    ).select(
+    # Twice the shoelace area. Coordinates relative to the first vertex keep it well conditioned.
+    twice_area = """aggregate(pairs, 0D, (total, p) -> total
+        + (p.a.lon - pairs[0].a.lon) * (p.b.lat - pairs[0].a.lat)
+        - (p.b.lon - pairs[0].a.lon) * (p.a.lat - pairs[0].a.lat))"""
+    return paired.selectExpr(
+        "zone_id",
+        "ring",
+        "role",
+        f"CAST(-signum({twice_area}) * if(role = 'hole', -1, 1) AS INT) AS weight",
+        "posexplode(pairs) AS (edge, e)",
+    ).selectExpr(
         "zone_id",
         "ring",
         "role",
         "edge",
-        F.col("e.a.lon").alias("lon_a"),
-        F.col("e.a.lat").alias("lat_a"),
-        F.col("e.b.lon").alias("lon_b"),
-        F.col("e.b.lat").alias("lat_b"),
+        "e.a.lon AS lon_a",
+        "e.a.lat AS lat_a",
+        "e.b.lon AS lon_b",
+        "e.b.lat AS lat_b",
         "weight",
     )
 
 
-def _index(position: Column, origin: float, step: float) -> Column:
-    return F.floor((position - F.lit(origin)) / F.lit(step)).cast("int")
+def _double(number: float) -> str:
+    return f"({float(number)!r}D)"
+
+
+def _index(position: str, origin: float, step: float) -> str:
+    return f"CAST(floor(({position} - {_double(origin)}) / {_double(step)}) AS INT)"
 
 
 def _column_pieces(edges: DataFrame, spec: GridSpec) -> DataFrame:
-    """Edges cut at column borders, left end first: (zone_id, ix, width, ya, yb, sign)."""
-    rightward = F.col("lon_a") < F.col("lon_b")
-    ends = edges.filter("lon_a <> lon_b").select(
+    """Edges cut at column borders, left end first: (zone_id, ix, sign, width, ya, yb)."""
+    ends = edges.where("lon_a <> lon_b").selectExpr(
         "zone_id",
-        (F.when(rightward, 1).otherwise(-1) * F.col("weight")).cast("double").alias("sign"),
-        F.least("lon_a", "lon_b").alias("lx"),
-        F.greatest("lon_a", "lon_b").alias("hx"),
-        F.when(rightward, F.col("lat_a")).otherwise(F.col("lat_b")).alias("ly"),
-        F.when(rightward, F.col("lat_b")).otherwise(F.col("lat_a")).alias("hy"),
+        "CAST(if(lon_a < lon_b, weight, -weight) AS DOUBLE) AS sign",
+        "least(lon_a, lon_b) AS lx",
+        "greatest(lon_a, lon_b) AS hx",
+        "if(lon_a < lon_b, lat_a, lat_b) AS ly",
+        "if(lon_a < lon_b, lat_b, lat_a) AS hy",
     )
-    first = F.greatest(_index(F.col("lx"), spec.lon0, spec.dlon), F.lit(0))
-    last = F.least(_index(F.col("hx"), spec.lon0, spec.dlon), F.lit(spec.nx - 1))
     spanned = (
-        ends.withColumn("first", first)
-        .withColumn("last", last)
-        .filter("first <= last")
-        .withColumn("ix", F.explode(F.sequence("first", "last")))
+        ends.selectExpr(
+            "*",
+            f"greatest({_index('lx', spec.lon0, spec.dlon)}, 0) AS first",
+            f"least({_index('hx', spec.lon0, spec.dlon)}, {spec.nx - 1}) AS last",
+        )
+        .where("first <= last")
+        .selectExpr("zone_id", "sign", "lx", "hx", "ly", "hy", "explode(sequence(first, last)) AS ix")
     )
-    west = F.lit(spec.lon0) + F.col("ix") * F.lit(spec.dlon)
-    east = F.lit(spec.lon0) + (F.col("ix") + 1) * F.lit(spec.dlon)
-    slope = (F.col("hy") - F.col("ly")) / (F.col("hx") - F.col("lx"))
+    lon0, dlon = _double(spec.lon0), _double(spec.dlon)
     return (
-        spanned.withColumn("xa", F.greatest("lx", west))
-        .withColumn("xb", F.least("hx", east))
-        .filter("xa < xb")
-        .select(
+        spanned.selectExpr(
+            "*",
+            f"greatest(lx, {lon0} + ix * {dlon}) AS xa",
+            f"least(hx, {lon0} + (ix + 1) * {dlon}) AS xb",
+        )
+        .where("xa < xb")
+        .selectExpr(
             "zone_id",
             "ix",
             "sign",
-            (F.col("xb") - F.col("xa")).alias("width"),
-            (F.col("ly") + slope * (F.col("xa") - F.col("lx"))).alias("ya"),
-            (F.col("ly") + slope * (F.col("xb") - F.col("lx"))).alias("yb"),
+            "xb - xa AS width",
+            "ly + (hy - ly) / (hx - lx) * (xa - lx) AS ya",
+            "ly + (hy - ly) / (hx - lx) * (xb - lx) AS yb",
         )
     )
 
@@ -115,42 +112,38 @@ def _row_pieces(pieces: DataFrame, spec: GridSpec) -> DataFrame:
     ``part`` is signed area inside cell (iy, ix) and ``below`` the signed width to add to every
     cell further down. Row ``ny`` stands for everything above the grid.
     """
-    low = _index(F.least("ya", "yb"), spec.lat0, spec.dlat)
-    high = _index(F.greatest("ya", "yb"), spec.lat0, spec.dlat)
+    low, high = (_index(f"{pick}(ya, yb)", spec.lat0, spec.dlat) for pick in ("least", "greatest"))
+    height, ny = _double(spec.dlat), spec.ny
+    # ua and ub are the heights of the piece's ends over the cell's southern border.
     crossed = (
-        pieces.withColumn("low", low)
-        .withColumn("high", high)
-        .filter("high >= 0")
-        .withColumn("first", F.least(F.greatest("low", F.lit(0)), F.lit(spec.ny)))
-        .withColumn("last", F.greatest(F.least("high", F.lit(spec.ny - 1)), "first"))
-        .withColumn("iy", F.explode(F.sequence("first", "last")))
-    )
-    south = F.lit(spec.lat0) + F.col("iy") * F.lit(spec.dlat)
-    height = F.lit(spec.dlat)
-
-    def integral(y: Column) -> Column:
-        """Integral of the height under y inside the cell, clamped to its rows."""
-        up = y - south
-        return (
-            F.when(up <= 0, 0.0)
-            .when(up < height, up * up / 2)
-            .otherwise(height * height / 2 + height * (up - height))
+        pieces.selectExpr("*", f"{low} AS low", f"{high} AS high")
+        .where("high >= 0")
+        .selectExpr(
+            "zone_id", "ix", "sign", "width", "ya", "yb", "low",
+            f"""explode(sequence(least(greatest(low, 0), {ny}),
+                greatest(least(high, {ny - 1}), least(greatest(low, 0), {ny})))) AS iy""",
+        )
+        .selectExpr(
+            "*",
+            f"ya - ({_double(spec.lat0)} + iy * {height}) AS ua",
+            f"yb - ({_double(spec.lat0)} + iy * {height}) AS ub",
         )
-
-    rise = F.col("yb") - F.col("ya")
-    flat_height = F.least(F.greatest((F.col("ya") + F.col("yb")) / 2 - south, F.lit(0.0)), height)
-    area = F.when(F.abs(rise) < FLAT, flat_height * F.col("width")).otherwise(
-        F.col("width") / rise * (integral(F.col("yb")) - integral(F.col("ya")))
     )
-    return crossed.select(
+
+    def integral(u: str) -> str:
+        """Integral of the height under u inside the cell, clamped to its rows."""
+        return f"""CASE WHEN {u} <= 0 THEN 0D WHEN {u} < {height} THEN {u} * {u} / 2
+            ELSE {height} * ({u} - {height} / 2) END"""
+
+    area = f"""CASE WHEN abs(ub - ua) < {_double(FLAT)}
+        THEN least(greatest((ua + ub) / 2, 0D), {height}) * width
+        ELSE width / (ub - ua) * ({integral('ub')} - {integral('ua')}) END"""
+    return crossed.selectExpr(
         "zone_id",
         "ix",
         "iy",
-        F.when(F.col("iy") == spec.ny, 0.0).otherwise(F.col("sign") * area).alias("part"),
-        F.when(F.col("iy") == F.col("low"), F.col("sign") * F.col("width"))
-        .when(F.col("iy") == spec.ny, F.col("sign") * F.col("width"))
-        .otherwise(0.0)
-        .alias("below"),
+        f"if(iy = {ny}, 0D, sign * {area}) AS part",
+        f"if(iy = low OR iy = {ny}, sign * width, 0D) AS below",
     )
 
 
@@ -161,41 +154,30 @@ def edge_weights(edges: DataFrame, spec: GridSpec) -> DataFrame:
         .groupBy("zone_id", "ix", "iy")
         .agg(F.sum("part").alias("part"), F.sum("below").alias("below"))
     )
-    down = Window.partitionBy("zone_id", "ix").orderBy(F.col("iy").desc())
-    running = (
-        boundary.withColumn("width_after", F.sum("below").over(down))
-        .withColumn("width_before", F.col("width_after") - F.col("below"))
-        .withColumn("next_iy", F.lead("iy").over(down))
-    )
-    cell_area = F.lit(spec.dlon * spec.dlat)
-    runs = running.select(
+    down = "(PARTITION BY zone_id, ix ORDER BY iy DESC"
+    height, width = _double(spec.dlat), _double(spec.dlon)
+    # Each boundary cell is a run of its own, followed downwards by the gap to the next one.
+    runs = boundary.selectExpr(
         "zone_id",
         "ix",
-        F.explode(
-            F.array(
-                F.struct(
-                    F.col("iy").alias("top"),
-                    F.col("iy").alias("bottom"),
-                    ((F.col("part") + F.col("width_before") * spec.dlat) / cell_area).alias("fraction"),
-                ),
-                F.struct(
-                    (F.col("iy") - 1).alias("top"),
-                    (F.col("next_iy") + 1).alias("bottom"),
-                    (F.col("width_after") / spec.dlon).alias("fraction"),
-                ),
-            )
-        ).alias("run"),
-    ).select("zone_id", "ix", "run.top", "run.bottom", "run.fraction")
-    # A run of gap cells is empty when the next boundary cell is adjacent or there is none.
-    filled = runs.filter(
-        (F.col("bottom") <= F.col("top"))
-        & (F.col("top") < spec.ny)
-        & (F.col("fraction") > MIN_FRACTION)
+        "iy",
+        "part",
+        f"coalesce(sum(below) OVER {down} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0D) AS before",
+        f"sum(below) OVER {down} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS after",
+        f"lead(iy) OVER {down}) AS next_iy",
+    ).selectExpr(
+        "zone_id",
+        "ix",
+        f"""stack(2, iy, iy, (part / {height} + before) / {width},
+            iy - 1, next_iy + 1, after / {width}) AS (top, bottom, fraction)""",
     )
-    return filled.select(
+    # The gap is empty when the next boundary cell is adjacent or there is none.
+    return runs.where(
+        f"bottom <= top AND top < {spec.ny} AND fraction > {_double(MIN_FRACTION)}"
+    ).select(
         F.lit(spec.grid_id).alias("grid_id"),
         "zone_id",
-        F.explode(F.sequence("bottom", "top")).alias("iy"),
+        F.expr("explode(sequence(bottom, top))").alias("iy"),
         "ix",
         "fraction",
     )
@@ -224,25 +206,32 @@ def footprint(zones: DataFrame, spec: GridSpec) -> Footprint:
     than its box, so ``rows`` proves how large the weights can get before they are computed.
     """
 
-    def extreme(field: str, pick_array, pick_point) -> Column:
-        per_ring = F.transform(
-            "rings", lambda r: pick_point(F.transform(r["pts"], lambda p: p[field]))
+    def extreme(pick: str, axis: str) -> str:
+        return f"array_{pick}(transform(rings, r -> array_{pick}(transform(r.pts, p -> p.{axis}))))"
+
+    def low(axis: str, origin: float, step: float) -> str:
+        return f"greatest({_index(extreme('min', axis), origin, step)}, 0)"
+
+    def high(axis: str, origin: float, step: float, n: int) -> str:
+        return f"least({_index(extreme('max', axis), origin, step)}, {n - 1})"
+
+    box = zones.selectExpr(
+        f"{low('lon', spec.lon0, spec.dlon)} AS w",
+        f"{high('lon', spec.lon0, spec.dlon, spec.nx)} AS e",
+        f"{low('lat', spec.lat0, spec.dlat)} AS s",
+        f"{high('lat', spec.lat0, spec.dlat, spec.ny)} AS n",
+    )
+    row = (
+        box.where("w <= e AND s <= n")
+        .selectExpr(
+            "sum(CAST(e - w + 1 AS BIGINT) * (n - s + 1)) AS rows",
+            "min(s) AS s",
+            "max(n) AS n",
+            "min(w) AS w",
+            "max(e) AS e",
         )
-        return pick_array(per_ring)
-
-    box = zones.select(
-        F.greatest(_index(extreme("lon", F.array_min, F.array_min), spec.lon0, spec.dlon), F.lit(0)).alias("w"),
-        F.least(_index(extreme("lon", F.array_max, F.array_max), spec.lon0, spec.dlon), F.lit(spec.nx - 1)).alias("e"),
-        F.greatest(_index(extreme("lat", F.array_min, F.array_min), spec.lat0, spec.dlat), F.lit(0)).alias("s"),
-        F.least(_index(extreme("lat", F.array_max, F.array_max), spec.lat0, spec.dlat), F.lit(spec.ny - 1)).alias("n"),
-    ).filter("w <= e and s <= n")
-    row = box.agg(
-        F.sum((F.col("e") - F.col("w") + 1).cast("long") * (F.col("n") - F.col("s") + 1)).alias("rows"),
-        F.min("s").alias("s"),
-        F.max("n").alias("n"),
-        F.min("w").alias("w"),
-        F.max("e").alias("e"),
-    ).first()
+        .first()
+    )
     if row["rows"] is None:
         return Footprint(0, 0, -1, 0, -1)
     return Footprint(row["rows"], row["s"], row["n"], row["w"], row["e"])
@@ -252,22 +241,24 @@ def validate_zones(zones: DataFrame) -> DataFrame:
     """Per zone: vertices outside lon/lat range, edges longer than 180 degrees, and a verdict.
 
     A zone that crosses the antimeridian shows up as a long edge and must be split by the caller.
+    Everything is counted inside the zone's own row, without a shuffle.
     """
-    edges = zone_edges(zones)
-    outside = (F.abs("lon_a") > 180) | (F.abs("lat_a") > 90) | F.isnan("lon_a") | F.isnan("lat_a")
-    counted = edges.groupBy("zone_id").agg(
-        F.count(F.lit(1)).alias("n_vertices"),
-        F.count_if(outside).alias("n_outside"),
-        F.count_if(F.abs(F.col("lon_b") - F.col("lon_a")) > 180).alias("n_long_edges"),
-    )
-    return (
-        zones.select("zone_id")
-        .join(counted, "zone_id", "left")
-        .select(
-            "zone_id",
-            F.coalesce("n_vertices", F.lit(0).cast("long")).alias("n_vertices"),
-            F.coalesce("n_outside", F.lit(0).cast("long")).alias("n_outside"),
-            F.coalesce("n_long_edges", F.lit(0).cast("long")).alias("n_long_edges"),
-        )
-        .withColumn("valid", F.expr("n_vertices > 0 and n_outside = 0 and n_long_edges = 0"))
+
+    def total(per_ring: str) -> str:
+        return f"CAST(coalesce(aggregate(rings, 0, (n, r) -> n + {per_ring}), 0) AS BIGINT)"
+
+    outside = "p.lon IS NULL OR p.lat IS NULL OR NOT (abs(p.lon) <= 180 AND abs(p.lat) <= 90) OR isnan(p.lon) OR isnan(p.lat)"
+    following = "concat(slice(r.pts, 2, greatest(size(r.pts) - 1, 0)), slice(r.pts, 1, 1))"
+    return zones.selectExpr(
+        "zone_id",
+        f"{total('size(r.pts)')} AS n_vertices",
+        f"{total(f'size(filter(r.pts, p -> {outside}))')} AS n_outside",
+        f"{total(f'size(filter(zip_with(r.pts, {following}, (a, b) -> abs(b.lon - a.lon)), d -> d > 180))')} AS n_long_edges",
+        f"{total('if(size(r.pts) < 3, 1, 0)')} AS n_short_rings",
+    ).selectExpr(
+        "zone_id",
+        "n_vertices",
+        "n_outside",
+        "n_long_edges",
+        "n_vertices > 0 AND n_outside = 0 AND n_long_edges = 0 AND n_short_rings = 0 AS valid",
     )

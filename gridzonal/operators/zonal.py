@@ -96,12 +96,14 @@ def zonal_mean(
     return result.withColumn("value", round_to(F.col("value"), digits))
 
 
-def complete_zones(result: DataFrame, zones: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Give every zone a row in every group of ``by``; NULL where it had no cell.
+def complete_zones(
+    result: DataFrame, zones: DataFrame, groups: DataFrame, by: Sequence[str]
+) -> DataFrame:
+    """Give every zone a row in every group; NULL where it had no cell.
 
-    The frame of groups x zones has exactly the size of the answer. It is built from equi-joins on
-    an evenly filled bucket, not a cross join.
+    ``groups`` holds the distinct groups, such as the days on record, so that a day on which no zone
+    has a value keeps its rows as well. The frame of groups x zones has exactly the size of the
+    answer; it comes from an equi-join on evenly filled buckets, not from a cross join.
     """
-    groups = result.select(*by).distinct()
-    frame = frame_of(groups, zones.select("zone_id"), ["zone_id"])
+    frame = frame_of(groups.select(*by), zones.select("zone_id"), ["zone_id"])
     return frame.join(result, [*by, "zone_id"], "left")
