@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridzonal.functions.names import grid_file_name
@@ -29,38 +29,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cell = F.pmod("event_id", F.lit(150))
-    return (
-        table(spark, sf_dir, "events")
-        .withColumn("ix", F.pmod(cell, F.lit(15)).cast("int"))
-        .withColumn("iy", F.floor(cell / 15).cast("int"))
-    )
+# Where an event falls on the demo grid.
+CELL = ("CAST(floor(pmod(event_id, 150) / 15) AS INT) AS iy", "CAST(pmod(pmod(event_id, 150), 15) AS INT) AS ix")
 
 
 def grid_obs(spark: SparkSession, sf_dir: str, with_nulls: bool = False) -> DataFrame:
-    value = F.when(F.pmod("event_id", F.lit(97)) != 0, F.col("value")) if with_nulls else F.col("value")
-    return _cells(spark, sf_dir).select(
-        F.col("event_type").alias("variable"),
-        F.col("ts").alias("valid_time"),
-        F.to_date("ts").alias("date"),
+    value = "if(pmod(event_id, 97) <> 0, value, NULL)" if with_nulls else "value"
+    cells = table(spark, sf_dir, "events").selectExpr(
+        "event_type AS variable", "ts AS valid_time", "CAST(ts AS DATE) AS date", *CELL, f"{value} AS value"
+    )
+    return cells.selectExpr(
+        "variable",
+        "valid_time",
+        "date",
         "iy",
         "ix",
-        (F.lit(GRID.lat0) + (F.col("iy") + 0.5) * GRID.dlat).alias("lat"),
-        (F.lit(GRID.lon0) + (F.col("ix") + 0.5) * GRID.dlon).alias("lon"),
-        value.alias("value"),
+        f"{GRID.lat0}D + (iy + 0.5D) * {GRID.dlat}D AS lat",
+        f"{GRID.lon0}D + (ix + 0.5D) * {GRID.dlon}D AS lon",
+        "value",
     )
 
 
 def grid_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Even event ids belong to the 00 h run of their day, odd ones to the 12 h run."""
-    run_hour = F.when(F.pmod("event_id", F.lit(2)) == 0, 0).otherwise(12)
-    return _cells(spark, sf_dir).select(
-        F.col("event_type").alias("variable"),
-        F.timestamp_add("HOUR", run_hour, F.to_date("ts").cast("timestamp_ntz")).alias("run_time"),
-        F.pmod("event_id", F.lit(121)).cast("int").alias("lead_hour"),
-        "iy",
-        "ix",
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_type AS variable",
+        "timestampadd(HOUR, if(pmod(event_id, 2) = 0, 0, 12), CAST(CAST(ts AS DATE) AS TIMESTAMP_NTZ)) AS run_time",
+        "CAST(pmod(event_id, 121) AS INT) AS lead_hour",
+        *CELL,
         "value",
     )
 
@@ -72,50 +68,43 @@ def in_model_units(obs: DataFrame) -> DataFrame:
     return obs.withColumn("value", convert_units(F.col("value") - offset, F.col("variable"), undo))
 
 
-def _pentagon(shift: float = 0.0) -> Column:
-    k = F.col("n_nationkey")
-    lon = F.pmod(k, F.lit(5)) * 2.2 + 1.3 + shift
-    lat = F.floor(k / 5) * 1.4 + 0.9
-    points = [
-        F.struct(
-            (lon + dx).cast("double").alias("lon"), (lat + dy).cast("double").alias("lat")
-        )
-        for dx, dy in OFFSETS
-    ]
-    return F.array(F.struct(F.lit("shell").alias("role"), F.array(*points).alias("pts")))
+def _pentagon(shift: float = 0.0) -> str:
+    lon = f"(pmod(n_nationkey, 5) * 2.2D + 1.3D + {shift}D)"
+    lat = "(floor(n_nationkey / 5) * 1.4D + 0.9D)"
+    points = ", ".join(
+        f"named_struct('lon', {lon} + ({dx}D), 'lat', {lat} + ({dy}D))" for dx, dy in OFFSETS
+    )
+    return f"array(named_struct('role', 'shell', 'pts', array({points}))) AS rings"
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").cast("long").alias("zone_id"), _pentagon().alias("rings")
-    )
+    return table(spark, sf_dir, "nation").selectExpr("CAST(n_nationkey AS BIGINT) AS zone_id", _pentagon())
 
 
 def zones_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The zones and a copy of each moved 8 degrees east, most of which lie off the grid."""
-    moved = table(spark, sf_dir, "nation").select(
-        (F.col("n_nationkey") + 100).cast("long").alias("zone_id"), _pentagon(8.0).alias("rings")
+    moved = table(spark, sf_dir, "nation").selectExpr(
+        "CAST(n_nationkey + 100 AS BIGINT) AS zone_id", _pentagon(8.0)
     )
     return zones(spark, sf_dir).unionByName(moved)
 
 
-def _order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("c_custkey"), F.to_date("o_orderdate").alias("date"), "o_totalprice"
-    )
-    customers = table(spark, sf_dir, "customer").select(
-        "c_custkey", (F.lit(5100000) + F.col("c_nationkey")).cast("long").alias("code_muni")
-    )
-    return orders.join(customers, "c_custkey")
-
-
 def zone_daily_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(code_muni, date, mean, max, min): one shuffle, whatever the number of statistics."""
-    price = F.col("o_totalprice")
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_custkey AS c_custkey", "CAST(o_orderdate AS DATE) AS date", "o_totalprice"
+    )
+    customers = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey", "CAST(5100000 + c_nationkey AS BIGINT) AS code_muni"
+    )
     return (
-        _order_days(spark, sf_dir)
+        orders.join(customers, "c_custkey")
         .groupBy("code_muni", "date")
-        .agg(F.avg(price).alias("mean"), F.max(price).alias("max"), F.min(price).alias("min"))
+        .agg(
+            F.avg("o_totalprice").alias("mean"),
+            F.max("o_totalprice").alias("max"),
+            F.min("o_totalprice").alias("min"),
+        )
     )
 
 
@@ -129,11 +118,8 @@ def stacked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def present_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "events")
-        .select(F.col("event_type").alias("variable"), F.to_date("ts").alias("date"))
-        .distinct()
-    )
+    events = table(spark, sf_dir, "events")
+    return events.selectExpr("event_type AS variable", "CAST(ts AS DATE) AS date").distinct()
 
 
 def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -164,14 +164,15 @@ def edge_weights(edges: DataFrame, spec: GridSpec) -> DataFrame:
         "part",
         f"coalesce(sum(below) OVER {down} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0D) AS before",
         f"sum(below) OVER {down} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS after",
-        f"lead(iy) OVER {down}) AS next_iy",
+        f"lead(iy, 1, -1) OVER {down}) AS next_iy",
     ).selectExpr(
         "zone_id",
         "ix",
         f"""stack(2, iy, iy, (part / {height} + before) / {width},
             iy - 1, next_iy + 1, after / {width}) AS (top, bottom, fraction)""",
     )
-    # The gap is empty when the next boundary cell is adjacent or there is none.
+    # The gap is empty when the next boundary cell is adjacent. Below the last one it reaches to the
+    # grid's southern border; it has no width left there unless the zone goes on beyond that.
     return runs.where(
         f"bottom <= top AND top < {spec.ny} AND fraction > {_double(MIN_FRACTION)}"
     ).select(
