@@ -93,7 +93,7 @@ def _decode(area: tuple[float, float, float, float] | None):
             for path, content in zip(batch.column(0), batch.column(1)):
                 try:
                     yield from cells(path.as_py(), content.as_py())
-                except (ValueError, KeyError, IndexError, StructError) as problem:
+                except (ValueError, KeyError, IndexError, OverflowError, StructError) as problem:
                     raise ValueError(f"cannot read grid file {path.as_py()}: {problem}") from problem
 
     return mapper

@@ -14,6 +14,9 @@ from gridzonal.schema import GridSpec
 from gridzonal.sinks import replace_partitions
 from gridzonal.sources.grid_files import decode_files, to_observations
 
+# The schema of Spark's binaryFile source, which a stream must be given.
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def stream_grid_files(
     spark: SparkSession,
@@ -26,7 +29,7 @@ def stream_grid_files(
     max_files: int | None = None,
 ) -> DataFrame:
     """New grid files of a folder as a stream of observations, with their ``source_file``."""
-    reader = spark.readStream.format("binaryFile")
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     files = reader.load(folder).filter(base_name(F.col("path")).rlike(pattern))

@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="8g",
+        spark__sql__maxMetadataStringLength="2000",
         spark__checkpoint__dir=str(shared),
         spark__sql__warehouse__dir=str(shared / "warehouse"),
     )

@@ -1,0 +1,231 @@
+import datetime as dt
+import struct
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from gridzonal.functions import names
+from gridzonal.schema import GridSpec
+from gridzonal.sources import grid_files, netcdf
+from gridzonal.sinks import write_grid_files
+from gridzonal.operators.grid import daily_cell_stats
+from gridzonal.storage import fresh_path
+from gridzonal.streaming.ingest import append_new, replace_runs, stream_grid_files
+
+SPEC = GridSpec("g", 0.0, 0.0, 1.0, 1.0, 2, 2)
+
+
+def text(value):
+    raw = value.encode()
+    return struct.pack(">i", len(raw)) + raw + b"\0" * (-len(raw) % 4)
+
+
+def packed_file(version=1, records=True):
+    """2 steps x 2 x 2 cells of packed shorts, north first, longitudes 0..360, one fill value.
+
+    Laid out byte by byte from the format specification, with time as the record dimension and a second
+    record variable, so that records interleave and are padded.
+    """
+    off = ">i" if version == 1 else ">q"
+    n, count = 2, (">q" if version == 5 else ">i")
+
+    def number(x):
+        return struct.pack(count, x)
+
+    def string(x):
+        raw = x.encode()
+        return number(len(raw)) + raw + b"\0" * (-len(raw) % 4)
+
+    def atts(items):
+        if not items:
+            return struct.pack(">i", 0) + number(0)
+        out = struct.pack(">i", 12) + number(len(items))
+        for key, (kind, fmt, value) in items.items():
+            if kind == 2:
+                raw = value.encode()
+                out += string(key) + struct.pack(">i", 2) + number(len(raw)) + raw + b"\0" * (-len(raw) % 4)
+            else:
+                raw = struct.pack(">" + fmt, value)
+                out += string(key) + struct.pack(">i", kind) + number(1) + raw + b"\0" * (-len(raw) % 4)
+        return out
+
+    shorts = np.array([[[10, 20], [30, -32767]], [[11, 21], [31, 41]]], ">i2")
+    times = np.array([1000000, 1000003], ">i4")
+    lats, lons = np.array([1.5, 0.5], ">f4"), np.array([0.5, 361.5 - 360], ">f4")
+    packing = {
+        "scale_factor": (6, "d", 0.5),
+        "add_offset": (6, "d", 100.0),
+        "_FillValue": (3, "h", -32767),
+    }
+    variables = [
+        ("longitude", [2], {}, 5, lons.tobytes(), False),
+        ("latitude", [1], {}, 5, lats.tobytes(), False),
+        ("time", [0], {"units": (2, "", "hours since 1900-01-01 00:00:0.0")}, 4, times, True),
+        ("pm2p5", [0, 1, 2], packing, 3, shorts, True),
+    ]
+    dims = struct.pack(">i", 10) + number(3)
+    for name, size in (("time", 0 if records else n), ("latitude", 2), ("longitude", 2)):
+        dims += string(name) + number(size)
+
+    def layout(offsets):
+        head = b"CDF" + bytes([version]) + number(n if records else 0) + dims + atts({"title": (2, "", "odd")})
+        head += struct.pack(">i", 11) + number(len(variables))
+        for (name, ids, attrs, kind, data, is_record), begin in zip(variables, offsets):
+            size = len(data[:1].tobytes()) if (is_record and records) else len(data if isinstance(data, bytes) else data.tobytes())
+            head += string(name) + number(len(ids)) + b"".join(number(i) for i in ids) + atts(attrs)
+            head += struct.pack(">i", kind) + number(size + -size % 4) + struct.pack(off, begin)
+        return head
+
+    at, offsets, body = len(layout([0] * 4)), [], b""
+    for name, ids, attrs, kind, data, is_record in variables:
+        if is_record and records:
+            continue
+        raw = data if isinstance(data, bytes) else data.tobytes()
+        offsets.append(at + len(body))
+        body += raw + b"\0" * (-len(raw) % 4)
+    if records:
+        first = at + len(body)
+        for r in range(n):
+            for name, ids, attrs, kind, data, is_record in variables:
+                if is_record:
+                    if r == 0:
+                        offsets.append(at + len(body))
+                    raw = data[r : r + 1].tobytes()
+                    body += raw + b"\0" * (-len(raw) % 4)
+        assert first == offsets[2]
+    return layout(offsets) + body
+
+
+EXPECTED = {
+    (0, 1, 0): 105.0, (0, 1, 1): 110.0, (0, 0, 0): 115.0, (0, 0, 1): None,
+    (1, 1, 0): 105.5, (1, 1, 1): 110.5, (1, 0, 0): 115.5, (1, 0, 1): 120.5,
+}
+
+
+@pytest.mark.parametrize("version", [1, 2, 5])
+@pytest.mark.parametrize("records", [True, False])
+def test_decoding_layouts(spark, tmp_path, version, records):
+    (tmp_path / "grid_pm25_20140130.nc").write_bytes(packed_file(version, records))
+    obs = grid_files.scan_grid_files(spark, str(tmp_path), SPEC, variable=names.variable_from_name(F.col("path")))
+    rows = obs.collect()
+    start = dt.datetime(1900, 1, 1) + dt.timedelta(hours=1000000)
+    got = {((r.valid_time - start).seconds // 10800, r.iy, r.ix): r.value for r in rows}
+    assert got == EXPECTED
+    assert {r.variable for r in rows} == {"pm25"} and {r.run_time for r in rows} == {None}
+
+
+def test_lone_record_variable_is_not_padded():
+    """One record variable of 3 shorts per record: 6-byte records, back to back."""
+    head = b"CDF\x01" + struct.pack(">i", 2)
+    head += struct.pack(">ii", 10, 2) + text("time") + struct.pack(">i", 0) + text("x") + struct.pack(">i", 3)
+    head += struct.pack(">ii", 0, 0) + struct.pack(">ii", 11, 1) + text("v") + struct.pack(">iii", 2, 0, 1)
+    head += struct.pack(">ii", 0, 0) + struct.pack(">ii", 3, 8)
+    data = head + struct.pack(">i", len(head) + 4) + np.arange(6, dtype=">i2").tobytes()
+    assert netcdf.read_classic(data)["v"][1].tolist() == [[0, 1, 2], [3, 4, 5]]
+
+
+def test_float_fill_value_is_compared_as_float():
+    raw = np.array([1.5, np.float32(9.96921e36)], ">f4")
+    assert np.isnan(netcdf.unpack(raw, {"_FillValue": np.array([9.96921e36], ">f4")})[1])
+
+
+def test_forecast_layers_become_lead_hours(spark, tmp_path):
+    (tmp_path / "grid_o3_20250709.nc").write_bytes(packed_file())
+    obs = grid_files.scan_grid_files(
+        spark, str(tmp_path), SPEC, variable=F.lit("o3"), run_time=F.lit("2025-07-09 12:00:00").cast("timestamp_ntz")
+    )
+    rows = {(r.lead_hour, r.valid_time) for r in obs.collect()}
+    assert rows == {(0, dt.datetime(2025, 7, 9, 12)), (1, dt.datetime(2025, 7, 9, 13))}
+
+
+def test_area_is_cut_before_rows_are_made(spark, tmp_path):
+    (tmp_path / "a.nc").write_bytes(packed_file())
+    obs = grid_files.scan_grid_files(spark, str(tmp_path), SPEC, area=(2.0, 1.0, 1.0, 2.0))
+    assert {(r.iy, r.ix) for r in obs.collect()} == {(1, 1)}
+
+
+@pytest.mark.parametrize(
+    "content, message",
+    [
+        (packed_file()[:-6], "truncated"),
+        (packed_file()[:60], "truncated|cannot read"),
+        (netcdf.HDF5_MAGIC + b"\0" * 64, "HDF5"),
+        (b"hello", "not a classic NetCDF file"),
+    ],
+)
+def test_unreadable_file_is_named(spark, tmp_path, content, message):
+    (tmp_path / "broken_20240101.nc").write_bytes(content)
+    with pytest.raises(Exception, match=message) as problem:
+        grid_files.scan_grid_files(spark, str(tmp_path), SPEC).collect()
+    assert "broken_20240101.nc" in str(problem.value)
+
+
+def test_listing_by_pattern(spark, tmp_path):
+    for name in ("grid_pm25_20240102_min.nc", "grid_pm25_20240102_max.nc", "grid_no2_20240103_min.nc", "min.nc.txt"):
+        (tmp_path / name).write_bytes(b"x")
+    files = grid_files.list_files(spark, str(tmp_path), r"min\.nc$")
+    assert sorted(r.name for r in files.collect()) == ["grid_no2_20240103_min.nc", "grid_pm25_20240102_min.nc"]
+    assert grid_files.first_match(files).first().name == "grid_no2_20240103_min.nc"
+    assert "content" not in files._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
+
+
+def test_grid_of_a_folder(spark, tmp_path):
+    (tmp_path / "a.nc").write_bytes(packed_file())
+    (tmp_path / "b.nc").write_bytes(packed_file(2))
+    rows = grid_files.grid_specs(spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in rows] == [(0.0, 0.0, 1.0, 1.0, 2, 2)]
+
+
+def test_daily_files_are_written_and_replaced(spark, tmp_path):
+    rows = [("o3", dt.date(2024, 1, d), 1, 0, float(d + s)) for d in (1, 2) for s in (0, 2)]
+    obs = spark.createDataFrame(rows, "variable string, date date, iy int, ix int, value double")
+    folder = str(tmp_path / "daily")
+    for _ in range(2):
+        write_grid_files(daily_cell_stats(obs), folder, SPEC)
+    listed = sorted(p.name for p in (tmp_path / "daily").iterdir())
+    assert listed == sorted(f"grid_o3_2024010{d}_{s}.nc" for d in (1, 2) for s in ("mean", "max", "min"))
+    back = grid_files.scan_grid_files(spark, folder, SPEC, r"mean\.nc$")
+    got = {(r.date, r.iy, r.ix): r.value for r in back.collect()}
+    assert len(got) == 8
+    assert {k: v for k, v in got.items() if v is not None} == {
+        (dt.date(2024, 1, 1), 1, 0): 2.0,
+        (dt.date(2024, 1, 2), 1, 0): 3.0,
+    }
+
+
+def test_each_landed_file_is_ingested_once(spark, tmp_path):
+    landing, work = tmp_path / "landing", fresh_path(spark, "stream")
+    landing.mkdir()
+
+    def ingest():
+        stream = stream_grid_files(spark, str(landing), SPEC, variable=names.variable_from_name(F.col("path")))
+        append_new(stream, f"{work}/table", f"{work}/progress").awaitTermination()
+        return spark.read.parquet(f"{work}/table").count()
+
+    (landing / "grid_pm25_20140130.nc").write_bytes(packed_file())
+    assert ingest() == 8
+    (landing / "grid_co_20140130.nc").write_bytes(packed_file(2))
+    (landing / "readme.txt").write_text("not a grid")
+    assert ingest() == 16
+    assert ingest() == 16
+    batch = grid_files.scan_grid_files(spark, str(landing), SPEC, variable=names.variable_from_name(F.col("path")))
+    kept = spark.read.parquet(f"{work}/table").select(*batch.columns)
+    assert batch.exceptAll(kept).count() == kept.exceptAll(batch).count() == 0
+
+
+def test_run_in_several_files_stays_whole(spark, tmp_path):
+    landing, work = tmp_path / "landing", fresh_path(spark, "runs")
+    landing.mkdir()
+    run = names.date_from_name(F.col("path")).cast("timestamp_ntz")
+
+    def ingest():
+        stream = stream_grid_files(spark, str(landing), SPEC, variable=F.lit("o3"), run_time=run, max_files=1)
+        replace_runs(stream, f"{work}/table", f"{work}/progress").awaitTermination()
+        return spark.read.parquet(f"{work}/table")
+
+    (landing / "grid_a_20250709.nc").write_bytes(packed_file())
+    (landing / "grid_b_20250709.nc").write_bytes(packed_file())
+    assert ingest().count() == 16
+    (landing / "grid_c_20250710.nc").write_bytes(packed_file())
+    assert ingest().groupBy("run_time").count().count() == 2
