@@ -292,17 +292,25 @@ SELECT zone_id, n_vertices, n_outside, CAST(0 AS BIGINT) AS n_long_edges, n_outs
     "current_run": f"""WITH {FORECAST}
 SELECT * FROM fc WHERE run_time = (SELECT max(run_time) FROM fc f WHERE f.variable = fc.variable)""",
     "reanalysis_zone_daily": f"""WITH {_obs(MODEL.format(v="CASE WHEN event_id % 97 <> 0 THEN value END"))}, {ZONES}, {COVER}, {DAILY_STRICT},
-z AS (
-  SELECT variable, zone_id AS code_muni, date, {_weighted('v_mean')} AS mean,
+m AS (
+  SELECT variable, zone_id, date, {_weighted('v_mean')} AS mean,
          {_weighted('v_max')} AS max, {_weighted('v_min')} AS min
-  FROM daily JOIN cover USING (iy, ix) GROUP BY variable, date, zone_id)
+  FROM daily JOIN cover USING (iy, ix) GROUP BY variable, date, zone_id),
+z AS (
+  SELECT d.variable, zone.zone_id AS code_muni, d.date, mean, max, min
+  FROM (SELECT DISTINCT variable, date FROM obs) d CROSS JOIN zone LEFT JOIN m
+    ON m.variable = d.variable AND m.date = d.date AND m.zone_id = zone.zone_id)
 SELECT variable, 'mean' AS stat, code_muni, date, {_r(CONVERT.format(v='mean'))} AS value FROM z
 UNION ALL SELECT variable, 'max', code_muni, date, {_r(CONVERT.format(v='max'))} FROM z
 UNION ALL SELECT variable, 'min', code_muni, date, {_r(CONVERT.format(v='min'))} FROM z""",
     "forecast_zone_table": f"""WITH {FORECAST.replace("ix, value", "ix, " + MODEL.format(v="value") + " AS value")}, {ZONES}, {COVER},
+m AS (
+  SELECT variable, run_time, lead_hour, zone_id, {_weighted('value')} AS mean
+  FROM fc JOIN cover USING (iy, ix) GROUP BY variable, run_time, lead_hour, zone_id),
 z AS (
-  SELECT variable, run_time, lead_hour, zone_id AS code_muni, {_weighted('value')} AS mean
-  FROM fc JOIN cover USING (iy, ix) GROUP BY variable, run_time, lead_hour, zone_id)
+  SELECT l.variable, l.run_time, l.lead_hour, zone.zone_id AS code_muni, mean
+  FROM (SELECT DISTINCT variable, run_time, lead_hour FROM fc) l CROSS JOIN zone LEFT JOIN m
+    ON m.variable = l.variable AND m.run_time = l.run_time AND m.lead_hour = l.lead_hour AND m.zone_id = zone.zone_id)
 SELECT variable, run_time, lead_hour, code_muni, run_time + to_hours(lead_hour) AS valid_time,
        ((run_time + to_hours(lead_hour)) AT TIME ZONE 'UTC') AT TIME ZONE 'America/Sao_Paulo' AS local_time,
        {_r(CONVERT.format(v='mean'))} AS value

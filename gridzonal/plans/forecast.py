@@ -7,11 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridzonal.functions.numeric import convert_units, round_to
+from gridzonal.functions.numeric import convert_units, present, round_to
 from gridzonal.functions.times import DEFAULT_ZONE, local_time, valid_time
 from gridzonal.operators.coverage import footprint, zone_weights
 from gridzonal.operators.joins import join_checked
-from gridzonal.operators.zonal import prune_to_box, zonal_mean
+from gridzonal.operators.zonal import complete_zones, prune_to_box, zonal_mean
 from gridzonal.schema import GridSpec
 from gridzonal.storage import materialise
 
@@ -25,16 +25,24 @@ def zone_forecast(
     profile: str = "default",
     zone_name: str = DEFAULT_ZONE,
     digits: int = 2,
+    all_zones: bool = True,
 ) -> DataFrame:
-    """(variable, run_time, lead_hour, code_muni, valid_time, local_time, value)."""
+    """(variable, run_time, lead_hour, code_muni, valid_time, local_time, value).
+
+    All runs, lead hours and variables are one join and one shuffle of the observations, and
+    ``all_zones`` adds NULL rows for zones without a cell.
+    """
+    layer = ["variable", "run_time", "lead_hour"]
     box = footprint(zones, spec)
     means = zonal_mean(
-        prune_to_box(obs, box),
+        prune_to_box(obs, box).withColumn("value", present(F.col("value"))),
         zone_weights(zones, spec) if weights is None else weights,
-        ["variable", "run_time", "lead_hour"],
+        layer,
         weight_rows=box.rows,
         digits=None,
     )
+    if all_zones:
+        means = complete_zones(means, zones, obs.select(*layer).distinct(), layer)
     value = round_to(convert_units(F.col("value"), F.col("variable"), units, profile), digits)
     instant = valid_time(F.col("run_time"), F.col("lead_hour"))
     return means.select(
@@ -53,11 +61,16 @@ def current_run(table: DataFrame, by: Sequence[str] = ("variable",)) -> DataFram
 
     The newest run per variable is found first, reading two columns, and written to the shared
     folder, where its row count is known. That decides how it is joined back; the table itself is
-    never shuffled by variable, of which there are few and one may hold most rows.
+    never shuffled by variable, of which there are few and one may hold most rows. The oldest of
+    those runs is a literal lower bound, so that the history before it is not read again.
     """
     newest = materialise(table.groupBy(*by).agg(F.max("run_time").alias("run_time")), "newest-run")
+    known = newest.agg(F.count(F.lit(1)).alias("n"), F.min("run_time").alias("oldest")).first()
+    if known["oldest"] is None:
+        return table.limit(0)
+    recent = table.filter(F.col("run_time") >= F.lit(str(known["oldest"])).cast("timestamp_ntz"))
     spread = [c for c in table.columns if c not in (*by, "run_time")]
-    return join_checked(table, newest, [*by, "run_time"], newest.count(), spread, how="left_semi")
+    return join_checked(recent, newest, [*by, "run_time"], known["n"], spread, how="left_semi")
 
 
 def register_forecast_views(table: DataFrame, variables: list[str]) -> list[str]:

@@ -7,11 +7,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridzonal.functions.numeric import convert_units, round_to
+from gridzonal.functions.numeric import convert_units, present, round_to
 from gridzonal.operators.coverage import footprint, zone_weights
 from gridzonal.operators.grid import daily_cell_stats
 from gridzonal.operators.series import STATS, melt_stats
-from gridzonal.operators.zonal import prune_to_box, prune_to_cells, zonal_stats
+from gridzonal.operators.zonal import complete_zones, prune_to_box, prune_to_cells, zonal_stats
 from gridzonal.schema import GridSpec
 
 
@@ -24,16 +24,18 @@ def zone_daily(
     profile: str = "default",
     strict: bool = True,
     digits: int = 2,
+    all_zones: bool = True,
 ) -> DataFrame:
     """Grid observations to (variable, stat, code_muni, date, value).
 
     Time first, then space: daily mean, max and min per cell, then the coverage-weighted mean of each
     over the zones, then unit conversion and rounding. All variables, days and statistics are one
-    plan with two shuffles. Pass stored ``weights`` when the zone layer is large; with them, cells
-    outside every zone are also dropped before the first shuffle.
+    plan with two shuffles of the observations. Pass stored ``weights`` when the zone layer is large;
+    with them, cells outside every zone are also dropped before the first shuffle. ``all_zones``
+    gives zones without a cell a row with NULL for every day on record.
     """
     box = footprint(zones, spec)
-    cells = prune_to_box(obs, box)
+    cells = prune_to_box(obs, box).withColumn("value", present(F.col("value")))
     if weights is None:
         weights = zone_weights(zones, spec)
     else:
@@ -46,6 +48,9 @@ def zone_daily(
         {stat: ("mean", f"v_{stat}") for stat in STATS},
         box.rows,
     )
+    if all_zones:
+        days = obs.select("variable", "date").distinct()
+        by_zone = complete_zones(by_zone, zones, days, ["variable", "date"])
     reported = [
         round_to(convert_units(F.col(stat), F.col("variable"), units, profile), digits).alias(stat)
         for stat in STATS

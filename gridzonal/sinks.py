@@ -15,35 +15,72 @@ from gridzonal.schema import GridSpec
 from gridzonal.sources import netcdf
 
 
-def _balanced(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows grouped by partition key for writing: few files per key, big keys split over tasks."""
-    return df.hint("rebalance", *[F.col(key) for key in keys]) if keys else df
+def _arranged(
+    df: DataFrame, keys: Sequence[str], sort_by: Sequence[str], clustered: bool
+) -> DataFrame:
+    """Rows arranged for a partitioned write.
+
+    Unless they are ``clustered`` by key already (one input file per day, say), rows are rebalanced:
+    few files per key, small keys sharing a task and a big key split over several. ``sort_by``
+    orders rows inside each file, so that row-group statistics can answer later filters.
+    """
+    if keys and not clustered:
+        df = df.hint("rebalance", *[F.col(key) for key in keys])
+    return df.sortWithinPartitions(*keys, *sort_by) if sort_by else df
 
 
-def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def append(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
+    clustered: bool = False,
+) -> None:
     """Add a batch to a Parquet table, creating it if absent; one write for all batches."""
-    _balanced(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+    arranged = _arranged(df, partition_by, sort_by, clustered)
+    arranged.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def replace(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
+    clustered: bool = False,
+) -> None:
     """Replace the whole Parquet table."""
-    (
-        _balanced(df, partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    writer = _arranged(df, partition_by, sort_by, clustered).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+def replace_partitions(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str],
+    sort_by: Sequence[str] = (),
+    clustered: bool = False,
+) -> None:
     """Replace only the partitions that ``df`` has rows for."""
+    writer = _arranged(df, partition_by, sort_by, clustered).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
+def store_bucketed(
+    obs: DataFrame, name: str, buckets: int, path: str, keys: Sequence[str] = ("variable", "date")
+) -> None:
+    """Store observations as a catalog table bucketed by day.
+
+    Rows of a (variable, date) then share a bucket, and that partitioning serves the cell-day and the
+    zone-day aggregation alike: the whole historical plan over such a table needs no shuffle of
+    the observations. Worth its one shuffle when the table is read more than once.
+    """
     (
-        _balanced(df, partition_by)
+        obs.repartition(buckets, *[F.col(key) for key in keys])
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
+        .option("path", path)
+        .bucketBy(buckets, keys[0], *keys[1:])
+        .sortBy(*keys)
+        .saveAsTable(name)
     )
 
 
@@ -94,6 +131,8 @@ def write_grid_files(
         from pyarrow import fs
 
         variable, day = key
+        if not (group["iy"].between(0, ny - 1).all() and group["ix"].between(0, nx - 1).all()):
+            raise ValueError(f"{variable} {day}: cells outside grid {spec.grid_id!r}")
         hours = np.array([float((pd.Timestamp(day) - pd.Timestamp("1970-01-01")) / pd.Timedelta(hours=1))])
         filesystem, root = fs.FileSystem.from_uri(folder)
         for stat in stats:

@@ -11,6 +11,7 @@ from gridzonal.functions.times import from_year
 from gridzonal.operators import grid
 from gridzonal.operators.coverage import footprint
 from gridzonal.operators.zonal import prune_to_box
+from gridzonal.plans.reanalysis import zone_daily
 from gridzonal.sources import tables
 
 SF = "/root/testdata/sf0.001"
@@ -95,5 +96,35 @@ def test_writes_are_balanced_by_partition(spark):
     """A partition with most of the rows is split over tasks; small ones share a task."""
     obs = views.grid_obs(spark, SF)
     hot = obs.withColumn("variable", F.lit("view"))
-    plan = plan_of(sinks._balanced(obs.unionByName(hot), ["variable"]))
+    plan = plan_of(sinks._arranged(obs.unionByName(hot), ["variable"], [], False))
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
+    assert "Exchange" not in plan_of(sinks._arranged(obs, ["variable"], [], True))
+
+
+def test_sorted_files_answer_filters(spark):
+    import pyarrow.parquet as pq
+
+    path = storage.fresh_path(spark, "sorted")
+    sinks.append(views.grid_obs(spark, SF), path, ["variable"], ["iy", "ix"])
+    for name in glob.glob(f"{path}/variable=*/*.parquet"):
+        column = pq.read_table(name, columns=["iy", "ix"], partitioning=None)
+        pairs = list(zip(column["iy"].to_pylist(), column["ix"].to_pylist()))
+        assert pairs == sorted(pairs)
+
+
+def test_bucketed_observations_need_no_shuffle(spark):
+    """Both aggregations of the historical plan reuse the table's partitioning by day."""
+    obs = views.in_model_units(views.grid_obs(spark, SF))
+    sinks.store_bucketed(obs, "obs_by_day", 8, storage.fresh_path(spark, "bucketed"))
+    zones = views.zones(spark, SF)
+    weights = tables.store_weights(zones, views.GRID, storage.fresh_path(spark, "weights"))
+    plan = lambda source: zone_daily(
+        source, zones, views.GRID, weights, units=views.UNITS, all_zones=False
+    )
+    stored = plan(spark.table("obs_by_day"))
+    shuffled = [line for line in plan_of(stored).splitlines() if "Exchange hashpartitioning" in line]
+    assert all("variable" not in line for line in shuffled)
+    assert len(shuffled) == 1  # the distinct cells of the weights
+    direct = plan(obs)
+    assert stored.exceptAll(direct).count() == direct.exceptAll(stored).count() == 0
+    spark.sql("DROP TABLE obs_by_day")

@@ -78,6 +78,7 @@ def test_min_mean_max_are_ordered(spark):
         views.grid_obs(spark, SF), views.zones(spark, SF), views.GRID, units={k: (1.0, 0.0, "") for k in views.UNITS}
     )
     wide = table.groupBy("variable", "code_muni", "date").pivot("stat", ["min", "mean", "max"]).agg(F.first("value"))
+    wide = wide.filter("coalesce(min, mean, max) is not null")
     assert wide.count() > 0
     assert wide.filter("min > mean or mean > max or min is null").count() == 0
 
@@ -189,7 +190,9 @@ def test_forecast_of_one_run(spark, zones):
         rows, "variable string, run_time timestamp_ntz, lead_hour int, iy int, ix int, value double"
     )
     table = zone_forecast(obs, zones, UNIT)
-    got = [(r.lead_hour, r.valid_time, r.local_time, r.value) for r in table.orderBy("lead_hour").collect()]
+    rows = table.orderBy("lead_hour", "code_muni").collect()
+    assert [(r.lead_hour, r.value) for r in rows if r.code_muni == 2] == [(0, None), (120, None)]
+    got = [(r.lead_hour, r.valid_time, r.local_time, r.value) for r in rows if r.code_muni == 1]
     assert got == [
         (0, dt.datetime(2025, 7, 9, 12), dt.datetime(2025, 7, 9, 9), 299.48),
         (120, dt.datetime(2025, 7, 14, 12), dt.datetime(2025, 7, 14, 9), 299.48),
@@ -202,3 +205,20 @@ def test_current_run_per_variable(spark):
     rows = [("a", dt.datetime(2025, 1, 1), 1), ("a", dt.datetime(2025, 1, 2), 2), ("b", dt.datetime(2025, 1, 1), 3)]
     table = spark.createDataFrame(rows, "variable string, run_time timestamp_ntz, n int")
     assert sorted(r.n for r in current_run(table).collect()) == [2, 3]
+
+
+def test_current_run_reads_only_recent_partitions(spark):
+    path = fresh_path(spark, "forecasts")
+    table = views.grid_forecast(spark, SF)
+    table.write.partitionBy("run_time").parquet(path)
+    stored = spark.read.schema(table.schema).parquet(path)
+    newest = current_run(stored)
+    assert "PartitionFilters: [isnotnull(run_time), (run_time >= 2024-01-30" in plan_of(newest)
+    expected = current_run(table)
+    assert newest.select(*table.columns).exceptAll(expected).count() == 0
+    assert newest.count() == expected.count() > 0
+
+
+def test_current_run_of_nothing(spark):
+    empty = spark.createDataFrame([], "variable string, run_time timestamp_ntz, n int")
+    assert current_run(empty).count() == 0
