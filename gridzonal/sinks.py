@@ -123,7 +123,8 @@ def write_grid_files(
     task that is lost or run twice leaves no torn file.
     """
     cloudpickle.register_pickle_by_value(netcdf)
-    ny, nx = spec.ny, spec.nx
+    # Plain values only: a task must not need the package to unpickle the function.
+    grid_id, ny, nx = spec.grid_id, spec.ny, spec.nx
     lats = spec.lat0 + (np.arange(ny) + 0.5) * spec.dlat
     lons = spec.lon0 + (np.arange(nx) + 0.5) * spec.dlon
 
@@ -132,7 +133,7 @@ def write_grid_files(
 
         variable, day = key
         if not (group["iy"].between(0, ny - 1).all() and group["ix"].between(0, nx - 1).all()):
-            raise ValueError(f"{variable} {day}: cells outside grid {spec.grid_id!r}")
+            raise ValueError(f"{variable} {day}: cells outside grid {grid_id!r}")
         hours = np.array([float((pd.Timestamp(day) - pd.Timestamp("1970-01-01")) / pd.Timedelta(hours=1))])
         filesystem, root = fs.FileSystem.from_uri(folder)
         for stat in stats:

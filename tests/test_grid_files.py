@@ -1,5 +1,8 @@
 import datetime as dt
+import os
 import struct
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -194,6 +197,31 @@ def test_daily_files_are_written_and_replaced(spark, tmp_path):
     }
 
 
+def test_workers_need_not_have_the_package(tmp_path):
+    """The functions sent to Python workers carry the decoder with them."""
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(netcdf)
+    (tmp_path / "mapper").write_bytes(cloudpickle.dumps(grid_files._decode((3.0, -10.0, -3.0, 10.0))))
+    (tmp_path / "a.nc").write_bytes(packed_file())
+    script = (
+        "import pickle, sys, pyarrow as pa\n"
+        "mapper = pickle.load(open('mapper', 'rb'))\n"
+        "batch = pa.RecordBatch.from_pylist([{'path': 'a.nc', 'content': open('a.nc', 'rb').read()}])\n"
+        "print(sum(b.num_rows for b in mapper([batch])), 'gridzonal' in sys.modules)\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert done.stdout.split() == ["8", "False"], done.stderr
+
+
+def test_cell_outside_the_grid_is_refused(spark, tmp_path):
+    rows = [("o3", dt.date(2024, 1, 1), -1, 0, 1.0)]
+    obs = spark.createDataFrame(rows, "variable string, date date, iy int, ix int, value double")
+    with pytest.raises(Exception, match="cells outside grid 'g'"):
+        write_grid_files(daily_cell_stats(obs), str(tmp_path / "daily"), SPEC)
+
+
 def test_each_landed_file_is_ingested_once(spark, tmp_path):
     landing, work = tmp_path / "landing", fresh_path(spark, "stream")
     landing.mkdir()
