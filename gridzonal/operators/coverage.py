@@ -41,13 +41,11 @@ def zone_edges(zones: DataFrame) -> DataFrame:
     twice_area = """aggregate(pairs, 0D, (total, p) -> total
         + (p.a.lon - pairs[0].a.lon) * (p.b.lat - pairs[0].a.lat)
         - (p.b.lon - pairs[0].a.lon) * (p.a.lat - pairs[0].a.lat))"""
-    return paired.selectExpr(
-        "zone_id",
-        "ring",
-        "role",
-        f"CAST(-signum({twice_area}) * if(role = 'hole', -1, 1) AS INT) AS weight",
-        "posexplode(pairs) AS (edge, e)",
-    ).selectExpr(
+    # A step of its own: next to the explode it would be worked out again for every edge.
+    wound = paired.selectExpr(
+        "zone_id", "ring", "role", "pairs", f"CAST(-signum({twice_area}) * if(role = 'hole', -1, 1) AS INT) AS weight"
+    )
+    return wound.selectExpr("zone_id", "ring", "role", "weight", "posexplode(pairs) AS (edge, e)").selectExpr(
         "zone_id",
         "ring",
         "role",
@@ -199,6 +197,11 @@ class Footprint:
     ix_min: int
     ix_max: int
 
+    @property
+    def cells(self) -> int:
+        """Cells of the bounding box."""
+        return (self.iy_max - self.iy_min + 1) * (self.ix_max - self.ix_min + 1)
+
 
 def footprint(zones: DataFrame, spec: GridSpec) -> Footprint:
     """Bounding cells of the zone layer and the sum of its zones' box sizes.

@@ -14,6 +14,9 @@ from gridzonal.operators.series import STATS, melt_stats
 from gridzonal.operators.zonal import complete_zones, prune_to_box, prune_to_cells, zonal_stats
 from gridzonal.schema import GridSpec
 
+# Zones that touch less of their common bounding box than this are worth a semi-join on cells.
+SPARSE = 0.5
+
 
 def zone_daily(
     obs: DataFrame,
@@ -30,15 +33,16 @@ def zone_daily(
 
     Time first, then space: daily mean, max and min per cell, then the coverage-weighted mean of each
     over the zones, then unit conversion and rounding. All variables, days and statistics are one
-    plan with two shuffles of the observations. Pass stored ``weights`` when the zone layer is large;
-    with them, cells outside every zone are also dropped before the first shuffle. ``all_zones``
-    gives zones without a cell a row with NULL for every day on record.
+    plan with two shuffles of the observations. Cells outside the zones' bounding box are dropped in
+    the scan. Pass stored ``weights`` when the zone layer is large; with them, and zones scattered
+    over their box, cells outside every zone are dropped before the first shuffle as well.
+    ``all_zones`` gives zones without a cell a row with NULL for every day on record.
     """
     box = footprint(zones, spec)
     cells = prune_to_box(obs, box).withColumn("value", present(F.col("value")))
     if weights is None:
         weights = zone_weights(zones, spec)
-    else:
+    elif box.rows < SPARSE * box.cells:
         cells = prune_to_cells(cells, weights, box.rows)
     daily = daily_cell_stats(cells, STATS, strict=strict)
     by_zone = zonal_stats(

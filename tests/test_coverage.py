@@ -161,3 +161,26 @@ def test_validation(spark):
 def test_no_pairwise_join_in_the_plan(spark):
     plan = plan_of(zone_weights(make_zones(spark, {1: [("shell", rectangle(0, 0, 1, 1))]}), UNIT))
     assert "Join" not in plan and "CartesianProduct" not in plan
+
+
+def test_winding_is_worked_out_once_per_ring(spark):
+    """Above the explode, the shoelace sum would run over the whole ring for every edge."""
+    zones = make_zones(spark, {1: [("shell", rectangle(0, 0, 1, 1))]})
+    lines = plan_of(zone_weights(zones, UNIT)).splitlines()
+    explode = next(i for i, line in enumerate(lines) if "posexplode(pairs" in line)
+    assert [i for i, line in enumerate(lines) if "SIGNUM" in line] > [explode]
+
+
+def test_large_ring(spark):
+    """20,000 vertices over a grid of 200 x 200; the area is that of the ring."""
+    n = 20_000
+    points = [
+        ((r := 90 + 5 * math.sin(37 * a)) * math.cos(a) + 100, r * math.sin(a) + 100)
+        for a in (2 * math.pi * k / n for k in range(n))
+    ]
+    spec = GridSpec("l", 0.0, 0.0, 1.0, 1.0, 200, 200)
+    total = zone_weights(make_zones(spark, {1: [("shell", points)]}), spec).selectExpr(
+        "sum(fraction) AS area", "max(fraction) AS top"
+    ).first()
+    assert total.area == pytest.approx(ring_area(points), abs=1e-6)
+    assert total.top <= 1 + 1e-9

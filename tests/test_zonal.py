@@ -170,6 +170,17 @@ def test_order_and_partitioning_do_not_matter(spark, partitions):
     assert expected.exceptAll(got).count() == got.exceptAll(expected).count() == 0
 
 
+def test_scattered_zones_are_pruned_by_cell(spark):
+    """Two far corners fill little of their box, so the plan semi-joins on cells; the table is the same."""
+    zones = views.zones(spark, SF).filter("zone_id in (0, 24)")
+    weights = store_weights(zones, views.GRID, fresh_path(spark, "weights"))
+    obs = views.in_model_units(views.grid_obs(spark, SF))
+    pruned = zone_daily(obs, zones, views.GRID, weights, units=views.UNITS)
+    direct = zone_daily(obs, zones, views.GRID, units=views.UNITS)
+    assert "LeftSemi" in plan_of(pruned) and "LeftSemi" not in plan_of(direct)
+    assert direct.exceptAll(pruned).count() == pruned.exceptAll(direct).count() == 0
+
+
 def test_series_views(spark):
     stored = spark.createDataFrame(
         [("pm25", "mean", 1, dt.date(2024, 1, 1), 5.0), ("pm25", "max", 1, dt.date(2024, 1, 1), 9.0)],
