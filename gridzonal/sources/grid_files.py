@@ -19,12 +19,14 @@ from gridzonal.sources import netcdf
 BATCH_CELLS = 250_000
 
 DECODED = (
-    "path string, variable string, layer int, valid_time timestamp_ntz, lat double, lon double, value double"
+    "variable string, run_time timestamp_ntz, source_file string, layer int, valid_time timestamp_ntz, "
+    "lat double, lon double, value double"
 )
 _DECODED_ARROW = pa.schema(
     [
-        ("path", pa.string()),
         ("variable", pa.string()),
+        ("run_time", pa.timestamp("us")),
+        ("source_file", pa.string()),
         ("layer", pa.int32()),
         ("valid_time", pa.timestamp("us")),
         ("lat", pa.float64()),
@@ -54,9 +56,12 @@ def first_match(files: DataFrame) -> DataFrame:
 
 
 def _decode(area: tuple[float, float, float, float] | None):
-    """Arrow mapper from (path, content) to cell rows, one latitude band of one layer per batch."""
+    """Arrow mapper from (path, variable, run_time, source_file, content) to cell rows.
 
-    def cells(path: str, content: bytes) -> Iterator[pa.RecordBatch]:
+    One latitude band of one layer makes a batch.
+    """
+
+    def cells(content: bytes, variable, run_time, source_file) -> Iterator[pa.RecordBatch]:
         for name, lats, lons, times, attrs, layers in netcdf.layers_of(content):
             rows = np.arange(len(lats))
             cols = np.arange(len(lons))
@@ -73,14 +78,17 @@ def _decode(area: tuple[float, float, float, float] | None):
                     part = rows[start : start + band]
                     values = netcdf.unpack(layers[layer][np.ix_(part, cols)], attrs).ravel()
                     n = values.size
+
+                    def same(value, kind):
+                        return pa.repeat(pa.scalar(value, kind), n)
+
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([path]).take(pa.array(np.zeros(n, np.int32))),
-                            pa.array([name]).take(pa.array(np.zeros(n, np.int32))),
-                            pa.array(np.full(n, layer, np.int32)),
-                            pa.array([times[layer] if times else None], pa.timestamp("us")).take(
-                                pa.array(np.zeros(n, np.int32))
-                            ),
+                            same(name if variable is None else variable, pa.string()),
+                            same(run_time, pa.timestamp("us")),
+                            same(source_file, pa.string()),
+                            same(layer, pa.int32()),
+                            same(times[layer] if times else None, pa.timestamp("us")),
                             pa.array(np.repeat(lats[part], len(cols))),
                             pa.array(np.tile(lons[cols], len(part))),
                             pa.array(values, mask=np.isnan(values)),
@@ -90,53 +98,57 @@ def _decode(area: tuple[float, float, float, float] | None):
 
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch.column(0), batch.column(1)):
+            for path, variable, run_time, source_file, content in zip(*batch.columns):
                 try:
-                    yield from cells(path.as_py(), content.as_py())
+                    yield from cells(
+                        content.as_py(), variable.as_py(), run_time.as_py(), source_file.as_py()
+                    )
                 except (ValueError, KeyError, IndexError, OverflowError, StructError) as problem:
                     raise ValueError(f"cannot read grid file {path.as_py()}: {problem}") from problem
 
     return mapper
 
 
-def decode_files(files: DataFrame, area: tuple[float, float, float, float] | None = None) -> DataFrame:
+def decode_files(
+    files: DataFrame,
+    area: tuple[float, float, float, float] | None = None,
+    variable: Column | None = None,
+    run_time: Column | None = None,
+    source_file: bool = False,
+) -> DataFrame:
     """Rows of ``binaryFile`` (batch or streaming) to cells; fill values and NaN become NULL.
 
-    ``area`` (north, west, south, east) is cut out of the arrays before rows are made.
+    ``variable`` and ``run_time`` may be expressions over ``path``; they are evaluated once per file.
+    Without ``variable`` the name inside the file is used. ``area`` (north, west, south, east) is cut
+    out of the arrays before rows are made.
     """
     # Workers get the decoder with the task, whether or not the package is installed there.
     cloudpickle.register_pickle_by_value(netcdf)
-    mapper = _decode(area)
-    return files.select("path", "content").mapInArrow(mapper, DECODED)
+    missing = F.lit(None)
+    return files.select(
+        "path",
+        (missing if variable is None else variable).cast("string").alias("variable"),
+        (missing if run_time is None else run_time).cast("timestamp_ntz").alias("run_time"),
+        (base_name(F.col("path")) if source_file else missing).cast("string").alias("source_file"),
+        "content",
+    ).mapInArrow(_decode(area), DECODED)
 
 
-def to_observations(
-    cells: DataFrame,
-    spec: GridSpec,
-    variable: Column | None = None,
-    run_time: Column | None = None,
-    source_file: bool = False,
-) -> DataFrame:
+def to_observations(cells: DataFrame, spec: GridSpec, source_file: bool = False) -> DataFrame:
     """Decoded cells in the ``grid_obs`` schema, plus ``date`` and, if asked for, ``source_file``.
 
-    ``variable`` and ``run_time`` may be expressions over ``path``. With a run time the layer position
-    is the lead hour, and the valid time follows from it.
+    With a run time the layer position is the lead hour, and the valid time follows from it.
     """
-    lead = F.col("layer")
-    located = normalise_grid(cells, spec)
-    if variable is not None:
-        located = located.withColumn("variable", variable)
-    if run_time is not None:
-        located = (
-            located.withColumn("run_time", run_time)
-            .withColumn("lead_hour", lead)
-            .withColumn("valid_time", F.timestamp_add("HOUR", lead, F.col("run_time")))
+    forecast = F.col("run_time").isNotNull()
+    located = (
+        normalise_grid(cells, spec)
+        .withColumn("lead_hour", F.when(forecast, F.col("layer")))
+        .withColumn(
+            "valid_time",
+            F.coalesce(F.timestamp_add("HOUR", F.col("lead_hour"), F.col("run_time")), F.col("valid_time")),
         )
-    else:
-        located = located.withColumn("run_time", F.lit(None).cast("timestamp_ntz")).withColumn(
-            "lead_hour", F.lit(None).cast("int")
-        )
-    origin = [base_name(F.col("path")).alias("source_file")] if source_file else []
+    )
+    origin = ["source_file"] if source_file else []
     return located.select(
         *[F.col(field.name).cast(field.dataType).alias(field.name) for field in GRID_OBS],
         F.col("valid_time").cast("date").alias("date"),
@@ -159,7 +171,7 @@ def scan_grid_files(
         .load(folder)
         .filter(base_name(F.col("path")).rlike(pattern))
     )
-    return to_observations(decode_files(files, area), spec, variable, run_time)
+    return to_observations(decode_files(files, area, variable, run_time), spec)
 
 
 def grid_specs(spark: SparkSession, folder: str, pattern: str = r"\.nc$") -> DataFrame:

@@ -7,13 +7,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_ROOTS: dict[str, str] = {}
+_LOCAL_ROOTS: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by the cluster in ``spark.checkpoint.dir``.
 
-    Only a local session, where there is one machine, may fall back to a temporary folder.
+    Only a local session, where there is one machine, may fall back to a temporary folder, which is
+    gone when Python exits.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -22,8 +23,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if context.applicationId not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="gridzonal-")
-    return _LOCAL_ROOTS[context.applicationId]
+        _LOCAL_ROOTS[context.applicationId] = tempfile.TemporaryDirectory(
+            prefix="gridzonal-", ignore_cleanup_errors=True
+        )
+    return _LOCAL_ROOTS[context.applicationId].name
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -33,7 +33,8 @@ def stream_grid_files(
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     files = reader.load(folder).filter(base_name(F.col("path")).rlike(pattern))
-    return to_observations(decode_files(files, area), spec, variable, run_time, source_file=True)
+    cells = decode_files(files, area, variable, run_time, source_file=True)
+    return to_observations(cells, spec, source_file=True)
 
 
 def stream_parquet(

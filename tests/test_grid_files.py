@@ -207,7 +207,8 @@ def test_workers_need_not_have_the_package(tmp_path):
     script = (
         "import pickle, sys, pyarrow as pa\n"
         "mapper = pickle.load(open('mapper', 'rb'))\n"
-        "batch = pa.RecordBatch.from_pylist([{'path': 'a.nc', 'content': open('a.nc', 'rb').read()}])\n"
+        "batch = pa.RecordBatch.from_pylist([{'path': 'a.nc', 'variable': 'x', 'run_time': None, "
+        "'source_file': None, 'content': open('a.nc', 'rb').read()}])\n"
         "print(sum(b.num_rows for b in mapper([batch])), 'gridzonal' in sys.modules)\n"
     )
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
