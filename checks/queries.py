@@ -16,9 +16,9 @@ from gridzonal.operators import grid, series, zonal
 from gridzonal.operators.coverage import footprint, validate_zones, zone_edges, zone_weights
 from gridzonal.plans.forecast import current_run, zone_forecast
 from gridzonal.plans.reanalysis import register_series_views, zone_daily
-from gridzonal.schema import DAY_STEPS, DAY_STEPS_O3, ZONE_DAILY, GridSpec
+from gridzonal.schema import DAY_STEPS_O3, GridSpec
 from gridzonal.sources import grid_files, manifest, tables
-from gridzonal.storage import fresh_path
+from gridzonal.storage import fresh_path, materialise
 from gridzonal.streaming.ingest import append_new, replace_runs, stream_parquet
 
 FIRST_DAY, LAST_DAY = dt.date(2023, 12, 25), dt.date(2024, 2, 4)
@@ -299,9 +299,10 @@ def current_run_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stack_stats(spark: SparkSession, sf: str) -> DataFrame:
-    wide = v.zone_daily_wide(spark, sf)
+    """Three stored tables, one per statistic, each read from 1998 on; the year filter reaches the scans."""
+    stored = materialise(v.zone_daily_wide(spark, sf), "price-stats")
     parts = {
-        stat: wide.filter(times.from_year(F.col("date"), 1998)).select("code_muni", "date", F.col(stat).alias("value"))
+        stat: stored.filter(times.from_year(F.col("date"), 1998)).select("code_muni", "date", F.col(stat).alias("value"))
         for stat in series.STATS
     }
     return series.stack_stats(parts).withColumn("value", round_to(F.col("value")))

@@ -36,12 +36,17 @@ def join_checked(
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
-def frame_of(left: DataFrame, right: DataFrame, spread_by: list[str], buckets: int = 64) -> DataFrame:
+def frame_of(
+    left: DataFrame, right: DataFrame, spread_by: list[str], buckets: int | None = None
+) -> DataFrame:
     """Every row of ``left`` with every row of ``right``, for results that *are* that product.
 
     ``right`` is spread over buckets by the hash of ``spread_by`` and ``left`` is repeated once
-    per bucket, which makes it an equi-join with evenly filled keys.
+    per bucket, which makes it an equi-join with evenly filled keys. There are as many buckets as
+    shuffle partitions unless stated.
     """
+    if buckets is None:
+        buckets = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = right.withColumn("_bucket", F.pmod(F.xxhash64(*spread_by), F.lit(buckets)).cast("int"))
     repeated = left.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     return repeated.join(spread, "_bucket").drop("_bucket")

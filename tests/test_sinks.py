@@ -12,6 +12,7 @@ from gridzonal.operators import grid
 from gridzonal.operators.coverage import footprint
 from gridzonal.operators.zonal import prune_to_box
 from gridzonal.plans.reanalysis import zone_daily
+from gridzonal.schema import ZONE_DAILY
 from gridzonal.sources import tables
 
 SF = "/root/testdata/sf0.001"
@@ -128,3 +129,20 @@ def test_bucketed_observations_need_no_shuffle(spark):
     direct = plan(obs)
     assert stored.exceptAll(direct).count() == direct.exceptAll(stored).count() == 0
     spark.sql("DROP TABLE obs_by_day")
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_zones_from_files(spark, fmt):
+    path = storage.fresh_path(spark, "zones")
+    zones = views.zones(spark, SF)
+    zones.write.format(fmt).save(path)
+    back = tables.scan_zones(spark, path, fmt)
+    assert sorted(back.collect()) == sorted(zones.collect())
+
+
+def test_fixed_schemas(spark):
+    table = zone_daily(
+        views.in_model_units(views.grid_obs(spark, SF)), views.zones(spark, SF), views.GRID, units=views.UNITS
+    )
+    found = [(f.name, f.dataType) for f in table.schema]
+    assert found == [(f.name, f.dataType) for f in ZONE_DAILY]
