@@ -78,17 +78,17 @@ def pivot_stats(stacked: DataFrame, ids: Sequence[str], names: Sequence[str] = S
     return stacked.groupBy(*ids).agg(*[only(name) for name in names])
 
 
-def export_monthly(stacked: DataFrame) -> DataFrame:
-    """Monthly export (cod6, ano_mes, pm25) from stacked daily statistics.
+def export_monthly(stacked: DataFrame, value_name: str = "pm25") -> DataFrame:
+    """Monthly export (cod6, ano_mes, <value_name>) from stacked daily statistics.
 
     Monthly mean, pivot and dropping of the min and max columns are fused into one aggregation.
-    Zone-months that have only min or max rows stay, with ``pm25`` NULL.
+    Zone-months that have only min or max rows stay, with the value NULL.
     """
     return (
         stacked.groupBy("code_muni", month_start(F.col("date")).alias("date"))
         .agg(F.avg(F.when(F.col("name") == "mean", F.col("value"))).alias("mean"))
         .withColumn("code_muni", code6(F.col("code_muni")))
-        .withColumnsRenamed({"code_muni": "cod6", "date": "ano_mes", "mean": "pm25"})
+        .withColumnsRenamed({"code_muni": "cod6", "date": "ano_mes", "mean": value_name})
     )
 
 

@@ -72,7 +72,9 @@ def store_bucketed(
 
     Rows of a (variable, date) then share a bucket, and that partitioning serves the cell-day and the
     zone-day aggregation alike: the whole historical plan over such a table needs no shuffle of
-    the observations. Worth its one shuffle when the table is read more than once.
+    the observations. Worth its one shuffle when the table is read more than once. Where single days are
+    too large for a task, add ``iy`` to the keys: a day is then split over buckets, the cell-day
+    aggregation stays local and only partial zone sums are shuffled.
     """
     (
         obs.repartition(buckets, *[F.col(key) for key in keys])

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridzonal.functions.names import grid_file_name
 from gridzonal.functions.times import valid_time
-from gridzonal.schema import DAY_STEPS, LAST_LEAD_HOUR
+from gridzonal.schema import DAY_STEPS, LAST_LEAD_HOUR, REQUEST_NAMES
 
 
 def day_manifest(variables: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
@@ -22,12 +22,40 @@ def day_manifest(variables: DataFrame, start: dt.date, end: dt.date) -> DataFram
 
 
 def request_manifest(
-    variables: DataFrame, start: dt.date, end: dt.date, steps: Sequence[str] = DAY_STEPS
+    variables: DataFrame,
+    start: dt.date,
+    end: dt.date,
+    steps: Sequence[str] = DAY_STEPS,
+    special: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """``day_manifest`` times the steps of a day."""
-    return day_manifest(variables, start, end).withColumn(
-        "step", F.explode(F.array(*[F.lit(step) for step in steps]))
-    )
+    """``day_manifest`` times the steps of a day; ``special`` lists variables with steps of their own."""
+
+    def times(values: Sequence[str]):
+        return F.array(*[F.lit(value) for value in values])
+
+    chosen = times(steps)
+    for name, own in (special or {}).items():
+        chosen = F.when(F.col("variable") == name, times(own)).otherwise(chosen)
+    return day_manifest(variables, start, end).withColumn("step", F.explode(chosen))
+
+
+def describe_requests(
+    work: DataFrame,
+    area: tuple[float, float, float, float] | None = None,
+    names: Mapping[str, str] = REQUEST_NAMES,
+) -> DataFrame:
+    """Manifest rows with the provider's variable name and the area asked for.
+
+    A variable without a known name is passed on under its own.
+    """
+    requested = F.col("variable")
+    for short, full in names.items():
+        requested = F.when(F.col("variable") == short, F.lit(full)).otherwise(requested)
+    described = work.withColumn("request_name", requested)
+    if area is not None:
+        for edge, degrees in zip(("north", "west", "south", "east"), area):
+            described = described.withColumn(edge, F.lit(float(degrees)))
+    return described
 
 
 def lead_manifest(runs: DataFrame, last: int = LAST_LEAD_HOUR) -> DataFrame:

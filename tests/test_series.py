@@ -5,7 +5,10 @@ from helpers import plan_of
 from pyspark.sql import functions as F
 
 from gridzonal.operators import series
+from gridzonal.plans.export import daily_report, monthly_report
+from gridzonal.schema import DAY_STEPS_O3, FORECAST_AREA, ZONE_DAILY
 from gridzonal.sources import manifest
+from gridzonal.storage import fresh_path
 
 ROW = "code_muni bigint, date date, value double"
 
@@ -120,3 +123,41 @@ def test_manifests(spark):
     leads = manifest.lead_manifest(runs)
     assert leads.count() == 121
     assert leads.agg(F.max("valid_time")).first()[0] == dt.datetime(2025, 7, 14, 12)
+
+
+def test_steps_of_their_own(spark):
+    variables = spark.createDataFrame([("o3",), ("co",)], "variable string")
+    day_one = day("2024-01-01")
+    work = manifest.request_manifest(variables, day_one, day_one, special={"o3": DAY_STEPS_O3})
+    counts = {r["variable"]: r["count"] for r in work.groupBy("variable").count().collect()}
+    assert counts == {"o3": 6, "co": 8}
+
+
+def test_request_descriptions(spark):
+    work = spark.createDataFrame([("o3",), ("haze",)], "variable string")
+    rows = {r.variable: r for r in manifest.describe_requests(work, FORECAST_AREA).collect()}
+    assert (rows["o3"].request_name, rows["haze"].request_name) == ("total_column_ozone", "haze")
+    assert (rows["o3"].north, rows["o3"].west, rows["o3"].south, rows["o3"].east) == (33.0, -118.0, -56.0, -30.0)
+    assert "request_name" in manifest.describe_requests(work).columns
+
+
+def test_reports_from_the_stored_table(spark):
+    path = fresh_path(spark, "series")
+    rows = [
+        ("pm25", stat, 5103403, day(d), value)
+        for d, values in {"2017-12-31": (1.0, 1.0, 1.0), "2018-01-01": (2.0, 3.0, 1.0), "2018-01-02": (4.0, 9.0, 0.5), "2024-02-01": (5.0, 6.0, 4.0)}.items()
+        for stat, value in zip(("mean", "max", "min"), values)
+    ] + [("o3", "mean", 5103403, day("2024-02-01"), 250.0)]
+    spark.createDataFrame(rows, ZONE_DAILY).write.partitionBy("variable", "stat").parquet(path)
+    table = spark.read.schema(ZONE_DAILY).parquet(path)
+    monthly = monthly_report(table)
+    assert sorted(map(tuple, monthly.collect())) == [
+        (510340, day("2018-01-01"), 3.0),
+        (510340, day("2024-02-01"), 5.0),
+    ]
+    assert [tuple(r) for r in daily_report(table).collect()] == [(510340, day("2024-02-01"), 4.0, 5.0, 6.0)]
+    assert monthly_report(table, "o3").columns == ["cod6", "ano_mes", "o3"]
+    plan = plan_of(monthly_report(table))
+    assert "(variable = pm25)" in plan.split("PartitionFilters")[1]
+    assert "GreaterThanOrEqual(date,2018-01-01)" in plan
+    assert plan.count("Exchange") == 1

@@ -131,6 +131,21 @@ def test_bucketed_observations_need_no_shuffle(spark):
     spark.sql("DROP TABLE obs_by_day")
 
 
+def test_large_days_are_split_over_buckets(spark):
+    """With the row in the key, only the zone-day sums are exchanged."""
+    obs = views.in_model_units(views.grid_obs(spark, SF))
+    keys = ["variable", "date", "iy"]
+    sinks.store_bucketed(obs, "obs_by_row", 8, storage.fresh_path(spark, "bucketed"), keys)
+    zones = views.zones(spark, SF)
+    weights = tables.store_weights(zones, views.GRID, storage.fresh_path(spark, "weights"))
+    stored = zone_daily(spark.table("obs_by_row"), zones, views.GRID, weights, units=views.UNITS, all_zones=False)
+    shuffled = [line for line in plan_of(stored).splitlines() if "Exchange hashpartitioning" in line]
+    assert len(shuffled) == 1 and "zone_id" in shuffled[0]
+    direct = zone_daily(obs, zones, views.GRID, weights, units=views.UNITS, all_zones=False)
+    assert stored.exceptAll(direct).count() == direct.exceptAll(stored).count() == 0
+    spark.sql("DROP TABLE obs_by_row")
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "json"])
 def test_zones_from_files(spark, fmt):
     path = storage.fresh_path(spark, "zones")
