@@ -208,6 +208,9 @@ SELECT 'demo' AS grid_id, zone_id, iy, ix, {_exact('fraction')} AS fraction FROM
 SELECT variable, date, {TARGET} AS target FROM days d
 WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.event_type = d.variable AND CAST(e.ts AS DATE) = d.date)
 ORDER BY date DESC, variable""",
+    "missing_files": f"""WITH {DAYS}
+SELECT variable, date, {TARGET} AS target FROM days
+WHERE (variable, date) NOT IN (SELECT event_type, CAST(ts AS DATE) FROM events)""",
     "missing_steps": f"""WITH {DAYS}
 SELECT variable, date, lpad(CAST(h AS VARCHAR), 2, '0') || ':00' AS step FROM days, range(24) s(h)
 EXCEPT SELECT event_type, CAST(ts AS DATE), strftime(ts, '%H:00') FROM events""",

@@ -107,6 +107,13 @@ def scan_by_pattern(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def missing_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Days of the manifest for which no daily file of the mean was written."""
+    written = grid_files.days_of(grid_files.list_files(spark, _daily_files(spark, sf), r"_mean\.nc$"))
+    planned = manifest.day_manifest(_variables(spark, sf), FIRST_DAY, LAST_DAY)
+    return manifest.missing(planned, written, ["variable", "date"])
+
+
 # Sinks
 
 
@@ -491,6 +498,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zone_weights": zone_weight_table,
     "missing_days": missing_days,
     "missing_steps": missing_steps,
+    "missing_files": missing_files,
     "zonal_left_complete": zonal_left_complete,
     "daily_cell_stats": daily_cell_stats,
     "daily_cell_stats_strict": daily_cell_stats_strict,

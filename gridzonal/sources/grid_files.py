@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridzonal.functions.names import base_name
+from gridzonal.functions.names import base_name, date_from_name, variable_from_name
 from gridzonal.operators.grid import normalise_grid
 from gridzonal.schema import GRID_OBS, GridSpec
 from gridzonal.sources import netcdf
@@ -55,6 +55,16 @@ def first_match(files: DataFrame) -> DataFrame:
     return files.orderBy("name").limit(1)
 
 
+def days_of(files: DataFrame) -> DataFrame:
+    """(variable, date) of listed files, read from their names; other names are left out.
+
+    Set against a day manifest with ``manifest.missing``, this tells what has not been fetched.
+    """
+    name = F.col("name")
+    named = files.select(variable_from_name(name).alias("variable"), date_from_name(name).alias("date"))
+    return named.filter("variable IS NOT NULL AND date IS NOT NULL")
+
+
 def _decode(area: tuple[float, float, float, float] | None):
     """Arrow mapper from (path, variable, run_time, source_file, content) to cell rows.
 

@@ -3,6 +3,7 @@ import os
 import struct
 import subprocess
 import sys
+import types
 
 import numpy as np
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gridzonal.functions import names
 from gridzonal.schema import GridSpec
-from gridzonal.sources import grid_files, netcdf
+from gridzonal.sources import grid_files, manifest, netcdf
 from gridzonal.sinks import write_grid_files
 from gridzonal.operators.grid import daily_cell_stats
 from gridzonal.storage import fresh_path
@@ -164,6 +165,47 @@ def test_unreadable_file_is_named(spark, tmp_path, content, message):
     assert "broken_20240101.nc" in str(problem.value)
 
 
+def test_files_on_disk_are_not_fetched_again(spark, tmp_path):
+    for name in ("grid_o3_20240102.nc", "grid_o3_20240102_mean.nc", "grid_co_20240101.nc", "grid_o3_.nc", "notes.txt"):
+        (tmp_path / name).write_bytes(b"x")
+    variables = spark.createDataFrame([("o3",), ("co",)], "variable string")
+    planned = manifest.day_manifest(variables, dt.date(2024, 1, 1), dt.date(2024, 1, 2))
+    on_disk = grid_files.days_of(grid_files.list_files(spark, str(tmp_path)))
+    todo = manifest.missing(planned, on_disk, ["variable", "date"])
+    assert sorted(r.target for r in todo.collect()) == ["grid_co_20240102.nc", "grid_o3_20240101.nc"]
+
+
+def test_hdf5_variables_map_to_the_same_form(monkeypatch):
+    """The optional library is absent here, so a stand-in with its interface is read."""
+
+    class Dataset:
+        def __init__(self, name, data, scales=(), attrs=None):
+            self.name, self.data, self.attrs = name, np.asarray(data), attrs or {}
+            self.dims = [[scale] if scale is not None else [] for scale in scales]
+
+        def __getitem__(self, _key):
+            return self.data
+
+    lat, lon = Dataset("/latitude", [1.5, 0.5], [None]), Dataset("/longitude", [0.5, 1.5], [None])
+    time = Dataset("/time", [0, 3], [None], {"units": b"hours since 2024-01-01"})
+    field = Dataset("/t2m", np.arange(8.0).reshape(2, 2, 2), [time, lat, lon], {"_FillValue": np.float64(7.0), "other": 1})
+
+    class File(dict):
+        def __init__(self, _stream, _mode):
+            super().__init__(latitude=lat, longitude=lon, time=time, t2m=field, group={})
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            return None
+
+    monkeypatch.setitem(sys.modules, "h5py", types.SimpleNamespace(File=File, Dataset=Dataset))
+    ((name, lats, _lons, times, attrs, layers),) = netcdf.layers_of(netcdf.HDF5_MAGIC)
+    assert (name, lats.tolist(), times) == ("t2m", [1.5, 0.5], [dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 3)])
+    assert np.isnan(netcdf.unpack(layers[1], attrs)[1, 1]) and layers[0].tolist() == [[0.0, 1.0], [2.0, 3.0]]
+
+
 def test_listing_by_pattern(spark, tmp_path):
     for name in ("grid_pm25_20240102_min.nc", "grid_pm25_20240102_max.nc", "grid_no2_20240103_min.nc", "min.nc.txt"):
         (tmp_path / name).write_bytes(b"x")
