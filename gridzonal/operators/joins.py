@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 # About 64 bytes per row in a hashed relation, so at most some 64 MB on each executor.
 BROADCAST_ROWS = 1_000_000
-SALTS = 32
+# Enough to break up a hot key; adaptive execution splits what is still large by size. More salts repeat
+# the small side more often, which costs time when no key is hot.
+SALTS = 8
 
 
 def join_checked(
