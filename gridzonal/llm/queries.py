@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from gridzonal.llm.exact_dedup import exact_groups
+from gridzonal.llm.kdtree import top_k
 from gridzonal.llm.mixing import EPOCHS, SEED, TEMPERATURE, mix
 from gridzonal.llm.packing import pack
+from gridzonal.llm.quality import classify
 from gridzonal.llm.token_orc import token_digests, write_token_orc
 from gridzonal.llm.warc import SHORTEST_REVISIT, page_archive
 from gridzonal.storage import fresh_path
@@ -28,6 +30,11 @@ def op1_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(spark, path)
 
 
+def op3_kdtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -40,19 +47,41 @@ def op7_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"))
 
 
+def op8_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_archive(_table(spark, sf_dir, "pages"))
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_orc": op1_token_orc,
+    "op3_kdtree_topk": op3_kdtree_topk,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_poisson_mixing": op7_poisson_mixing,
+    "op8_ftrl_quality": op8_ftrl_quality,
     "op10_warc": op10_warc,
 }
 
 ORACLE: dict[str, str] = {
+    "op3_kdtree_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        s AS (
+            SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+            FROM v a, v b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+        ),
+        r AS (
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+            FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+    """,
     "op4_exact_dedup": """
         WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents),
         g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY ALL)
