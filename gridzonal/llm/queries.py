@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridzonal.llm.exact_dedup import exact_groups
 from gridzonal.llm.kdtree import top_k
+from gridzonal.llm.lm import lm_scores
 from gridzonal.llm.mixing import EPOCHS, SEED, TEMPERATURE, mix
 from gridzonal.llm.packing import pack
 from gridzonal.llm.quality import classify
@@ -51,6 +52,10 @@ def op8_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_trie_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(_table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_archive(_table(spark, sf_dir, "pages"))
 
@@ -62,6 +67,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_poisson_mixing": op7_poisson_mixing,
     "op8_ftrl_quality": op8_ftrl_quality,
+    "op9_trie_lm": op9_trie_lm,
     "op10_warc": op10_warc,
 }
 

@@ -119,3 +119,24 @@ def byte_prefix_hashes(data: np.ndarray) -> np.ndarray:
 def span_hash(summed: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     values = (summed[ends] - summed[starts]) * powers(_INVERSE, len(summed))[starts]
     return mix(values + (ends - starts).astype(np.uint64))
+
+
+def to_planes(values: np.ndarray) -> bytes:
+    """Unsigned integers as byte planes, no wider than the largest needs; equal high bytes compress away."""
+    raw = np.ascontiguousarray(values, dtype="<u8").view(np.uint8).reshape(len(values), 8)
+    width = 8
+    while width > 1 and not raw[:, width - 1].any():
+        width -= 1
+    return bytes([width]) + np.ascontiguousarray(raw[:, :width].T).tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    width, count = data[0], (len(data) - 1) // data[0]
+    raw = np.zeros((count, 8), dtype=np.uint8)
+    raw[:, :width] = np.frombuffer(data, dtype=np.uint8, offset=1).reshape(width, count).T
+    return raw.reshape(-1).view("<u8")
+
+
+def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
+    """Shards as ranges of hashes: in sorted order, a shard's hashes lie together."""
+    return ((hashes >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
