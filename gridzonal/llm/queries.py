@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from gridzonal.llm.exact_dedup import exact_groups
+from gridzonal.llm.jaccard import near_components
 from gridzonal.llm.kdtree import top_k
 from gridzonal.llm.lm import lm_scores
 from gridzonal.llm.mixing import EPOCHS, SEED, TEMPERATURE, mix
@@ -31,6 +32,10 @@ def op1_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(spark, path)
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_components(_table(spark, sf_dir, "documents"))
+
+
 def op3_kdtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return top_k(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
@@ -62,6 +67,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_orc": op1_token_orc,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_kdtree_topk": op3_kdtree_topk,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,

@@ -101,7 +101,7 @@ def shingles(hashes: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndar
     value = np.zeros(total, dtype=np.uint64)
     for step in range(size):
         reach = np.minimum(place + step, total - 1)
-        term = mix(hashes[reach] + np.uint64(step + 1) * _BASE)
+        term = mix(hashes[reach] + powers(_BASE, size + 1)[step + 1])
         value += np.where(place + step < last, term, np.uint64(0)) if total else term
     whole = place + size <= last
     short = (np.repeat(counts, counts) < size) & (place == last - np.repeat(counts, counts))
