@@ -14,6 +14,7 @@ from gridzonal.llm.lm import lm_scores
 from gridzonal.llm.mixing import EPOCHS, SEED, TEMPERATURE, mix
 from gridzonal.llm.packing import pack
 from gridzonal.llm.quality import classify
+from gridzonal.llm.suffixes import repeated_passages
 from gridzonal.llm.token_orc import token_digests, write_token_orc
 from gridzonal.llm.warc import SHORTEST_REVISIT, page_archive
 from gridzonal.storage import fresh_path
@@ -49,6 +50,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), end_id=0, capacity=CAPACITY)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op7_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"))
 
@@ -71,6 +76,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_kdtree_topk": op3_kdtree_topk,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_poisson_mixing": op7_poisson_mixing,
     "op8_ftrl_quality": op8_ftrl_quality,
     "op9_trie_lm": op9_trie_lm,
