@@ -4,10 +4,11 @@ The n-grams have one global order, cut into fragments. Pass one sends each docum
 a fragment learns which of its n-grams occur in more than one document. An n-gram that many documents of a slice share
 is known to be common there and is sent once, without them. A document can only have a partner if enough of its n-grams are
 shared, so most leave here with their set size. Pass two works on one representative for every set: candidates share an n-gram of
-the prefix, rarest first, that two sets must share; each candidate pair's overlap is counted fragment by fragment on its own and summed
-per pair. Candidates come in rounds: first neighbours in each prefix list, sorted by set size; then, in lists that still hold more
-than one component, all pairs across components. Pairs inside a component can't change the result, so a large
-group of near copies costs its members, not its pairs, and no link between components is lost.
+the prefix, rarest first, that two sets must share, with enough n-grams after it in both; each candidate pair's overlap
+is counted fragment by fragment on its own and summed per pair. Candidates come in rounds: first every document with the one of its prefix list
+that has the fewest rarer n-grams; then, in lists that still hold more than one component, all pairs across
+components. Pairs inside a component can't change the result, so a large group of near copies costs its members, not its pairs,
+and no link between components is lost.
 
 Null and empty texts, and texts of separators only, have the empty set and no links; fewer words than the shingle's size are one
 shingle. Repeated rows and ids are documents each; a null id never becomes a component's id unless no other is there. An empty table
@@ -23,7 +24,6 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from gridzonal.llm.graph import components
 from gridzonal.llm.skew import attach_group
@@ -173,58 +173,33 @@ def shingle_sets(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, fra
     return answered.groupBy("slice").applyInArrow(_assemble(percent), SETS)
 
 
-LISTED = "key bigint, n bigint, tag bigint"
-NEIGHBOURS = f"{LISTED}, before_key bigint, before_n bigint, before_tag bigint, part int, edge string"
-
-
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each row with the row before; the first and last rows of the partition are sent too."""
-    part, before = TaskContext.get().partitionId(), None
-    names = ["key", "n", "tag", "before_key", "before_n", "before_tag", "part", "edge"]
-
-    def made(now: list, last: list, edge: str | None) -> pa.RecordBatch:
-        size = len(now[0])
-        columns = [pa.array(c, pa.int64()) for c in (*now, *last)]
-        more = [pa.array([part] * size, pa.int32()), pa.array([edge] * size, pa.string())]
-        return pa.RecordBatch.from_arrays(columns + more, names=names)
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        now = [batch.column(c).to_numpy() for c in ("key", "n", "tag")]
-        if before is None:
-            yield made([c[:1] for c in now], [c[:1] for c in now], "first")
-            last = [c[:-1] for c in now]
-            yield made([c[1:] for c in now], last, None)
-        else:
-            yield made(now, [np.append(b, c[:-1]) for b, c in zip(before, now)], None)
-        before = [c[-1:] for c in now]
-    if before is not None:
-        yield made(before, before, "last")
-
-
-def neighbour_pairs(listed: DataFrame, percent: int) -> DataFrame:
-    """(x, y, nx, ny) of rows that follow one another in a list, over a range sort that may cut a list anywhere."""
-    order = ["key", "n", "tag"]
-    found = materialise(
-        listed.select(*order).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours, NEIGHBOURS), "near"
+def _bound(percent: int) -> str:
+    """Whether two sets may link if this is their first common n-gram: ``rest`` counts those from it on in the global order.
+
+    A pair that links passes at its first common n-gram, so what fails at a later one is not lost.
+    """
+    most = "least(rest_x, rest_y)"
+    return f"100 * {most} >= {percent} * (nx + ny - {most})"
+
+
+def star_pairs(listed: DataFrame, percent: int) -> DataFrame:
+    """(x, y, nx, ny) of every row with the row of its list that has the fewest rarer n-grams.
+
+    A copy with few changes is close to all others of its group. One row per list is the result of a partial aggregate.
+    """
+    order = F.struct(F.col("rest") - F.col("n"), F.col("n"), F.col("tag"))
+    stars = listed.groupBy("key").agg(F.max_by(F.struct("tag", "n", "rest"), order).alias("star"))
+    pairs = listed.join(stars, "key").selectExpr(
+        "tag AS x", "star.tag AS y", "n AS nx", "star.n AS ny", "rest AS rest_x", "star.rest AS rest_y"
     )
-    # Two rows per partition, so the seams are few.
-    seams = found.filter("edge IS NOT NULL")
-    along = Window.orderBy("part", F.when(F.col("edge") == "first", 0).otherwise(1))
-    seams = seams.select(*order, *[F.lag(c).over(along).alias(f"before_{c}") for c in order], "edge").filter("edge = 'first'")
-    rows = found.filter("edge IS NULL").drop("part", "edge").unionByName(seams.drop("edge"))
-    rows = rows.filter("key = before_key AND tag <> before_tag")
-    return _oriented(rows.selectExpr("before_tag AS x", "tag AS y", "before_n AS nx", "n AS ny"), percent)
-
-
-def _oriented(pairs: DataFrame, percent: int) -> DataFrame:
-    """Each pair once, the smaller tag first; sets whose sizes differ too much can't link."""
-    able = pairs.filter(f"100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
-    turned = able.selectExpr(
+    return _oriented(pairs.filter(f"x <> y AND {_bound(percent)}"))
+
+
+def _oriented(pairs: DataFrame) -> DataFrame:
+    """Each pair once, the smaller tag first."""
+    return pairs.selectExpr(
         "least(x, y) AS x", "greatest(x, y) AS y", "if(x <= y, nx, ny) AS nx", "if(x <= y, ny, nx) AS ny"
-    )
-    return turned.distinct()
+    ).distinct()
 
 
 def count_links(pairs: DataFrame, segments: DataFrame, percent: int, fragments: int) -> DataFrame:
@@ -241,7 +216,7 @@ def count_links(pairs: DataFrame, segments: DataFrame, percent: int, fragments:
 def _across(listed: DataFrame, labels: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components in the lists that still hold several, without those tested before."""
     known = listed.join(labels, listed.tag == labels.node, "left")
-    named = known.select("key", "n", "tag", F.coalesce("component", "tag").alias("component"))
+    named = known.select("key", "n", "rest", "tag", F.coalesce("component", "tag").alias("component"))
     named = materialise(named, "named")
     counted = named.groupBy("key", "component").agg(F.count(F.lit(1)).alias("held"))
     mixed = counted.groupBy("key").agg(
@@ -249,11 +224,10 @@ def _across(listed: DataFrame, labels: DataFrame, tested: DataFrame, percent: in
     )
     mixed = mixed.filter("several > 1").select("key", "main")
     inside = materialise(named.join(mixed, "key"), "mixed")
-    few = inside.filter("component <> main").selectExpr("key", "n AS nx", "tag AS x", "component AS cx")
-    all_ = inside.selectExpr("key", "n AS ny", "tag AS y", "component AS cy", "component = main AS in_main")
-    sized = f"100 * least(nx, ny) >= {percent} * greatest(nx, ny)"
-    pairs = few.join(all_, "key").filter(f"cx <> cy AND (in_main OR x < y) AND {sized}")
-    return _oriented(pairs, percent).join(tested, ["x", "y"], "left_anti")
+    few = inside.filter("component <> main").selectExpr("key", "n AS nx", "rest AS rest_x", "tag AS x", "component AS cx")
+    all_ = inside.selectExpr("key", "n AS ny", "rest AS rest_y", "tag AS y", "component AS cy", "component = main AS in_main")
+    pairs = few.join(all_, "key").filter(f"cx <> cy AND (in_main OR x < y) AND {_bound(percent)}")
+    return _oriented(pairs).join(tested, ["x", "y"], "left_anti")
 
 
 def near_components(
@@ -279,7 +253,8 @@ def near_components(
         "groups",
     )
     chosen = materialise(able.join(groups.select("tag"), "tag", "left_semi").select("tag", "n", "prefix", "items"), "chosen")
-    listed = chosen.select("n", "tag", F.explode(F.expr("slice(items, 1, prefix)")).alias("key"))
+    listed = chosen.select("n", "tag", F.size("items").alias("held"), F.posexplode(F.expr("slice(items, 1, prefix)")).alias("at", "key"))
+    listed = listed.select("key", "n", "tag", (F.col("held") - F.col("at")).cast("bigint").alias("rest"))
     lists = listed.groupBy("key").agg(F.count(F.lit(1)).alias("held")).filter("held > 1").select("key")
     listed = materialise(listed.join(lists, "key"), "listed")
     # A fragment is a range of the n-grams' hashes.
@@ -291,7 +266,7 @@ def near_components(
         .agg(F.collect_list("item").alias("segment")),
         "segments",
     )
-    pairs = materialise(neighbour_pairs(listed, percent), "pairs")
+    pairs = materialise(star_pairs(listed, percent), "pairs")
     links = materialise(count_links(pairs, segments, percent, fragments), "links")
     labels = components(links)
     rest = materialise(_across(listed, labels, pairs.select("x", "y"), percent), "pairs")
