@@ -1,7 +1,7 @@
 """Language-model scoring of whole texts with a sharded n-gram trie.
 
 Tokens are words (A-Z lower-cased) and an end after each text. Texts are handled in slices, and a slice asks for each of its
-different words and word pairs once. Pass one deals the words to shards by hash, counts them over all training texts and gives
+different words and word pairs once. Its tokens are stored once, bucketed by slice. Pass one deals the words to shards by hash, counts them over all training texts and gives
 every word an id. Pass two deals the pairs to shards by context; a shard writes its part of the trie (see
 ``trie``), maps it and answers the slices that asked. Pass three adds up the texts. So every count covers all texts, no task
 holds more than a shard or a slice, a frequent word or pair costs one entry per slice, and nothing of the
@@ -17,6 +17,7 @@ without training texts N and V are 0. An empty table gives an empty result. Colu
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -28,8 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridzonal.llm.text import Words, from_planes, mix, raw_texts, shard_of, slices, to_planes
-from gridzonal.llm.trie import Trie
-from gridzonal.storage import materialise
+from gridzonal.llm.trie import Trie, chances
+from gridzonal.storage import fresh_path, materialise
 
 SLICE_BYTES = 4 << 20
 DISCOUNT = 0.75
@@ -50,7 +51,12 @@ def _rows(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
-def _slice_words(shards: int):
+def _slice_tokens(shards: int, kind: str):
+    """Rows of every slice: its tokens ("texts"), or its different words by shard with their counts ("words").
+
+    The two are made in separate passes over the texts, so that the words need not be stored.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
@@ -61,25 +67,44 @@ def _slice_words(shards: int):
                 tokens = np.empty(int(sizes.sum()), dtype=np.uint64)
                 tokens[np.cumsum(sizes) - 1] = _END[0]
                 tokens[np.arange(len(words.doc)) + words.doc] = words.hashes()
+                del words
                 distinct, own = np.unique(tokens, return_inverse=True)
-                learned = np.repeat([not held_out(i) for i in ids[first:last]], sizes)
-                counts = np.bincount(own[learned], minlength=len(distinct))
-                rows = [(number, -1, "texts", ids[first:last], to_planes(sizes), to_planes(own), None)]
-                edges = np.searchsorted(shard_of(distinct, shards), np.arange(shards + 1))
-                for shard, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
-                    if b > a:
-                        block = (distinct[a:b].astype("<u8").tobytes(), to_planes(counts[a:b]))
-                        rows.append((number, shard, "words", None, *block, None))
+                if kind == "texts":
+                    rows = [(number, -1, kind, ids[first:last], to_planes(sizes), to_planes(own), None)]
+                else:
+                    learned = np.repeat([not held_out(i) for i in ids[first:last]], sizes)
+                    counts = np.bincount(own[learned], minlength=len(distinct))
+                    edges = np.searchsorted(shard_of(distinct, shards), np.arange(shards + 1))
+                    rows = [
+                        (number, shard, kind, None, to_planes(distinct[a:b]), to_planes(counts[a:b]), None)
+                        for shard, (a, b) in enumerate(zip(edges[:-1], edges[1:]))
+                        if b > a
+                    ]
                 yield from _rows(rows).to_batches()
                 number += 1
 
     return run
 
 
+def _store_texts(texts: DataFrame, buckets: int) -> DataFrame:
+    """The slices' tokens as a table bucketed by slice, so that the later passes do not shuffle them."""
+    name = f"lm_texts_{uuid.uuid4().hex}"
+    (
+        texts.repartition(buckets, "slice")
+        .write.format("parquet")
+        .option("compression", "zstd")
+        .option("path", fresh_path(texts.sparkSession, "lm-texts"))
+        .bucketBy(buckets, "slice")
+        .sortBy("slice")
+        .saveAsTable(name)
+    )
+    return texts.sparkSession.table(name)
+
+
 def _count_words(shards: int):
     def run(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
-        asked = [np.frombuffer(x, "<u8") for x in table.column("a").to_pylist()]
+        asked = [from_planes(x) for x in table.column("a").to_pylist()]
         counts = np.concatenate([from_planes(x) for x in table.column("b").to_pylist()])
         distinct, own = np.unique(np.concatenate(asked), return_inverse=True)
         total = np.bincount(own, weights=counts, minlength=len(distinct)).astype(np.uint64)
@@ -159,14 +184,23 @@ def _answer_pairs(table: pa.Table) -> pa.Table:
     if len(order):
         heads = np.flatnonzero(np.concatenate([[True], (context[1:] != context[:-1]) | (word[1:] != word[:-1])]))
         context, word, counts = context[heads], word[heads], np.add.reduceat(counts, heads)
+    # All slices ask at once, in the order of the trie.
+    lengths = [len(w) for _c, _runs, w in asked]
+    all_context = np.concatenate([np.repeat(c, runs) for c, runs, _w in asked])
+    all_word = np.concatenate([w for _c, _runs, w in asked])
+    order = np.lexsort((all_word, all_context))
+    heads = _heads(all_context[order])
+    contexts = all_context[order[heads]]
+    codes = np.empty(len(order), dtype=np.uint8)
     with tempfile.TemporaryDirectory() as folder:
         Trie.write(Path(folder), context, word, counts, DISCOUNT)
-        trie = Trie(Path(folder))
-        tables = np.concatenate([trie.table, trie.backoff_table]).astype("<f4").tobytes()
-        rows = []
-        for number, (contexts, runs, words) in zip(numbers, asked):
-            codes, backoff = trie.look_up(contexts, runs, words)
-            rows.append((number, shard, "codes", None, codes.tobytes(), backoff.tobytes(), tables))
+        found, backoff = Trie(Path(folder)).look_up(contexts, np.diff(np.append(heads, len(order))), all_word[order])
+        codes[order] = found
+    rows = []
+    edges = np.cumsum([0, *lengths])
+    for number, (own, _runs, _words), a, b in zip(numbers, asked, edges[:-1], edges[1:]):
+        weights = backoff[np.searchsorted(contexts, own)]
+        rows.append((number, shard, "codes", None, codes[a:b].tobytes(), weights.tobytes(), None))
     return _rows(rows)
 
 
@@ -186,12 +220,11 @@ def _score_slice(shards: int, tokens: int, words: int):
         rest = np.ones(len(held.word))
         for row in answers.filter(pa.array(kind == "codes")).to_pylist():
             part = slice(held.edges[row["shard"]], held.edges[row["shard"] + 1])
-            tables = np.frombuffer(row["c"], "<f4").reshape(2, -1)
             backoff = np.frombuffer(row["b"], np.uint8)
             heads = _heads(held.context[part])
             runs = np.diff(np.append(heads, part.stop - part.start))
-            pair_chance[part] = tables[0][np.frombuffer(row["a"], np.uint8)]
-            rest[part] = np.repeat(np.where(backoff > 0, tables[1][backoff], 1.0), runs)
+            pair_chance[part] = chances(np.frombuffer(row["a"], np.uint8))
+            rest[part] = np.repeat(np.where(backoff > 0, chances(backoff), 1.0), runs)
         whole = pair_chance[held.pair] + rest[held.pair] * chance
         add = lambda v: np.bincount(held.doc, weights=v, minlength=len(held.ids))
         known = add((held.counts > 0)[held.own].astype(float)).astype(np.int64)
@@ -213,19 +246,17 @@ def _score_slice(shards: int, tokens: int, words: int):
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row per row of ``docs``."""
     spark = docs.sparkSession
-    shards = shards or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards or 4 * partitions
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    asked = materialise(chosen.mapInArrow(_slice_words(shards), BLOCKS), "lm-words")
-    texts = asked.filter("kind = 'texts'")
-    counted = materialise(
-        asked.filter("kind = 'words'").groupBy("shard").applyInArrow(_count_words(shards), BLOCKS), "lm-counts"
-    )
+    texts = _store_texts(chosen.mapInArrow(_slice_tokens(shards, "texts"), BLOCKS), partitions)
+    words = chosen.mapInArrow(_slice_tokens(shards, "words"), BLOCKS)
+    counted = materialise(words.groupBy("shard").applyInArrow(_count_words(shards), BLOCKS), "lm-counts")
     # One row per shard, added up by Spark.
     totals = counted.filter("kind = 'totals'").agg(F.sum(F.col("ids")[0]), F.sum(F.col("ids")[1])).first()
-    tokens, words = (int(x or 0) for x in totals)
+    tokens, distinct = (int(x or 0) for x in totals)
     counts = counted.filter("kind = 'counts'")
     pairs = texts.groupBy("slice").cogroup(counts.groupBy("slice")).applyInArrow(_slice_pairs(shards), BLOCKS)
     codes = materialise(pairs.groupBy("shard").applyInArrow(_answer_pairs, BLOCKS), "lm-codes")
-    answers = counts.unionByName(codes)
-    scored = texts.groupBy("slice").cogroup(answers.groupBy("slice"))
-    return scored.applyInArrow(_score_slice(shards, tokens, words), SCORES)
+    scored = texts.groupBy("slice").cogroup(counts.unionByName(codes).groupBy("slice"))
+    return scored.applyInArrow(_score_slice(shards, tokens, distinct), SCORES)

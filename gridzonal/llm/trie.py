@@ -3,7 +3,7 @@
 Level one lists contexts and level two, for each context, the words that follow it. Both are monotone sequences: a word is
 stored relative to its context, as its id above the last value of the context before, so one sequence covers all contexts and
 a successor search finds a word within its own. Pointers from contexts to their words are a third
-sequence. Probabilities and back-off weights are one byte each, codes into tables fitted to their quantiles.
+sequence. Probabilities and back-off weights are one byte each, a logarithm in steps of ``1 / STEPS`` of a bit.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pathlib import Path
 import numpy as np
 
 BLOCK = 4096
-CODES = 255
+STEPS = 6
 
 
 class EliasFano:
@@ -97,27 +97,21 @@ class EliasFano:
         return out
 
 
-def quantise(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(codes from 1, table): the mean of every quantile bin; code 0 stands for none."""
-    table = np.zeros(CODES + 1)
-    if not len(values):
-        return np.zeros(0, dtype=np.uint8), table
-    distinct = np.unique(values)
-    if len(distinct) <= CODES:
-        table[1 : len(distinct) + 1] = distinct
-        return (np.searchsorted(distinct, values) + 1).astype(np.uint8), table
-    edges = np.unique(np.quantile(values, np.arange(1, CODES) / CODES))
-    codes = np.searchsorted(edges, values, side="right")
-    number = np.bincount(codes, minlength=CODES)
-    table[1:] = np.bincount(codes, weights=values, minlength=CODES) / np.maximum(number, 1)
-    return (codes + 1).astype(np.uint8), table
+def quantise(values: np.ndarray) -> np.ndarray:
+    """Codes 1 to 255 of probabilities from 1 down to 2**(-254 / STEPS), under which no count of a corpus falls; 0 stands for none."""
+    return (1 + np.clip(np.round(-np.log2(values) * STEPS), 0, 254)).astype(np.uint8)
+
+
+def chances(codes: np.ndarray) -> np.ndarray:
+    """The probabilities of codes."""
+    return np.where(codes > 0, 2.0 ** ((1.0 - codes) / STEPS), 0.0)
 
 
 class Trie:
     """Discounted probabilities of words after contexts, and each context's back-off weight."""
 
     SEQUENCES = ("contexts", "pointers", "words")
-    ARRAYS = ("codes", "table", "backoff", "backoff_table")
+    ARRAYS = ("codes", "backoff")
 
     @staticmethod
     def write(folder: Path, context: np.ndarray, word: np.ndarray, count: np.ndarray, discount: float) -> None:
@@ -131,9 +125,9 @@ class Trie:
         EliasFano.build(context[heads]).save(folder, "contexts")
         EliasFano.build(np.append(heads, len(context))).save(folder, "pointers")
         EliasFano.build(word + base[own] if len(heads) else word).save(folder, "words")
-        codes, table = quantise((count - discount) / total[own] if len(heads) else np.zeros(0))
-        backoff, backoff_table = quantise(discount * (ends - heads) / total if len(heads) else np.zeros(0))
-        for name, held in zip(Trie.ARRAYS, (codes, table, backoff, backoff_table)):
+        codes = quantise((count - discount) / total[own])
+        backoff = quantise(discount * (ends - heads) / total)
+        for name, held in zip(Trie.ARRAYS, (codes, backoff)):
             np.save(folder / f"{name}.npy", held)
 
     def __init__(self, folder: Path):
