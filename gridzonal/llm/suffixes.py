@@ -33,7 +33,7 @@ from gridzonal.storage import fresh_path, materialise
 
 LENGTH = 50
 GRAM = 24
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 SPLITTER_DOCS = 2000
 
 ASKED = "shard int, slice int, step string, ids binary, counts binary, keys binary, more binary"
@@ -401,11 +401,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     A byte goes if a ``LENGTH``-byte string over it also starts in a document with a smaller id.
     """
     spark: SparkSession = docs.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = 2 * partitions
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows, size = chosen.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
     splitters = _splitters(chosen, rows, shards)
-    stored = store_slices(chosen, size or 0, shards)
+    stored = store_slices(chosen, size or 0, partitions)
 
     def run_pass(answers: DataFrame | None, make, schema: str) -> DataFrame:
         by_slice = stored.groupBy("slice")
