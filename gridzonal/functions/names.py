@@ -24,8 +24,19 @@ def date_from_name(name: Column) -> Column:
 
 
 def variable_from_name(name: Column) -> Column:
-    """The part between the prefix and the date: ``grid_pm25_20240102_mean.nc`` gives ``pm25``."""
-    found = F.regexp_extract(base_name(name), r"^[^_]+_(.+)_[0-9]{8}", 1)
+    """The part between the prefix and the date: ``grid_pm25_20240102_mean.nc`` gives ``pm25``.
+
+    ``forecast_`` before it is left out, and a forecast file may have no date: ``grid_forecast_pm25.nc``.
+    """
+    base = base_name(name)
+    dated = F.regexp_extract(base, r"^[^_]+_(?:forecast_)?(.+)_[0-9]{8}", 1)
+    undated = F.regexp_extract(base, r"^[^_]+_forecast_([^_.]+)[.][^.]+$", 1)
+    return F.when(dated != "", dated).when(undated != "", undated)
+
+
+def stat_from_name(name: Column) -> Column:
+    """``mean``, ``max`` or ``min`` at the end of a daily file's stem; NULL elsewhere."""
+    found = F.regexp_extract(base_name(name), r"_(mean|max|min)[.][^.]*$", 1)
     return F.when(found != "", found)
 
 

@@ -10,9 +10,20 @@ from pyspark.sql import functions as F
 from gridzonal.schema import conversions
 
 
+EXACT_DIGITS = 9
+EXACT_BELOW = 1e18
+
+
 def round_to(value: Column, digits: int = 2) -> Column:
-    """Round half up on the decimal value, so that 2.675 gives 2.68 on every engine."""
-    return F.round(value.cast("decimal(28,9)"), digits).cast("double")
+    """Round half up on the decimal value, so that 2.675 gives 2.68 on every engine.
+
+    The decimal has ``EXACT_DIGITS`` places, so more digits are refused. From ``EXACT_BELOW`` on a double has no
+    decimals left to round, and the value stays as it is, as do NaN and the infinities.
+    """
+    if digits > EXACT_DIGITS:
+        raise ValueError(f"cannot round to {digits} digits; at most {EXACT_DIGITS} are exact")
+    inside = F.abs(value) < F.lit(EXACT_BELOW)
+    return F.when(inside, F.round(value.cast("decimal(28,9)"), digits).cast("double")).otherwise(value.cast("double"))
 
 
 def present(value: Column) -> Column:

@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from gridzonal.schema import GridSpec
 
-# Fractions up to this size are rounding noise along shared borders.
-MIN_FRACTION = 1e-9
+# What is left of terms that cancel is rounding noise up to this part of their sizes, and so is what the rounding of
+# coordinates alone can make; beyond that the size of a zone plays no role.
+NOISE = 1e-12
 # Pieces flatter than this are integrated as horizontal.
 FLAT = 1e-9
 
@@ -79,8 +80,11 @@ def _column_pieces(edges: DataFrame, spec: GridSpec) -> DataFrame:
     spanned = (
         ends.selectExpr(
             "*",
-            f"greatest({_index('lx', spec.lon0, spec.dlon)}, 0) AS first",
-            f"least({_index('hx', spec.lon0, spec.dlon)}, {spec.nx - 1}) AS last",
+            # The columns of a closed grid go on around the globe.
+            f"{_index('lx', spec.lon0, spec.dlon)} AS first" if spec.closed
+            else f"greatest({_index('lx', spec.lon0, spec.dlon)}, 0) AS first",
+            f"{_index('hx', spec.lon0, spec.dlon)} AS last" if spec.closed
+            else f"least({_index('hx', spec.lon0, spec.dlon)}, {spec.nx - 1}) AS last",
         )
         .where("first <= last")
         .selectExpr("zone_id", "sign", "lx", "hx", "ly", "hy", "explode(sequence(first, last)) AS ix")
@@ -95,7 +99,7 @@ def _column_pieces(edges: DataFrame, spec: GridSpec) -> DataFrame:
         .where("xa < xb")
         .selectExpr(
             "zone_id",
-            "ix",
+            f"CAST(pmod(ix, {spec.nx}) AS INT) AS ix",
             "sign",
             "xb - xa AS width",
             "ly + (hy - ly) / (hx - lx) * (xa - lx) AS ya",
@@ -150,7 +154,12 @@ def edge_weights(edges: DataFrame, spec: GridSpec) -> DataFrame:
     boundary = (
         _row_pieces(_column_pieces(edges, spec), spec)
         .groupBy("zone_id", "ix", "iy")
-        .agg(F.sum("part").alias("part"), F.sum("below").alias("below"))
+        .agg(
+            F.sum("part").alias("part"),
+            F.sum("below").alias("below"),
+            F.sum(F.abs("part")).alias("part_size"),
+            F.sum(F.abs("below")).alias("below_size"),
+        )
     )
     down = "(PARTITION BY zone_id, ix ORDER BY iy DESC"
     height, width = _double(spec.dlat), _double(spec.dlon)
@@ -163,16 +172,19 @@ def edge_weights(edges: DataFrame, spec: GridSpec) -> DataFrame:
         f"coalesce(sum(below) OVER {down} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0D) AS before",
         f"sum(below) OVER {down} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS after",
         f"lead(iy, 1, -1) OVER {down}) AS next_iy",
+        "part_size",
+        f"coalesce(sum(below_size) OVER {down} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0D) AS before_size",
+        f"sum(below_size) OVER {down} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS after_size",
     ).selectExpr(
         "zone_id",
         "ix",
-        f"""stack(2, iy, iy, (part / {height} + before) / {width},
-            iy - 1, next_iy + 1, after / {width}) AS (top, bottom, fraction)""",
+        f"""stack(2, iy, iy, (part / {height} + before) / {width}, (part_size / {height} + before_size) / {width},
+            iy - 1, next_iy + 1, after / {width}, after_size / {width}) AS (top, bottom, fraction, terms)""",
     )
     # The gap is empty when the next boundary cell is adjacent. Below the last one it reaches to the
     # grid's southern border; it has no width left there unless the zone goes on beyond that.
     return runs.where(
-        f"bottom <= top AND top < {spec.ny} AND fraction > {_double(MIN_FRACTION)}"
+        f"bottom <= top AND top < {spec.ny} AND fraction > {_double(NOISE)} * terms + {_double(spec.rounding)}"
     ).select(
         F.lit(spec.grid_id).alias("grid_id"),
         "zone_id",
@@ -196,6 +208,7 @@ class Footprint:
     iy_max: int
     ix_min: int
     ix_max: int
+    zones: int = 0
 
     @property
     def cells(self) -> int:
@@ -214,10 +227,12 @@ def footprint(zones: DataFrame, spec: GridSpec) -> Footprint:
         return f"array_{pick}(transform(rings, r -> array_{pick}(transform(r.pts, p -> p.{axis}))))"
 
     def low(axis: str, origin: float, step: float) -> str:
-        return f"greatest({_index(extreme('min', axis), origin, step)}, 0)"
+        index = _index(extreme("min", axis), origin, step)
+        return index if axis == "lon" and spec.closed else f"greatest({index}, 0)"
 
     def high(axis: str, origin: float, step: float, n: int) -> str:
-        return f"least({_index(extreme('max', axis), origin, step)}, {n - 1})"
+        index = _index(extreme("max", axis), origin, step)
+        return index if axis == "lon" and spec.closed else f"least({index}, {n - 1})"
 
     box = zones.selectExpr(
         f"{low('lon', spec.lon0, spec.dlon)} AS w",
@@ -225,10 +240,13 @@ def footprint(zones: DataFrame, spec: GridSpec) -> Footprint:
         f"{low('lat', spec.lat0, spec.dlat)} AS s",
         f"{high('lat', spec.lat0, spec.dlat, spec.ny)} AS n",
     )
+    on_grid = "w <= e AND s <= n"
     row = (
-        box.where("w <= e AND s <= n")
+        box.selectExpr("*", f"{on_grid} AS hit")
+        .selectExpr("hit", "if(hit, w, NULL) AS w", "if(hit, e, NULL) AS e", "if(hit, s, NULL) AS s", "if(hit, n, NULL) AS n")
         .selectExpr(
-            "sum(CAST(e - w + 1 AS BIGINT) * (n - s + 1)) AS rows",
+            "count(1) AS zones",
+            f"sum(CAST(least(e - w + 1, {spec.nx}) AS BIGINT) * (n - s + 1)) AS rows",
             "min(s) AS s",
             "max(n) AS n",
             "min(w) AS w",
@@ -237,8 +255,11 @@ def footprint(zones: DataFrame, spec: GridSpec) -> Footprint:
         .first()
     )
     if row["rows"] is None:
-        return Footprint(0, 0, -1, 0, -1)
-    return Footprint(row["rows"], row["s"], row["n"], row["w"], row["e"])
+        return Footprint(0, 0, -1, 0, -1, row["zones"])
+    if row["w"] < 0 or row["e"] >= spec.nx:
+        # Some zone lies across the seam of a closed grid.
+        return Footprint(row["rows"], row["s"], row["n"], 0, spec.nx - 1, row["zones"])
+    return Footprint(row["rows"], row["s"], row["n"], row["w"], row["e"], row["zones"])
 
 
 def validate_zones(zones: DataFrame) -> DataFrame:
@@ -248,21 +269,39 @@ def validate_zones(zones: DataFrame) -> DataFrame:
     Everything is counted inside the zone's own row, without a shuffle.
     """
 
-    def total(per_ring: str) -> str:
-        return f"CAST(coalesce(aggregate(rings, 0, (n, r) -> n + {per_ring}), 0) AS BIGINT)"
-
-    outside = "p.lon IS NULL OR p.lat IS NULL OR NOT (abs(p.lon) <= 180 AND abs(p.lat) <= 90) OR isnan(p.lon) OR isnan(p.lat)"
-    following = "concat(slice(r.pts, 2, greatest(size(r.pts) - 1, 0)), slice(r.pts, 1, 1))"
-    return zones.selectExpr(
-        "zone_id",
-        f"{total('size(r.pts)')} AS n_vertices",
-        f"{total(f'size(filter(r.pts, p -> {outside}))')} AS n_outside",
-        f"{total(f'size(filter(zip_with(r.pts, {following}, (a, b) -> abs(b.lon - a.lon)), d -> d > 180))')} AS n_long_edges",
-        f"{total('if(size(r.pts) < 3, 1, 0)')} AS n_short_rings",
-    ).selectExpr(
+    return zones.selectExpr("zone_id", *[f"{sql} AS {name}" for name, sql in _fault_counts().items()]).selectExpr(
         "zone_id",
         "n_vertices",
         "n_outside",
         "n_long_edges",
+        "n_short_rings",
         "n_vertices > 0 AND n_outside = 0 AND n_long_edges = 0 AND n_short_rings = 0 AS valid",
     )
+
+
+def _fault_counts() -> dict[str, str]:
+    """What is counted in a zone's rings: SQL by name."""
+
+    def total(per_ring: str) -> str:
+        return f"CAST(coalesce(aggregate(rings, 0, (n, r) -> n + {per_ring}), 0) AS BIGINT)"
+
+    outside = "p.lon IS NULL OR p.lat IS NULL OR NOT (abs(p.lon) <= 180 AND abs(p.lat) <= 90) OR isnan(p.lon) OR isnan(p.lat)"
+    following = "concat(slice(r.pts, 2, greatest(size(r.pts) - 1, 0)), slice(r.pts, 1, 1))"
+    return {
+        "n_vertices": total("size(r.pts)"),
+        "n_outside": total(f"size(filter(r.pts, p -> {outside}))"),
+        "n_long_edges": total(f"size(filter(zip_with(r.pts, {following}, (a, b) -> abs(b.lon - a.lon)), d -> d > 180))"),
+        "n_short_rings": total("if(size(r.pts) < 3, 1, 0)"),
+    }
+
+
+def require_valid(zones: DataFrame) -> DataFrame:
+    """``zones`` as they are; a zone that ``validate_zones`` faults stops the job with its id and counts.
+
+    The checks are expressions over the zone's own row, so there is no second scan and no shuffle.
+    """
+    checked = zones.withColumns({name: F.expr(sql) for name, sql in _fault_counts().items()})
+    faults = F.concat_ws(", ", *[F.concat(F.lit(f"{name} "), F.col(name).cast("string")) for name in _fault_counts()])
+    bad = F.raise_error(F.concat(F.lit("zone "), F.coalesce(F.col("zone_id").cast("string"), F.lit("NULL")), F.lit(" is not valid: "), faults))
+    sound = "n_vertices > 0 AND n_outside = 0 AND n_long_edges = 0 AND n_short_rings = 0"
+    return checked.select("zone_id", F.when(F.expr(sound), F.col("rings")).otherwise(bad).alias("rings"))

@@ -18,10 +18,16 @@ def wrap_longitude(lon: Column) -> Column:
 
 
 def normalise_grid(cells: DataFrame, spec: GridSpec) -> DataFrame:
-    """Wrap ``lon`` and derive ``iy``/``ix`` (south to north, west to east) from cell centres."""
+    """Wrap ``lon`` and derive ``iy``/``ix`` (south to north, west to east) from cell centres.
+
+    On a closed grid every longitude has a column, wherever the grid begins.
+    """
+    east = F.col("lon") - spec.lon0
+    if spec.closed:
+        east = F.pmod(east, F.lit(360.0))
     return (
         cells.withColumn("lon", wrap_longitude(F.col("lon")))
-        .withColumn("ix", F.floor((F.col("lon") - spec.lon0) / spec.dlon).cast("int"))
+        .withColumn("ix", F.least(F.floor(east / spec.dlon), F.lit(spec.nx - 1) if spec.closed else F.lit(2**31 - 1)).cast("int"))
         .withColumn("iy", F.floor((F.col("lat") - spec.lat0) / spec.dlat).cast("int"))
     )
 
@@ -81,20 +87,25 @@ def regrid_bilinear(
     Each source cell is sent to the target cells whose centre lies within one source step of its
     own; that is index arithmetic, so the only exchange is the final sum and no target
     table is joined. Missing neighbours are left out and the other weights scaled up, as at the
-    grid's border. Targets centred outside the source grid get no row.
+    grid's border. Targets centred outside the source grid get no row. A closed source is continued beyond both ends, so
+    that targets at its seam have neighbours on either side.
     """
 
-    def targets(index: str, s0: float, ds: float, n: int, t0: float, dt: float, nt: int):
+    def targets(index: str, s0: float, ds: float, n: int, t0: float, dt: float, nt: int, turns=None):
         centre = F.lit(s0) + (F.col(index) + 0.5) * F.lit(ds)
+        if turns is not None:
+            centre = centre + turns
         # Target centres t0 + (j + 0.5) * dt strictly within one step of the source centre.
         first = F.floor((centre - F.lit(ds) - F.lit(t0)) / F.lit(dt) - 0.5).cast("int") + 1
         last = F.ceil((centre + F.lit(ds) - F.lit(t0)) / F.lit(dt) - 0.5).cast("int") - 1
-        inside_first = max(0, math.ceil((s0 - t0) / dt - 0.5))
-        inside_last = min(nt - 1, math.floor((s0 + n * ds - t0) / dt - 0.5))
+        inside_first = 0 if turns is not None else max(0, math.ceil((s0 - t0) / dt - 0.5))
+        inside_last = nt - 1 if turns is not None else min(nt - 1, math.floor((s0 + n * ds - t0) / dt - 0.5))
         return centre, F.greatest(first, F.lit(inside_first)), F.least(last, F.lit(inside_last))
 
+    if source.closed:
+        cells = cells.withColumn("_turn", F.explode(F.array(*[F.lit(turn) for turn in (-360.0, 0.0, 360.0)])))
     x, x_first, x_last = targets(
-        "ix", source.lon0, source.dlon, source.nx, target.lon0, target.dlon, target.nx
+        "ix", source.lon0, source.dlon, source.nx, target.lon0, target.dlon, target.nx, F.col("_turn") if source.closed else None
     )
     y, y_first, y_last = targets(
         "iy", source.lat0, source.dlat, source.ny, target.lat0, target.dlat, target.ny
@@ -119,8 +130,9 @@ def regrid_bilinear(
     near_x = 1 - F.abs(F.lit(target.lon0) + (F.col("ix") + 0.5) * target.dlon - F.col("_x")) / source.dlon
     near_y = 1 - F.abs(F.lit(target.lat0) + (F.col("iy") + 0.5) * target.dlat - F.col("_y")) / source.dlat
     return (
-        spread.withColumn("_w", near_x * near_y)
-        .filter(F.col("_w") > 1e-9)
+        # A weight within the rounding of the coordinates is zero.
+        spread.withColumns({"_wx": near_x, "_wy": near_y, "_w": near_x * near_y})
+        .filter((F.col("_wx") > max(source.rounding, target.rounding)) & (F.col("_wy") > max(source.rounding, target.rounding)))
         .groupBy(*by, "iy", "ix")
         .agg((F.sum(F.col("_w") * F.col("_v")) / F.sum("_w")).alias(value))
     )

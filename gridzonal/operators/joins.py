@@ -7,35 +7,22 @@ from pyspark.sql import functions as F
 
 # About 64 bytes per row in a hashed relation, so at most some 64 MB on each executor.
 BROADCAST_ROWS = 1_000_000
-# Enough to break up a hot key; adaptive execution splits what is still large by size. More salts repeat
-# the small side more often, which costs time when no key is hot.
-SALTS = 8
 
 
 def join_checked(
-    big: DataFrame,
-    small: DataFrame,
-    keys: list[str],
-    small_rows: int | None,
-    spread_by: list[str],
-    how: str = "inner",
-    salts: int = SALTS,
+    big: DataFrame, small: DataFrame, keys: list[str], small_rows: int | None, how: str = "inner"
 ) -> DataFrame:
-    """Join on ``keys``, keeping every row of a hot key spread over tasks.
+    """Join on ``keys`` with the small side broadcast if it is proved to be small.
 
-    ``small_rows`` is an upper bound that the caller has proved. Up to ``BROADCAST_ROWS`` the
-    small side is broadcast. Beyond it, or with no bound (``None``), both sides are shuffled on
-    the keys and a salt: the big side takes its salt from ``spread_by`` (columns that vary
-    inside a key) and the small side is repeated once per salt, so each big row still meets
-    each matching small row exactly once.
+    ``small_rows`` is an upper bound that the caller has proved. Beyond ``BROADCAST_ROWS``, or with no bound
+    (``None``), it is a shuffle join: adaptive execution measures its partitions as they arrive and splits those that a hot
+    key has filled, by their size, over as many tasks as it takes.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type {how!r} would repeat rows of the small side")
     if small_rows is not None and small_rows <= BROADCAST_ROWS:
         return big.join(F.broadcast(small), keys, how)
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    return big.join(small, keys, how)
 
 
 def frame_of(

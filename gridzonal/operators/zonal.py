@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridzonal.functions.numeric import round_to
 from gridzonal.operators.coverage import Footprint
-from gridzonal.operators.joins import frame_of, join_checked
+from gridzonal.operators.joins import BROADCAST_ROWS, frame_of, join_checked
 
 
 def prune_to_box(cells: DataFrame, box: Footprint) -> DataFrame:
@@ -19,28 +19,49 @@ def prune_to_box(cells: DataFrame, box: Footprint) -> DataFrame:
     )
 
 
-def prune_to_cells(
-    cells: DataFrame,
-    weights: DataFrame,
-    weight_rows: int | None,
-    spread_by: Sequence[str] = ("variable", "valid_time"),
-) -> DataFrame:
+def collapse_to_box(cells: DataFrame, box: Footprint) -> DataFrame:
+    """Cells outside the zones' bounding cells become one cell (-1, -1) without value.
+
+    What remains of them after partial aggregation is a row per group and task. It keeps the groups on record, such
+    as days, without a second scan.
+    """
+    inside = F.col("iy").between(box.iy_min, box.iy_max) & F.col("ix").between(box.ix_min, box.ix_max)
+    return _collapse(cells, inside)
+
+
+def _collapse(cells: DataFrame, inside: Column) -> DataFrame:
+    return cells.withColumns(
+        {
+            "iy": F.when(inside, F.col("iy")).otherwise(-1),
+            "ix": F.when(inside, F.col("ix")).otherwise(-1),
+            "value": F.when(inside, F.col("value")),
+        }
+    )
+
+
+def prune_to_cells(cells: DataFrame, weights: DataFrame, weight_rows: int | None, collapse: bool = False) -> DataFrame:
     """Keep cells that some zone touches, before the daily reduction rather than after it.
 
     The optimiser cannot move this join below the aggregate itself. On a global grid with
-    national zones nearly all rows fall away here, and with them the first shuffle.
+    national zones nearly all rows fall away here, and with them the first shuffle. ``collapse`` turns the
+    others into one cell, as ``collapse_to_box`` does.
     """
     touched = weights.select("iy", "ix").distinct()
-    return join_checked(cells, touched, ["iy", "ix"], weight_rows, list(spread_by), how="left_semi")
+    if not collapse:
+        return join_checked(cells, touched, ["iy", "ix"], weight_rows, how="left_semi")
+    marked = join_checked(cells, touched.withColumn("_touched", F.lit(True)), ["iy", "ix"], weight_rows, how="left")
+    return _collapse(marked, F.col("_touched").isNotNull()).drop("_touched")
 
 
 def attach_weights(
-    cells: DataFrame, weights: DataFrame, weight_rows: int | None, spread_by: Sequence[str]
+    cells: DataFrame, weights: DataFrame, weight_rows: int | None, grid_id: str | None = None, how: str = "inner"
 ) -> DataFrame:
-    """One row per (cell row, zone touching that cell), with the covered fraction."""
-    return join_checked(
-        cells, weights.select("zone_id", "iy", "ix", "fraction"), ["iy", "ix"], weight_rows, list(spread_by)
-    )
+    """One row per (cell row, zone touching that cell), with the covered fraction.
+
+    ``grid_id`` picks one grid from weights that hold several.
+    """
+    own = weights if grid_id is None else weights.filter(F.col("grid_id") == grid_id)
+    return join_checked(cells, own.select("zone_id", "iy", "ix", "fraction"), ["iy", "ix"], weight_rows, how)
 
 
 def _mean(fraction: Column, value: Column) -> Column:
@@ -51,7 +72,7 @@ def _mean(fraction: Column, value: Column) -> Column:
 ZONAL_STATS = {
     "mean": _mean,
     "sum": lambda f, v: F.sum(f * v),
-    "count": lambda f, v: F.sum(F.when(v.isNotNull(), f)),
+    "count": lambda f, v: F.coalesce(F.sum(F.when(v.isNotNull(), f)), F.lit(0.0)),
     "min": lambda f, v: F.min(v),
     "max": lambda f, v: F.max(v),
 }
@@ -63,18 +84,23 @@ def zonal_stats(
     by: Sequence[str],
     outputs: dict[str, tuple[str, str]],
     weight_rows: int | None = None,
+    grid_id: str | None = None,
+    keep_groups: bool = False,
 ) -> DataFrame:
     """Aggregate cells over zones: ``outputs`` maps a result name to (statistic, value column).
 
     Weights are cell fractions alone. However many outputs are asked for, there is one join and one
     shuffle on ``(*by, zone_id)``, after partial aggregation. ``weight_rows`` is the proven
-    bound on the weights (``Footprint.rows``); without it the join is a salted shuffle.
+    bound on the weights (``Footprint.rows``); without it the join is a shuffle. Weights that hold several
+    grids need ``grid_id``. ``keep_groups`` keeps cells outside every zone as a zone NULL, so that every group has a
+    row; ``complete_zones`` builds on it.
     """
     unknown = {stat for stat, _ in outputs.values()} - set(ZONAL_STATS)
     if unknown:
         raise ValueError(f"unknown zonal statistic {sorted(unknown)}; choose from {sorted(ZONAL_STATS)}")
     needed = [*by, "iy", "ix", *sorted({column for _, column in outputs.values()})]
-    joined = attach_weights(cells.select(*needed), weights, weight_rows, by)
+    how = "left" if keep_groups else "inner"
+    joined = attach_weights(cells.select(*needed), weights, weight_rows, grid_id, how)
     fraction = F.col("fraction")
     return joined.groupBy(*by, "zone_id").agg(
         *[ZONAL_STATS[stat](fraction, F.col(column)).alias(name) for name, (stat, column) in outputs.items()]
@@ -88,22 +114,35 @@ def zonal_mean(
     value: str = "value",
     weight_rows: int | None = None,
     digits: int | None = 2,
+    grid_id: str | None = None,
+    keep_groups: bool = False,
 ) -> DataFrame:
     """The weighted mean alone, rounded unless ``digits`` is None."""
-    result = zonal_stats(cells, weights, by, {"value": ("mean", value)}, weight_rows)
+    result = zonal_stats(cells, weights, by, {"value": ("mean", value)}, weight_rows, grid_id, keep_groups)
     if digits is None:
         return result
     return result.withColumn("value", round_to(F.col("value"), digits))
 
 
 def complete_zones(
-    result: DataFrame, zones: DataFrame, groups: DataFrame, by: Sequence[str]
+    result: DataFrame, zones: DataFrame, by: Sequence[str], zone_rows: int | None = None
 ) -> DataFrame:
-    """Give every zone a row in every group; NULL where it had no cell.
+    """Give every zone a row in every group of ``result``; NULL where it had no cell.
 
-    ``groups`` holds the distinct groups, such as the days on record, so that a day on which no zone
-    has a value keeps its rows as well. The frame of groups x zones has exactly the size of the
-    answer; it comes from an equi-join on evenly filled buckets, not from a cross join.
+    ``result`` comes from ``zonal_stats`` with ``keep_groups``, so that a group in which no zone has a cell is there as
+    well. The zone ids are one broadcast row, and each group adds the ids it lacks: one exchange of the result on
+    the group, no second scan, and no frame of groups x zones. Beyond ``BROADCAST_ROWS`` zones (``zone_rows``, from
+    ``Footprint.zones``), or if their number is not known, the frame is joined instead.
     """
-    frame = frame_of(groups.select(*by), zones.select("zone_id"), ["zone_id"])
-    return frame.join(result, [*by, "zone_id"], "left")
+    values = [field for field in result.schema if field.name not in (*by, "zone_id")]
+    if zone_rows is None or zone_rows > BROADCAST_ROWS:
+        frame = frame_of(result.select(*by).distinct(), zones.select("zone_id"), ["zone_id"])
+        return frame.join(result.filter("zone_id IS NOT NULL"), [*by, "zone_id"], "left")
+    row = F.struct("zone_id", *[field.name for field in values])
+    groups = result.groupBy(*by).agg(F.collect_list(F.when(F.col("zone_id").isNotNull(), row)).alias("_seen"))
+    ids = zones.agg(F.collect_list("zone_id").alias("_zones"))
+    absent = F.array_except("_zones", F.transform("_seen", lambda seen: seen["zone_id"]))
+    empty = [F.lit(None).cast(field.dataType).alias(field.name) for field in values]
+    added = F.transform(absent, lambda zone: F.struct(zone.alias("zone_id"), *empty))
+    rows = groups.join(F.broadcast(ids)).select(*by, F.explode(F.concat("_seen", added)).alias("_row"))
+    return rows.select(*by, "_row.*")

@@ -24,9 +24,22 @@ class GridSpec:
     ny: int
 
     def __post_init__(self) -> None:
+        if abs(self.nx * self.dlon - 360.0) > 1e-6 * self.dlon and self.nx * self.dlon > 360.0:
+            raise ValueError(f"grid {self.grid_id!r} goes more than once around the globe")
         if self.dlon <= 0 or self.dlat <= 0 or self.nx < 1 or self.ny < 1:
             raise ValueError(f"grid {self.grid_id!r} needs positive steps and at least one cell")
 
+    @property
+    def rounding(self) -> float:
+        """The error of a position on the grid, in steps, that comes from rounding its coordinates alone."""
+        ends = (self.lon0, self.lon0 + self.nx * self.dlon, self.lat0, self.lat0 + self.ny * self.dlat)
+        return 16 * 2.0**-52 * max(map(abs, ends)) / min(self.dlon, self.dlat)
+
+    @property
+    def closed(self) -> bool:
+        """Whether the last column is next to the first one, as on a global grid."""
+        return abs(self.nx * self.dlon - 360.0) <= 1e-6 * self.dlon
+
 
 GRID_OBS = T.StructType(
     [
@@ -77,6 +90,7 @@ REQUEST_NAMES = {
 # Steps of a day in the historical record; ozone starts at 06:00.
 DAY_STEPS = ("00:00", "03:00", "06:00", "09:00", "12:00", "15:00", "18:00", "21:00")
 DAY_STEPS_O3 = ("06:00", "09:00", "12:00", "15:00", "18:00", "21:00")
+SPECIAL_STEPS = {"o3": DAY_STEPS_O3}
 
 # Last lead hour of a forecast run, and its area (north, west, south, east).
 LAST_LEAD_HOUR = 120

@@ -8,11 +8,17 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridzonal.functions.names import run_marker
 from gridzonal.schema import GridSpec
 from gridzonal.sources import netcdf
+from gridzonal.storage import arrow_uri
+
+# The last partition column of tables that grow by batches: which write a row came with.
+BATCH = "batch"
 
 
 def _arranged(
@@ -36,11 +42,24 @@ def append(
     sort_by: Sequence[str] = (),
     clustered: bool = False,
 ) -> None:
-    """Add a batch to a Parquet table, creating it if absent; one write for all batches."""
+    """Add a batch to a Parquet table, creating it if absent; one write for all batches.
+
+    A table that the streaming ingest has made is partitioned by ``BATCH`` as well; the rows then get a batch of their own.
+    """
+    if _has_batches(df.sparkSession, path) and BATCH not in df.columns:
+        df = df.withColumn(BATCH, F.lit(f"append-{uuid.uuid4().hex}"))
+        partition_by = [*partition_by, BATCH]
     arranged = _arranged(df, partition_by, sort_by, clustered)
     arranged.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+def _has_batches(spark: SparkSession, path: str) -> bool:
+    try:
+        return BATCH in spark.read.parquet(path).columns
+    except AnalysisException:  # nothing there yet
+        return False
+
+
 def replace(
     df: DataFrame,
     path: str,
@@ -87,17 +106,24 @@ def store_bucketed(
 
 
 def rebuild_table(df: DataFrame, name: str) -> None:
-    """Drop a catalog table if it exists and create it again from ``df``."""
-    df.sparkSession.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", {"name": name})
-    df.write.saveAsTable(name)
+    """Replace a catalog table by ``df``, which may read that table.
+
+    The new rows are written in full under another name before the old table goes.
+    """
+    spark, fresh = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
+    df.write.saveAsTable(fresh)
+    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", {"name": name})
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
 
 
 def append_table(df: DataFrame, name: str) -> None:
     df.write.mode("append").saveAsTable(name)
 
 
-def list_tables(spark: SparkSession) -> list[str]:
-    return sorted(table.name for table in spark.catalog.listTables() if not table.isTemporary)
+def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """(name) of the stored tables of a database, the current one by default; temporary views are left out."""
+    shown = spark.sql("SHOW TABLES" if database is None else f"SHOW TABLES IN {database}")
+    return shown.filter("NOT isTemporary").select(F.col("tableName").alias("name")).orderBy("name")
 
 
 def export_csv(df: DataFrame, path: str, null_value: str = "") -> None:
@@ -116,14 +142,21 @@ def export_parquet(df: DataFrame, path: str) -> None:
 
 
 def write_grid_files(
-    daily: DataFrame, folder: str, spec: GridSpec, stats: Sequence[str] = ("mean", "max", "min"), prefix: str = "grid"
+    daily: DataFrame,
+    folder: str,
+    spec: GridSpec,
+    stats: Sequence[str] = ("mean", "max", "min"),
+    prefix: str = "grid",
+    time_axis: bool = True,
 ) -> None:
     """Daily grids as files ``<prefix>_<variable>_<yyyymmdd>_<stat>.nc``, overwriting.
 
     One task group is one (variable, date): at most one row per cell of the grid, whatever the
     size of the input. Each file is written under a temporary name and then moved, so a
-    task that is lost or run twice leaves no torn file.
+    task that is lost or run twice leaves no torn file. The folder is resolved once, as Spark resolves it; two rows
+    for one cell stop the job. Without ``time_axis`` the day is in the name only.
     """
+    folder = arrow_uri(daily.sparkSession, folder)
     cloudpickle.register_pickle_by_value(netcdf)
     # Plain values only: a task must not need the package to unpickle the function.
     grid_id, ny, nx = spec.grid_id, spec.ny, spec.nx
@@ -136,6 +169,8 @@ def write_grid_files(
         variable, day = key
         if not (group["iy"].between(0, ny - 1).all() and group["ix"].between(0, nx - 1).all()):
             raise ValueError(f"{variable} {day}: cells outside grid {grid_id!r}")
+        if group.duplicated(["iy", "ix"]).any():
+            raise ValueError(f"{variable} {day}: two rows for one cell")
         hours = np.array([float((pd.Timestamp(day) - pd.Timestamp("1970-01-01")) / pd.Timedelta(hours=1))])
         filesystem, root = fs.FileSystem.from_uri(folder)
         for stat in stats:
@@ -146,7 +181,7 @@ def write_grid_files(
             parts = target.rsplit("/", 1)
             unfinished = f"{parts[0]}/_{parts[1]}.{uuid.uuid4().hex}"
             with filesystem.open_output_stream(unfinished) as out:
-                out.write(netcdf.write_classic(variable, lats, lons, layer, hours))
+                out.write(netcdf.write_classic(variable, lats, lons, layer, hours, **({} if time_axis else {"epoch": None})))
             filesystem.move(unfinished, target)
         return pd.DataFrame({"variable": [variable], "date": [day]})
 
@@ -163,3 +198,24 @@ def write_grid_files(
         .mode("overwrite")
         .save()
     )
+
+
+def write_run_markers(runs: DataFrame, folder: str) -> None:
+    """An empty file ``datestamp_<yyyymmdd>_<HH:MM>`` for every run time (column ``run_time``) of ``runs``."""
+    from pyarrow import fs
+
+    folder = arrow_uri(runs.sparkSession, folder)
+    filesystem, root = fs.FileSystem.from_uri(folder)
+    filesystem.create_dir(root, recursive=True)
+
+    def store(batches):
+        from pyarrow import fs
+
+        filesystem, root = fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for name in batch["name"]:
+                filesystem.open_output_stream(f"{root}/{name}").close()
+            yield batch
+
+    marked = runs.select(run_marker(F.col("run_time")).alias("name")).distinct()
+    marked.mapInPandas(store, "name string").write.format("noop").mode("overwrite").save()

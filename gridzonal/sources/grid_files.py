@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from struct import error as StructError
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridzonal.functions.names import base_name, date_from_name, variable_from_name
+from gridzonal.functions.names import base_name, date_from_name, run_time_from_marker, stat_from_name, variable_from_name
 from gridzonal.operators.grid import normalise_grid
 from gridzonal.schema import GRID_OBS, GridSpec
 from gridzonal.sources import netcdf
+from gridzonal.storage import arrow_uri
 
 BATCH_CELLS = 250_000
 
 DECODED = (
-    "variable string, run_time timestamp_ntz, source_file string, layer int, valid_time timestamp_ntz, "
+    "variable string, run_time timestamp_ntz, source_file string, stat string, name_date date, "
+    "modified timestamp, layer int, valid_time timestamp_ntz, "
     "lat double, lon double, value double"
 )
 _DECODED_ARROW = pa.schema(
@@ -27,6 +31,9 @@ _DECODED_ARROW = pa.schema(
         ("variable", pa.string()),
         ("run_time", pa.timestamp("us")),
         ("source_file", pa.string()),
+        ("stat", pa.string()),
+        ("name_date", pa.date32()),
+        ("modified", pa.timestamp("us", "UTC")),
         ("layer", pa.int32()),
         ("valid_time", pa.timestamp("us")),
         ("lat", pa.float64()),
@@ -65,14 +72,27 @@ def days_of(files: DataFrame) -> DataFrame:
     return named.filter("variable IS NOT NULL AND date IS NOT NULL")
 
 
-def _decode(area: tuple[float, float, float, float] | None):
-    """Arrow mapper from (path, variable, run_time, source_file, content) to cell rows.
+def _decode(area: tuple[float, float, float, float] | None, axes: tuple | None = None):
+    """Arrow mapper from (path, what is known per file, content) to cell rows.
 
-    One latitude band of one layer makes a batch.
+    One latitude band of one layer makes a batch. ``axes`` (lon0, lat0, dlon, dlat, nx, ny) is the grid that the file's
+    cell centres must lie on.
     """
 
-    def cells(content: bytes, variable, run_time, source_file) -> Iterator[pa.RecordBatch]:
+    def check(values: np.ndarray, origin: float, step: float, count: int, turn: float | None, what: str) -> None:
+        distance = values - origin if turn is None else (values - origin) % turn
+        place = distance / step - 0.5
+        if len(values) and (np.abs(place - np.round(place)).max() > 0.01 or np.round(place).min() < 0 or np.round(place).max() > count - 1):
+            raise ValueError(f"its {what} are not cell centres of the grid (origin {origin}, step {step}, {count} cells)")
+
+    def cells(content: bytes, variable, run_time, source_file, stat, name_date, modified) -> Iterator[pa.RecordBatch]:
         for name, lats, lons, times, attrs, layers in netcdf.layers_of(content):
+            if axes is not None:
+                lon0, lat0, dlon, dlat, nx, ny = axes
+                check(lats, lat0, dlat, ny, None, "latitudes")
+                check(lons, lon0, dlon, nx, 360.0, "longitudes")
+            if times is None and run_time is None and name_date is None:
+                raise ValueError("it has no usable time axis, and there is neither a run time nor a date in its name")
             rows = np.arange(len(lats))
             cols = np.arange(len(lons))
             if area is not None:
@@ -97,6 +117,9 @@ def _decode(area: tuple[float, float, float, float] | None):
                             same(name if variable is None else variable, pa.string()),
                             same(run_time, pa.timestamp("us")),
                             same(source_file, pa.string()),
+                            same(stat, pa.string()),
+                            same(name_date, pa.date32()),
+                            same(modified, pa.timestamp("us", "UTC")),
                             same(layer, pa.int32()),
                             same(times[layer] if times else None, pa.timestamp("us")),
                             pa.array(np.repeat(lats[part], len(cols))),
@@ -108,11 +131,10 @@ def _decode(area: tuple[float, float, float, float] | None):
 
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, variable, run_time, source_file, content in zip(*batch.columns):
+            for row in zip(*batch.columns):
+                path, *known, content = row
                 try:
-                    yield from cells(
-                        content.as_py(), variable.as_py(), run_time.as_py(), source_file.as_py()
-                    )
+                    yield from cells(content.as_py(), *(value.as_py() for value in known))
                 except (ValueError, KeyError, IndexError, OverflowError, StructError) as problem:
                     raise ValueError(f"cannot read grid file {path.as_py()}: {problem}") from problem
 
@@ -125,9 +147,13 @@ def decode_files(
     variable: Column | None = None,
     run_time: Column | None = None,
     source_file: bool = False,
+    spec: GridSpec | None = None,
 ) -> DataFrame:
     """Rows of ``binaryFile`` (batch or streaming) to cells; fill values and NaN become NULL.
 
+    Statistic and day are taken from the name. A file without a usable time must have one of those days or a run
+    time, and with ``spec`` its axes must lie on that grid; else the job stops with its path.
+
     ``variable`` and ``run_time`` may be expressions over ``path``; they are evaluated once per file.
     Without ``variable`` the name inside the file is used. ``area`` (north, west, south, east) is cut
     out of the arrays before rows are made.
@@ -135,19 +161,24 @@ def decode_files(
     # Workers get the decoder with the task, whether or not the package is installed there.
     cloudpickle.register_pickle_by_value(netcdf)
     missing = F.lit(None)
+    axes = None if spec is None else (spec.lon0, spec.lat0, spec.dlon, spec.dlat, spec.nx, spec.ny)
     return files.select(
         "path",
         (missing if variable is None else variable).cast("string").alias("variable"),
         (missing if run_time is None else run_time).cast("timestamp_ntz").alias("run_time"),
         (base_name(F.col("path")) if source_file else missing).cast("string").alias("source_file"),
+        stat_from_name(F.col("path")).alias("stat"),
+        date_from_name(F.col("path")).alias("name_date"),
+        (F.col("modificationTime") if source_file else missing).cast("timestamp").alias("modified"),
         "content",
-    ).mapInArrow(_decode(area), DECODED)
+    ).mapInArrow(_decode(area, axes), DECODED)
 
 
 def to_observations(cells: DataFrame, spec: GridSpec, source_file: bool = False) -> DataFrame:
-    """Decoded cells in the ``grid_obs`` schema, plus ``date`` and, if asked for, ``source_file``.
+    """Decoded cells in the ``grid_obs`` schema, plus ``date``, ``stat`` and, if asked for, ``source_file`` and ``delivered``.
 
-    With a run time the layer position is the lead hour, and the valid time follows from it.
+    With a run time the layer position is the lead hour, and the valid time follows from it. The day is that of the
+    valid time, or that in the name where the file has no time. ``delivered`` is when the file was last changed.
     """
     forecast = F.col("run_time").isNotNull()
     located = (
@@ -158,10 +189,11 @@ def to_observations(cells: DataFrame, spec: GridSpec, source_file: bool = False)
             F.coalesce(F.timestamp_add("HOUR", F.col("lead_hour"), F.col("run_time")), F.col("valid_time")),
         )
     )
-    origin = ["source_file"] if source_file else []
+    origin = ["source_file", F.unix_micros("modified").alias("delivered")] if source_file else []
     return located.select(
         *[F.col(field.name).cast(field.dataType).alias(field.name) for field in GRID_OBS],
-        F.col("valid_time").cast("date").alias("date"),
+        F.coalesce(F.col("valid_time").cast("date"), F.col("name_date")).alias("date"),
+        "stat",
         *origin,
     )
 
@@ -175,13 +207,30 @@ def scan_grid_files(
     run_time: Column | None = None,
     area: tuple[float, float, float, float] | None = None,
 ) -> DataFrame:
-    """A folder of grid files as ``grid_obs`` rows; files are spread over tasks by size."""
-    files = (
-        spark.read.format("binaryFile")
-        .load(folder)
-        .filter(base_name(F.col("path")).rlike(pattern))
-    )
-    return to_observations(decode_files(files, area, variable, run_time), spec)
+    """A folder of grid files as ``grid_obs`` rows; files are spread over tasks by size.
+
+    The pattern is a condition on the file's name, which Spark knows from the listing: other files are not opened.
+    """
+    return to_observations(decode_files(_matching(spark, folder, pattern), area, variable, run_time, spec=spec), spec)
+
+
+def _matching(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    return spark.read.format("binaryFile").load(folder).filter(F.col("_metadata.file_name").rlike(pattern))
+
+
+def list_markers(spark: SparkSession, folder: str, pattern: str = r"^datestamp_") -> DataFrame:
+    """(name) of the marker files of a folder. They are empty, and Spark's file sources leave empty files out."""
+    filesystem, root = fs.FileSystem.from_uri(arrow_uri(spark, folder))
+    names = [info.base_name for info in filesystem.get_file_info(fs.FileSelector(root)) if re.search(pattern, info.base_name)]
+    return spark.createDataFrame([(name,) for name in names], "name string")
+
+
+def marker_run_time(spark: SparkSession, folder: str, pattern: str = r"^datestamp_") -> Column:
+    """The run time that the first marker file of a folder names, as an expression for the files beside it."""
+    marker = first_match(list_markers(spark, folder, pattern)).first()
+    if marker is None:
+        raise ValueError(f"no marker matching {pattern!r} in {folder}")
+    return run_time_from_marker(F.lit(marker["name"]))
 
 
 def grid_specs(spark: SparkSession, folder: str, pattern: str = r"\.nc$") -> DataFrame:
@@ -208,9 +257,8 @@ def grid_specs(spark: SparkSession, folder: str, pattern: str = r"\.nc$") -> Dat
                 [pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)], names=names
             )
 
-    files = spark.read.format("binaryFile").load(folder).filter(base_name(F.col("path")).rlike(pattern))
     return (
-        files.select("content")
+        _matching(spark, folder, pattern).select("content")
         .mapInArrow(axes, "lon0 double, lat0 double, dlon double, dlat double, nx int, ny int")
         .distinct()
     )

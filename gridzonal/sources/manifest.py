@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 
 from gridzonal.functions.names import grid_file_name
 from gridzonal.functions.times import valid_time
-from gridzonal.schema import DAY_STEPS, LAST_LEAD_HOUR, REQUEST_NAMES
+from gridzonal.schema import DAY_STEPS, LAST_LEAD_HOUR, REQUEST_NAMES, SPECIAL_STEPS
 
 
-def day_manifest(variables: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
-    """Every day from start to end for every row of ``variables``, with the file to expect."""
-    days = F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 day"))
+def day_manifest(variables: DataFrame, start: dt.date | str, end: dt.date | str) -> DataFrame:
+    """Every day from start to end for every row of ``variables``, with the file to expect.
+
+    Days may be texts (``2003-01-01``); one that is no date stops the job.
+    """
+    first, last = (F.to_date(F.lit(day), "yyyy-MM-dd") if isinstance(day, str) else F.lit(day) for day in (start, end))
+    days = F.sequence(first, last, F.expr("interval 1 day"))
     return variables.select("variable", F.explode(days).alias("date")).withColumn(
         "target", grid_file_name(F.col("variable"), F.col("date"))
     )
@@ -23,10 +27,10 @@ def day_manifest(variables: DataFrame, start: dt.date, end: dt.date) -> DataFram
 
 def request_manifest(
     variables: DataFrame,
-    start: dt.date,
-    end: dt.date,
+    start: dt.date | str,
+    end: dt.date | str,
     steps: Sequence[str] = DAY_STEPS,
-    special: Mapping[str, Sequence[str]] | None = None,
+    special: Mapping[str, Sequence[str]] = SPECIAL_STEPS,
 ) -> DataFrame:
     """``day_manifest`` times the steps of a day; ``special`` lists variables with steps of their own."""
 
@@ -34,7 +38,7 @@ def request_manifest(
         return F.array(*[F.lit(value) for value in values])
 
     chosen = times(steps)
-    for name, own in (special or {}).items():
+    for name, own in special.items():
         chosen = F.when(F.col("variable") == name, times(own)).otherwise(chosen)
     return day_manifest(variables, start, end).withColumn("step", F.explode(chosen))
 

@@ -1,14 +1,12 @@
 """One classic NetCDF file <-> numpy arrays, used inside Spark tasks only.
 
 Covers the three classic layouts (32-bit offsets, 64-bit offsets, 64-bit data) as published in the
-NetCDF file format specification. Files in the newer HDF5-based layout go through h5py where that
-library is installed.
+NetCDF file format specification. Files in the newer HDF5-based layout are refused.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import io
 import re
 import struct
 
@@ -29,6 +27,17 @@ DTYPES = {
     10: ">i8",
     11: ">u8",
 }
+# What fills unwritten values of each type where a file declares no fill; single bytes have none.
+DEFAULT_FILLS = {
+    "i2": -32767,
+    "i4": -2147483647,
+    "f4": 9.9692099683868690e36,
+    "f8": 9.9692099683868690e36,
+    "u2": 65535,
+    "u4": 4294967295,
+    "i8": -9223372036854775806,
+    "u8": 18446744073709551614,
+}
 HDF5_MAGIC = b"\x89HDF\r\n\x1a\n"
 UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
@@ -114,36 +123,22 @@ def read_classic(data: bytes) -> dict[str, tuple[tuple[str, ...], np.ndarray, di
     return result
 
 
-def _read_hdf5(data: bytes) -> dict[str, tuple[tuple[str, ...], np.ndarray, dict]]:
-    try:
-        import h5py
-    except ImportError as missing:
-        raise ValueError("HDF5-based NetCDF needs the optional library h5py") from missing
-    result = {}
-    with h5py.File(io.BytesIO(data), "r") as file:
-        for name, item in file.items():
-            if isinstance(item, h5py.Dataset):
-                names = tuple(d[0].name.lstrip("/") if len(d) else name for d in item.dims)
-                attrs = {
-                    k: v.decode() if isinstance(v, bytes) else v
-                    for k, v in item.attrs.items()
-                    if k in ("units", "_FillValue", "missing_value", "scale_factor", "add_offset")
-                }
-                result[name] = (names, item[()], attrs)
-    return result
-
-
 def read_variables(data: bytes) -> dict[str, tuple[tuple[str, ...], np.ndarray, dict]]:
-    return _read_hdf5(data) if data[:8] == HDF5_MAGIC else read_classic(data)
+    if data[:8] == HDF5_MAGIC:
+        raise ValueError("HDF5-based NetCDF is not supported; convert the file to a classic layout")
+    return read_classic(data)
 
 
 def unpack(raw: np.ndarray, attrs: dict) -> np.ndarray:
     """Doubles with fill values as NaN and packing undone."""
     values = raw.astype(np.float64)
-    for key in ("_FillValue", "missing_value"):
-        if key in attrs:
-            # Compare in the stored type: a float32 fill is not its double literal.
-            values[raw == np.asarray(attrs[key]).ravel()[0].astype(raw.dtype)] = np.nan
+    fills = [np.asarray(attrs[key]).ravel()[0] for key in ("_FillValue", "missing_value") if key in attrs]
+    default = DEFAULT_FILLS.get(raw.dtype.str[1:])
+    if "_FillValue" not in attrs and default is not None:
+        fills.append(np.array(default, raw.dtype))
+    for fill in fills:
+        # Compare in the stored type: a float32 fill is not its double literal.
+        values[raw == fill.astype(raw.dtype)] = np.nan
     scale = float(np.asarray(attrs.get("scale_factor", 1.0)).ravel()[0])
     offset = float(np.asarray(attrs.get("add_offset", 0.0)).ravel()[0])
     return values if (scale, offset) == (1.0, 0.0) else values * scale + offset
@@ -192,16 +187,19 @@ def write_classic(
     lons: np.ndarray,
     layers: np.ndarray,
     hours: np.ndarray | None = None,
-    epoch: str = "1970-01-01 00:00:00",
+    epoch: str | None = "1970-01-01 00:00:00",
 ) -> bytes:
-    """A 64-bit-offset file with one double variable on (time, latitude, longitude); NaN is the fill."""
+    """A 64-bit-offset file with one double variable on (time, latitude, longitude); NaN is the fill.
+
+    Without ``epoch`` the layers have numbers but no times.
+    """
 
     def text(value: str) -> bytes:
         raw = value.encode("utf-8")
         return struct.pack(">i", len(raw)) + raw + b"\0" * (-len(raw) % 4)
 
     def attribute_list(**attrs) -> bytes:
-        body = struct.pack(">ii", TAG_ATTRIBUTE, len(attrs))
+        body = struct.pack(">ii", TAG_ATTRIBUTE if attrs else 0, len(attrs))
         for key, value in attrs.items():
             if isinstance(value, str):
                 body += text(key) + struct.pack(">i", 2) + text(value)
@@ -214,7 +212,7 @@ def write_classic(
     dims = struct.pack(">ii", TAG_DIMENSION, len(sizes))
     dims += b"".join(text(name) + struct.pack(">i", n) for name, n in sizes.items())
     plan = [
-        ("time", [0], attribute_list(units=f"hours since {epoch}"), hours),
+        ("time", [0], attribute_list(**({} if epoch is None else {"units": f"hours since {epoch}"})), hours),
         ("latitude", [1], attribute_list(units="degrees_north"), lats),
         ("longitude", [2], attribute_list(units="degrees_east"), lons),
         (variable, [0, 1, 2], attribute_list(_FillValue=float("nan")), layers),

@@ -34,6 +34,32 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``fresh_path`` named; other paths are refused."""
+    if not path.startswith(f"{shared_dir(spark)}/"):
+        raise ValueError(f"{path} is not below the shared folder")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+# Names of file systems in Spark paths and in those of the library that writes single files.
+ARROW_SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "gs": "gs", "abfss": "abfss"}
+
+
+def arrow_uri(spark: SparkSession, path: str) -> str:
+    """The full URI of a path, with the file system that Spark would take for it.
+
+    A path without scheme is on Spark's default file system, not on the disk of whichever machine opens it.
+    """
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = found.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(found).toString()
+    scheme, _colon, rest = full.partition(":")
+    if scheme not in ARROW_SCHEMES:
+        raise ValueError(f"cannot write single files to {scheme!r} ({path})")
+    rest = "//" + rest if scheme == "file" and not rest.startswith("//") else rest
+    return f"{ARROW_SCHEMES[scheme]}:{rest}"
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage of ``df`` by writing it as Parquet and reading it back.
 

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from gridzonal import sinks
 from gridzonal.functions.names import base_name
+from gridzonal.operators.joins import join_checked
 from gridzonal.schema import GridSpec
-from gridzonal.sinks import replace_partitions
 from gridzonal.sources.grid_files import decode_files, to_observations
 
 # The schema of Spark's binaryFile source, which a stream must be given.
@@ -28,22 +29,33 @@ def stream_grid_files(
     area: tuple[float, float, float, float] | None = None,
     max_files: int | None = None,
 ) -> DataFrame:
-    """New grid files of a folder as a stream of observations, with their ``source_file``."""
+    """New grid files of a folder as a stream of observations, with their ``source_file`` and when it was ``delivered``."""
     reader = spark.readStream.format("binaryFile").schema(BINARY_FILE)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     files = reader.load(folder).filter(base_name(F.col("path")).rlike(pattern))
-    cells = decode_files(files, area, variable, run_time, source_file=True)
+    cells = decode_files(files, area, variable, run_time, source_file=True, spec=spec)
     return to_observations(cells, spec, source_file=True)
 
 
 def stream_parquet(
     spark: SparkSession, folder: str, schema: StructType, max_files: int | None = None
 ) -> DataFrame:
+    """New Parquet files below a folder, with ``source_file``, ``drop`` (the folder it lies in) and ``delivered``."""
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(folder)
+    path = F.col("_metadata.file_path")
+    return reader.parquet(folder).select(
+        "*",
+        F.col("_metadata.file_name").alias("source_file"),
+        F.regexp_extract(path, r"([^/]+)/[^/]+$", 1).alias("drop"),
+        F.unix_micros("_metadata.file_modification_time").alias("delivered"),
+    )
+
+
+# Names the write that a row came with; the last partition column of tables that grow by batches.
+BATCH = sinks.BATCH
 
 
 def append_new(
@@ -51,32 +63,43 @@ def append_new(
 ) -> StreamingQuery:
     """Append everything not seen yet and stop.
 
-    The checkpoint remembers which files were read and the file sink commits a batch as a
-    whole, so re-runs and restarts neither repeat nor lose rows.
+    The checkpoint remembers which files were read. Each micro-batch has partitions of its own (column ``BATCH``)
+    and overwrites them if it is repeated after a failure, so re-runs and restarts neither repeat nor lose rows, and
+    rows that ``sinks.append`` adds to the same table are seen as well.
     """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        named = batch.withColumn(BATCH, F.lit(f"stream-{batch_id:06d}"))
+        sinks.replace_partitions(named, table, [*partition_by, BATCH])
+
     return (
-        stream.writeStream.format("parquet")
-        .option("path", table)
+        stream.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
-        .partitionBy(*partition_by)
         .trigger(availableNow=True)
         .start()
     )
 
 
 def replace_runs(
-    stream: DataFrame, table: str, checkpoint: str, partition_by: Sequence[str] = ("variable", "run_time", "source_file")
+    stream: DataFrame,
+    table: str,
+    checkpoint: str,
+    keys: Sequence[str] = ("variable", "run_time"),
+    part: str | None = "source_file",
+    delivered: str = "delivered",
 ) -> StreamingQuery:
-    """Store forecast runs so that a file delivered again replaces its earlier rows.
+    """Store forecast runs of which deliveries may come again; ``stored_runs`` reads the newest ones.
 
-    Each micro-batch overwrites just the partitions it has rows for, so a batch repeated after a
-    failure rewrites the same partitions. The source file is part of the partition key: a run
-    that arrives in several files, or over several batches, is kept whole. A caller whose partitions
-    gather several files must leave ``max_files`` unset, which reads each delivery as one batch.
+    ``keys`` name a run, ``part`` the piece of it that a delivery replaces (None: the whole run) and ``delivered`` orders
+    deliveries. Every delivery is a partition of its own, so nothing depends on which files share a micro-batch: two versions that
+    land before one trigger, a run in several files and any ``max_files`` give the same table, and a batch
+    repeated after a failure rewrites its own partitions.
     """
+    partitions = [*keys, *([part] if part else []), delivered]
 
-    def store(batch: DataFrame, _batch_id: int) -> None:
-        replace_partitions(batch, table, partition_by)
+    def store(batch: DataFrame, batch_id: int) -> None:
+        named = batch.withColumn(BATCH, F.lit(f"stream-{batch_id:06d}"))
+        sinks.replace_partitions(named, table, [*partitions, BATCH])
 
     return (
         stream.writeStream.foreachBatch(store)
@@ -84,3 +107,22 @@ def replace_runs(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def stored_runs(
+    spark: SparkSession,
+    table: str,
+    keys: Sequence[str] = ("variable", "run_time"),
+    part: str | None = "source_file",
+    delivered: str = "delivered",
+    schema: StructType | None = None,
+) -> DataFrame:
+    """The newest delivery of every (run, part) that ``replace_runs`` has stored.
+
+    Finding it reads partition values only.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    stored = reader.parquet(table)
+    pieces = [*keys, *([part] if part else [])]
+    newest = stored.groupBy(*pieces).agg(F.max(delivered).alias(delivered))
+    return join_checked(stored, newest, [*pieces, delivered], None, how="left_semi").drop(BATCH)
