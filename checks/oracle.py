@@ -143,16 +143,33 @@ def _zoned(obs: str, daily: str, select: str, zones: str = ZONES) -> str:
 SELECT {select} FROM daily JOIN cover USING (iy, ix) GROUP BY variable, date, zone_id"""
 
 
+FILE_SCAN = f"""WITH {OBS}, {WEIGHTS.split('oriented AS')[0].rstrip().rstrip(',')},
+days AS (SELECT DISTINCT variable, date FROM obs)
+SELECT d.variable, d.date, s.stat, c.iy, c.ix, c.y0 + {D('0.375')} AS lat, c.x0 + {D('0.375')} AS lon,
+       {_exact("CASE s.stat WHEN 'mean' THEN avg(value) WHEN 'max' THEN max(value) ELSE min(value) END")} AS value
+FROM days d CROSS JOIN cell c CROSS JOIN (VALUES ('mean'), ('max'), ('min')) s(stat) LEFT JOIN obs o
+  ON o.variable = d.variable AND o.date = d.date AND o.iy = c.iy AND o.ix = c.ix
+GROUP BY d.variable, d.date, s.stat, c.iy, c.ix, c.y0, c.x0"""
+
+# Edges of rectangles (zone_id, sign of the ring, west, south, east, north) cut against the demo grid.
+PARTS = """placed AS (
+  SELECT c_custkey AS zone_id, (c_custkey * 37 % 89) / CAST(10 AS DOUBLE) AS x,
+         (c_custkey * 53 % 53) / CAST(10 AS DOUBLE) + CAST(0.1 AS DOUBLE) AS y FROM customer),
+boxes AS (
+  SELECT zone_id, p.sgn, x + CAST(p.w AS DOUBLE) AS w, y + CAST(p.s AS DOUBLE) AS s, x + CAST(p.e AS DOUBLE) AS e,
+         y + CAST(p.n AS DOUBLE) AS n
+  FROM placed CROSS JOIN (VALUES (1, 0, 0, 1.3, 1.1), (-1, 0.2, 0.3, 0.7, 0.9), (1, 1.5, 0.2, 1.9, 2)) p(sgn, w, s, e, n))"""
+
 ORACLE: dict[str, str] = {
     "zonal_daily_mean": _zoned(
         OBS, DAILY, f"variable, date, zone_id, {_r(_weighted('v_mean'))} AS value"
     ),
-    "grid_file_scan": f"""WITH {OBS}, {WEIGHTS.split('oriented AS')[0].rstrip().rstrip(',')},
-days AS (SELECT DISTINCT variable, date FROM obs)
-SELECT d.variable, d.date, c.iy, c.ix, c.y0 + {D('0.375')} AS lat, c.x0 + {D('0.375')} AS lon, max(value) AS value
-FROM days d CROSS JOIN cell c LEFT JOIN obs o
-  ON o.variable = d.variable AND o.date = d.date AND o.iy = c.iy AND o.ix = c.ix
-GROUP BY ALL""",
+    "grid_file_scan": FILE_SCAN,
+    "grid_file_scan_undated": FILE_SCAN,
+    "forecast_file_scan": f"""WITH {OBS}, {FORECAST}, run AS (SELECT max(run_time) AS run_time FROM fc),
+cells AS (SELECT variable, date, iy, ix, max(value) AS value FROM obs GROUP BY ALL)
+SELECT variable, run_time, CAST(0 AS INTEGER) AS lead_hour, run_time AS valid_time, count(value) AS n, max(value) AS largest
+FROM cells, run GROUP BY variable, run_time""",
     "scan_by_pattern": """SELECT DISTINCT 'grid_' || event_type || '_' || strftime(ts, '%Y%m%d') || '_min.nc' AS name,
        event_type AS variable, CAST(ts AS DATE) AS date FROM events""",
     "parquet_scan": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date, o_totalprice AS value FROM orders",
@@ -160,9 +177,9 @@ GROUP BY ALL""",
 SELECT zone_id, CAST(edge AS INTEGER) AS edge, {_exact('ax')} AS lon_a, {_exact('ay')} AS lat_a,
        {_exact('bx')} AS lon_b, {_exact('by_')} AS lat_b, CAST(-1 AS INTEGER) AS weight FROM edges""",
     "table_scan": f"WITH {PRICE} SELECT code_muni, date, value FROM zd WHERE stat = 'max'",
-    "request_manifest": f"""WITH {DAYS}
+    "request_manifest": f"""WITH {DAYS.replace("event_type AS variable", "CASE event_type WHEN 'purchase' THEN 'o3' ELSE event_type END AS variable")}
 SELECT variable, date, {TARGET} AS target, lpad(CAST(h * 3 AS VARCHAR), 2, '0') || ':00' AS step
-FROM days, range(8) s(h)""",
+FROM days, range(8) s(h) WHERE variable <> 'o3' OR h >= 2""",
     "lead_manifest": f"""WITH {FORECAST}, runs AS (SELECT DISTINCT run_time FROM fc)
 SELECT run_time, CAST(h AS INTEGER) AS lead_hour, run_time + to_hours(CAST(h AS INTEGER)) AS valid_time
 FROM runs, range(121) l(h)""",
@@ -179,7 +196,7 @@ SELECT variable, date, iy, ix,
        CASE WHEN date >= DATE '2024-01-16' THEN v_min ELSE -1.0 END AS v_min, n_steps
 FROM daily""",
     "stack_stats": f"""WITH {PRICE} SELECT code_muni, date, {_r('value')} AS value, stat AS name
-FROM zd WHERE year(date) >= 1998""",
+FROM zd""",
     "monthly_mean": f"""WITH {PRICE}
 SELECT code_muni, {MONTH} AS date, stat AS name, {_r('avg(value)')} AS value FROM zd GROUP BY ALL""",
     "export_monthly": f"""WITH {PRICE}, monthly AS (
@@ -188,6 +205,14 @@ SELECT CAST(substr(CAST(code_muni AS VARCHAR), 1, 6) AS BIGINT) AS cod6, ano_mes
        {_r("max(CASE WHEN stat = 'mean' THEN value END)")} AS pm25
 FROM monthly GROUP BY code_muni, ano_mes""",
     "export_daily": f"""WITH {PRICE}
+SELECT CAST(substr(CAST(code_muni AS VARCHAR), 1, 6) AS BIGINT) AS cod6, date AS ano_mes,
+       min, {_r('mean')} AS med, max FROM price WHERE year(date) >= 2000""",
+    "monthly_report": f"""WITH {PRICE}, monthly AS (
+  SELECT code_muni, {MONTH} AS ano_mes, stat, avg(value) AS value FROM zd WHERE year(date) >= 1998 GROUP BY ALL)
+SELECT CAST(substr(CAST(code_muni AS VARCHAR), 1, 6) AS BIGINT) AS cod6, ano_mes,
+       {_r("max(CASE WHEN stat = 'mean' THEN value END)")} AS pm25
+FROM monthly GROUP BY code_muni, ano_mes""",
+    "daily_report": f"""WITH {PRICE}
 SELECT CAST(substr(CAST(code_muni AS VARCHAR), 1, 6) AS BIGINT) AS cod6, date AS ano_mes,
        min, {_r('mean')} AS med, max FROM price WHERE year(date) >= 2000""",
     "zone_series": f"""WITH {PRICE} SELECT code_muni, date, {_r('value')} AS value
@@ -229,7 +254,7 @@ SELECT variable, date, iy, ix, {_exact('v_mean')} AS v_mean, v_max, v_min, n_ste
         DAILY_STRICT,
         f"""variable, date, zone_id, {_r(_weighted('v_mean'), 6)} AS z_mean,
        {_r('sum(fraction * v_mean)', 6)} AS z_sum,
-       {_r('sum(CASE WHEN v_mean IS NOT NULL THEN fraction END)', 6)} AS z_count,
+       {_r('coalesce(sum(CASE WHEN v_mean IS NOT NULL THEN fraction END), 0)', 6)} AS z_count,
        {_r('min(v_mean)', 6)} AS z_min, {_r('max(v_mean)', 6)} AS z_max""",
     ),
     "zonal_daily_max_min": _zoned(
@@ -289,7 +314,51 @@ FROM daily d JOIN near n ON d.iy = n.sy AND d.ix = n.sx
 WHERE wgt > 1e-9 GROUP BY d.variable, d.date, n.iy, n.ix""",
     "zone_validate": f"""WITH {ZONES}, bad AS (
   SELECT zone_id, count(*) AS n_vertices, count(*) FILTER (WHERE abs(ax + 172) > 180) AS n_outside FROM edges GROUP BY zone_id)
-SELECT zone_id, n_vertices, n_outside, CAST(0 AS BIGINT) AS n_long_edges, n_outside = 0 AS valid FROM bad""",
+SELECT zone_id, n_vertices, n_outside, CAST(0 AS BIGINT) AS n_long_edges,
+       CAST(0 AS BIGINT) AS n_short_rings, n_outside = 0 AS valid FROM bad""",
+    "zone_weights_global": f"""WITH box AS (
+  SELECT CAST(n_nationkey AS BIGINT) AS zone_id, n_nationkey + {D('150.5')} AS w, {D('180')} AS e, n_nationkey * 3 - {D('50')} AS s FROM nation
+  UNION ALL SELECT n_nationkey + 100, {D('-180')}, n_nationkey - {D('179.75')}, n_nationkey * 3 - {D('50')} FROM nation),
+cell AS (
+  SELECT CAST(i AS INTEGER) AS iy, CAST(j AS INTEGER) AS ix, i * {D('18')} - 90 AS y0, j * {D('24')} - 192 + t * 360 AS x0
+  FROM range(10) r(i), range(15) c(j), (VALUES (-1), (0), (1)) u(t))
+SELECT 'world-shift' AS grid_id, zone_id, iy, ix,
+       {_exact('sum((least(e, x0 + 24) - greatest(w, x0)) * (least(s + 2.5, y0 + 18) - greatest(s, y0))) / (24 * 18)')} AS fraction
+FROM box JOIN cell ON w < x0 + 24 AND e > x0 AND s < y0 + 18 AND s + 2.5 > y0 GROUP BY zone_id, iy, ix""",
+    "zone_weights_parts": f"""WITH {PARTS}, {WEIGHTS.split('oriented AS')[0].rstrip().rstrip(',')},
+cut AS (
+  SELECT zone_id, iy, ix, sum(sgn * (least(e, x1) - greatest(w, x0)) * (least(n, y1) - greatest(s, y0))) / ({STEP} * {STEP}) AS fraction
+  FROM boxes JOIN cell ON w < x1 AND e > x0 AND s < y1 AND n > y0 GROUP BY zone_id, iy, ix)
+SELECT 'demo' AS grid_id, zone_id, iy, ix, {_exact('fraction')} AS fraction FROM cut WHERE fraction > 1e-9""",
+    "regrid_global": f"""WITH {OBS}, {DAILY},
+target AS (
+  SELECT CAST(i AS INTEGER) AS iy, CAST(j AS INTEGER) AS ix, (i * {D('9.9')} + {D('4.95')} - {D('89.3')} + 90 - 9) / 18 AS fy,
+         (j * {D('9.9')} + {D('4.95')} - {D('179.3')} + 192 - 12) / 24 AS fx
+  FROM range(18) r(i) CROSS JOIN range(36) c(j)),
+near AS (
+  SELECT t.iy, t.ix, CAST(floor(fy) AS INTEGER) + a AS sy, (CAST(floor(fx) AS INTEGER) + b + 15) % 15 AS sx,
+         (CASE WHEN a = 0 THEN 1 - (fy - floor(fy)) ELSE fy - floor(fy) END)
+       * (CASE WHEN b = 0 THEN 1 - (fx - floor(fx)) ELSE fx - floor(fx) END) AS wgt
+  FROM target t CROSS JOIN (VALUES (0), (1)) p(a) CROSS JOIN (VALUES (0), (1)) q(b))
+SELECT d.variable, d.date, n.iy, n.ix, {_exact('sum(wgt * v_mean) / sum(wgt)')} AS v_mean
+FROM daily d JOIN near n ON d.iy = n.sy AND d.ix = n.sx GROUP BY d.variable, d.date, n.iy, n.ix""",
+    "zonal_shuffle_join": _zoned(OBS, DAILY, f"variable, date, zone_id, {_r(_weighted('v_mean'))} AS value"),
+    "zonal_stored_weights": f"""WITH {_obs(MODEL.format(v="value"))}, {ZONES}, {COVER}, {DAILY_STRICT},
+m AS (
+  SELECT variable, zone_id, date, {_weighted('v_mean')} AS mean,
+         {_weighted('v_max')} AS max, {_weighted('v_min')} AS min
+  FROM daily JOIN cover USING (iy, ix) WHERE zone_id IN (0, 24) GROUP BY variable, date, zone_id),
+z AS (
+  SELECT d.variable, zone.zone_id AS code_muni, d.date, mean, max, min
+  FROM (SELECT DISTINCT variable, date FROM obs) d CROSS JOIN zone LEFT JOIN m
+    ON m.variable = d.variable AND m.date = d.date AND m.zone_id = zone.zone_id WHERE zone.zone_id IN (0, 24))
+SELECT variable, 'mean' AS stat, code_muni, date, {_r(CONVERT.format(v='mean'))} AS value FROM z
+UNION ALL SELECT variable, 'max', code_muni, date, {_r(CONVERT.format(v='max'))} FROM z
+UNION ALL SELECT variable, 'min', code_muni, date, {_r(CONVERT.format(v='min'))} FROM z""",
+    "rebuild_table": f"WITH {PRICE} SELECT code_muni, date, stat, {_r('value * 2')} AS value FROM zd WHERE stat <> 'min'",
+    "list_tables": "SELECT DISTINCT event_type || '_daily' AS name FROM events ORDER BY name",
+    "split_run": f"WITH {FORECAST} SELECT * FROM fc",
+    "mixed_appends": f"WITH {OBS} SELECT {OBS_COLUMNS} FROM obs",
     "incremental_ingest": f"WITH {OBS} SELECT {OBS_COLUMNS} FROM obs",
     "replace_runs": f"WITH {FORECAST} SELECT * FROM fc",
     "current_run": f"""WITH {FORECAST}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,12 +15,14 @@ from gridzonal.functions import names, times
 from gridzonal.functions.numeric import convert_units, round_to
 from gridzonal.operators import grid, series, zonal
 from gridzonal.operators.coverage import footprint, validate_zones, zone_edges, zone_weights
+from gridzonal.plans.export import daily_report as report_by_day
+from gridzonal.plans.export import monthly_report as report_by_month
 from gridzonal.plans.forecast import current_run, zone_forecast
 from gridzonal.plans.reanalysis import register_series_views, zone_daily
 from gridzonal.schema import DAY_STEPS_O3, GridSpec
 from gridzonal.sources import grid_files, manifest, tables
 from gridzonal.storage import fresh_path, materialise
-from gridzonal.streaming.ingest import append_new, replace_runs, stream_parquet
+from gridzonal.streaming.ingest import append_new, replace_runs, stored_runs, stream_parquet
 
 FIRST_DAY, LAST_DAY = dt.date(2023, 12, 25), dt.date(2024, 2, 4)
 OBS_COLUMNS = ["variable", "valid_time", "date", "iy", "ix", "value"]
@@ -58,7 +61,9 @@ def _variables(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def request_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    return manifest.request_manifest(_variables(spark, sf), FIRST_DAY, LAST_DAY)
+    """Days given as texts; one variable stands for ozone, which has six steps a day."""
+    ozone = F.when(F.col("variable") == "purchase", "o3").otherwise(F.col("variable"))
+    return manifest.request_manifest(_variables(spark, sf).withColumn("variable", ozone), "2023-12-25", "2024-02-04")
 
 
 def lead_manifest(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,8 +71,10 @@ def lead_manifest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def first_marker(spark: SparkSession, sf: str) -> DataFrame:
-    markers = v.grid_forecast(spark, sf).select(names.run_marker(F.col("run_time")).alias("name"))
-    return grid_files.first_match(markers)
+    """Markers are written as files; the first of the listing tells the run."""
+    folder = fresh_path(spark, "markers")
+    sinks.write_run_markers(v.grid_forecast(spark, sf), folder)
+    return grid_files.first_match(grid_files.list_markers(spark, folder))
 
 
 def missing_days(spark: SparkSession, sf: str) -> DataFrame:
@@ -87,15 +94,37 @@ def missing_steps(spark: SparkSession, sf: str) -> DataFrame:
 # Grid files: the daily grids are written as files and read back
 
 
-def _daily_files(spark: SparkSession, sf: str) -> str:
+def _daily_files(spark: SparkSession, sf: str, time_axis: bool = True) -> str:
     folder = fresh_path(spark, "daily-grids")
-    sinks.write_grid_files(grid.daily_cell_stats(v.grid_obs(spark, sf)), folder, v.GRID)
+    sinks.write_grid_files(grid.daily_cell_stats(v.grid_obs(spark, sf)), folder, v.GRID, time_axis=time_axis)
     return folder
 
 
+def _scanned(spark: SparkSession, folder: str) -> DataFrame:
+    return grid_files.scan_grid_files(spark, folder, v.GRID).select(
+        "variable", "date", "stat", "iy", "ix", "lat", "lon", exact(F.col("value")).alias("value")
+    )
+
+
 def grid_file_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return grid_files.scan_grid_files(spark, _daily_files(spark, sf), v.GRID, r"_max\.nc$").select(
-        "variable", "date", "iy", "ix", "lat", "lon", "value"
+    """All three statistics side by side, from one scan."""
+    return _scanned(spark, _daily_files(spark, sf))
+
+
+def grid_file_scan_undated(spark: SparkSession, sf: str) -> DataFrame:
+    """The files have no times; the day comes from the name."""
+    return _scanned(spark, _daily_files(spark, sf, time_axis=False))
+
+
+def forecast_file_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of one run beside a marker that names it: the layer is the lead hour."""
+    folder = fresh_path(spark, "forecast-files")
+    sinks.write_grid_files(grid.daily_cell_stats(v.grid_obs(spark, sf), ["max"]), folder, v.GRID, ["max"], time_axis=False)
+    sinks.write_run_markers(v.grid_forecast(spark, sf).agg(F.max("run_time").alias("run_time")), folder)
+    run = grid_files.marker_run_time(spark, folder)
+    scanned = grid_files.scan_grid_files(spark, folder, v.GRID, run_time=run)
+    return scanned.groupBy("variable", "run_time", "lead_hour", "valid_time").agg(
+        F.count("value").alias("n"), F.max("value").alias("largest")
     )
 
 
@@ -126,6 +155,43 @@ def append_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return tables.scan_parquet(spark, path).select(*OBS_COLUMNS)
 
 
+def mixed_appends(spark: SparkSession, sf: str) -> DataFrame:
+    """The streaming ingest makes the table, a batch append adds to it, and the ingest goes on."""
+    work = fresh_path(spark, "mixed")
+    obs = v.grid_obs(spark, sf).select(*OBS_COLUMNS)
+    days = [F.lit(dt.date(2024, 1, day)) for day in (11, 21)]
+
+    def ingest(part: DataFrame, drop: str) -> None:
+        part.write.parquet(f"{work}/landing/{drop}")
+        landed = stream_parquet(spark, f"{work}/landing", obs.schema).drop("source_file", "drop", "delivered")
+        append_new(landed, f"{work}/table", f"{work}/checkpoint").awaitTermination()
+
+    ingest(obs.filter(F.col("date") < days[0]), "first")
+    sinks.append(obs.filter(F.col("date").between(days[0], days[1])), f"{work}/table", ["variable", "date"])
+    ingest(obs.filter(F.col("date") > days[1]), "second")
+    return spark.read.parquet(f"{work}/table").select(*OBS_COLUMNS)
+
+
+def rebuild_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored table is rebuilt from itself."""
+    name = f"prices_{uuid.uuid4().hex}"
+    sinks.rebuild_table(v.zone_daily(spark, sf).filter("stat <> 'min'"), name)
+    doubled = tables.scan_table(spark, name).withColumn("value", F.col("value") * 2)
+    sinks.rebuild_table(doubled, name)
+    return tables.scan_table(spark, name).withColumn("value", round_to(F.col("value")))
+
+
+def list_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """One stored table for each variable, found again in the catalog."""
+    database = f"series_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    obs = v.grid_obs(spark, sf)
+    for variable in v.UNITS:
+        daily = obs.filter(F.col("variable") == variable).groupBy("date").agg(F.count("value").alias("n"))
+        sinks.rebuild_table(daily, f"{database}.{variable}_daily")
+    return sinks.list_tables(spark, database)
+
+
 def replace_table(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_path(spark, "replace")
     daily = v.zone_daily(spark, sf)
@@ -220,9 +286,44 @@ def regrid_bilinear(spark: SparkSession, sf: str) -> DataFrame:
     return fine.withColumn("v_mean", exact(F.col("v_mean")))
 
 
+def regrid_global(spark: SparkSession, sf: str) -> DataFrame:
+    """A closed grid is resampled across its seam."""
+    daily = grid.daily_cell_stats(v.grid_obs(spark, sf), ["mean"])
+    target = GridSpec("target", -179.3, -89.3, 9.9, 9.9, 36, 18)
+    return grid.regrid_bilinear(daily, v.WORLD, target, "v_mean").withColumn("v_mean", exact(F.col("v_mean")))
+
+
 # Zones
 
 
+def zone_weights_global(spark: SparkSession, sf: str) -> DataFrame:
+    return zone_weights(v.zones_world(spark, sf), v.WORLD).withColumn("fraction", exact(F.col("fraction")))
+
+
+def zone_weights_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Zones with a hole and a second part, stored as files and read back."""
+    path = fresh_path(spark, "zones")
+    sinks.export_parquet(v.zones_parts(spark, sf), path)
+    return zone_weights(tables.scan_zones(spark, path), v.GRID).withColumn("fraction", exact(F.col("fraction")))
+
+
+def zonal_shuffle_join(spark: SparkSession, sf: str) -> DataFrame:
+    """With no bound on the weights nothing is broadcast for being small."""
+    daily = grid.daily_cell_stats(v.grid_obs(spark, sf), ["mean"])
+    return zonal.zonal_mean(daily, zone_weights(v.zones(spark, sf), v.GRID), ["variable", "date"], "v_mean", None)
+
+
+def zonal_stored_weights(spark: SparkSession, sf: str) -> DataFrame:
+    """Weights of two grids in one table; scattered zones, so that cells are pruned by cell."""
+    path = fresh_path(spark, "weights")
+    zones = v.zones_wide(spark, sf).filter("zone_id IN (0, 24)")
+    tables.store_weights(zones, v.GRID, f"{path}/grid=demo")
+    tables.store_weights(zones, FINE_GRID, f"{path}/grid=fine")
+    stored = spark.read.parquet(path).drop("grid")
+    obs = v.in_model_units(v.grid_obs(spark, sf))
+    return zone_daily(obs, zones, v.GRID, stored, units=v.UNITS)
+
+
 def zone_weight_table(spark: SparkSession, sf: str) -> DataFrame:
     return zone_weights(v.zones(spark, sf), v.GRID).withColumn("fraction", exact(F.col("fraction")))
 
@@ -275,8 +376,9 @@ def zonal_left_complete(spark: SparkSession, sf: str) -> DataFrame:
     zones = v.zones_wide(spark, sf)
     box = footprint(zones, v.GRID)
     daily = grid.daily_cell_stats(v.grid_obs(spark, sf), ["mean"])
-    means = zonal.zonal_mean(daily, zone_weights(zones, v.GRID), ["variable", "date"], "v_mean", box.rows)
-    return zonal.complete_zones(means, zones, v.present_days(spark, sf), ["variable", "date"])
+    by = ["variable", "date"]
+    means = zonal.zonal_mean(daily, zone_weights(zones, v.GRID), by, "v_mean", box.rows, keep_groups=True)
+    return zonal.complete_zones(means, zones, by, box.zones)
 
 
 def zonal_forecast(spark: SparkSession, sf: str) -> DataFrame:
@@ -306,10 +408,10 @@ def current_run_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stack_stats(spark: SparkSession, sf: str) -> DataFrame:
-    """Three stored tables, one per statistic, each read from 1998 on; the year filter reaches the scans."""
+    """Three stored tables, one per statistic."""
     stored = materialise(v.zone_daily_wide(spark, sf), "price-stats")
     parts = {
-        stat: stored.filter(times.from_year(F.col("date"), 1998)).select("code_muni", "date", F.col(stat).alias("value"))
+        stat: stored.select("code_muni", "date", F.col(stat).alias("value"))
         for stat in series.STATS
     }
     return series.stack_stats(parts).withColumn("value", round_to(F.col("value")))
@@ -328,6 +430,21 @@ def export_daily(spark: SparkSession, sf: str) -> DataFrame:
     return series.export_daily(v.stacked(spark, sf), 2000).withColumn("med", round_to(F.col("med")))
 
 
+def _report_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored zone-day table, partitioned by variable and statistic."""
+    path = fresh_path(spark, "series")
+    sinks.append(v.zone_daily(spark, sf).withColumn("variable", F.lit("pm25")), path, ["variable", "stat"], ["code_muni", "date"])
+    return tables.scan_parquet(spark, path)
+
+
+def monthly_report(spark: SparkSession, sf: str) -> DataFrame:
+    return report_by_month(_report_table(spark, sf), "pm25", 1998).withColumn("pm25", round_to(F.col("pm25")))
+
+
+def daily_report(spark: SparkSession, sf: str) -> DataFrame:
+    return report_by_day(_report_table(spark, sf), "pm25", 2000).withColumn("med", round_to(F.col("med")))
+
+
 def pivot_stats(spark: SparkSession, sf: str) -> DataFrame:
     return series.pivot_stats(v.stacked(spark, sf), ["code_muni", "date"]).withColumn("mean", round_to(F.col("mean")))
 
@@ -441,7 +558,7 @@ def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     half = F.lit(dt.date(2024, 1, 16))
 
     def ingest() -> None:
-        landed = stream_parquet(spark, f"{work}/landing", obs.schema)
+        landed = stream_parquet(spark, f"{work}/landing", obs.schema).drop("source_file", "drop", "delivered")
         append_new(landed, f"{work}/table", f"{work}/checkpoint").awaitTermination()
 
     obs.filter(F.col("date") < half).write.mode("append").parquet(f"{work}/landing/first")
@@ -453,25 +570,32 @@ def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def replace_runs_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """A run delivered twice, the second time corrected, keeps only its later rows."""
+    """Runs delivered twice before one trigger, the second time corrected, keep only their later rows."""
     work = fresh_path(spark, "runs")
     runs = v.grid_forecast(spark, sf)
+    early = runs.filter(F.col("run_time") < F.lit("2024-01-08").cast("timestamp_ntz"))
+    early.withColumn("value", F.lit(-1.0)).write.parquet(f"{work}/landing/drop-1")
+    runs.write.parquet(f"{work}/landing/drop-2")
+    landed = stream_parquet(spark, f"{work}/landing", runs.schema).drop("source_file", "delivered")
+    replace_runs(landed, f"{work}/table", f"{work}/checkpoint", part=None, delivered="drop").awaitTermination()
+    return stored_runs(spark, f"{work}/table", part=None, delivered="drop", schema=landed.schema).select(*runs.columns)
 
-    def deliver(batch: DataFrame, drop: str) -> None:
-        batch.write.parquet(f"{work}/landing/{drop}")
-        landed = stream_parquet(spark, f"{work}/landing", runs.schema)
-        target, progress = f"{work}/table", f"{work}/checkpoint"
-        replace_runs(landed, target, progress, ["variable", "run_time"]).awaitTermination()
 
-    early = runs.filter(F.col("run_time") < F.lit("2024-01-08").cast("timestamp_ntz"))
-    deliver(early.withColumn("value", F.lit(-1.0)), "first")
-    deliver(runs, "second")
-    return spark.read.schema(runs.schema).parquet(f"{work}/table").select(*runs.columns)
+def split_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Every run comes in several files, one file to a micro-batch."""
+    work = fresh_path(spark, "split")
+    runs = v.grid_forecast(spark, sf)
+    runs.repartition(3, "ix", "iy").write.parquet(f"{work}/landing/drop-1")
+    landed = stream_parquet(spark, f"{work}/landing", runs.schema, max_files=1).drop("drop")
+    replace_runs(landed, f"{work}/table", f"{work}/checkpoint").awaitTermination()
+    return stored_runs(spark, f"{work}/table", schema=landed.schema).select(*runs.columns)
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zonal_daily_mean": zonal_daily_mean,
     "grid_file_scan": grid_file_scan,
+    "grid_file_scan_undated": grid_file_scan_undated,
+    "forecast_file_scan": forecast_file_scan,
     "scan_by_pattern": scan_by_pattern,
     "parquet_scan": parquet_scan,
     "zone_edges": zone_edge_table,
@@ -525,6 +649,17 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zone_validate": zone_validate,
     "incremental_ingest": incremental_ingest,
     "replace_runs": replace_runs_stream,
+    "split_run": split_run,
+    "mixed_appends": mixed_appends,
+    "rebuild_table": rebuild_table,
+    "list_tables": list_tables,
+    "zone_weights_global": zone_weights_global,
+    "zone_weights_parts": zone_weights_parts,
+    "regrid_global": regrid_global,
+    "zonal_shuffle_join": zonal_shuffle_join,
+    "zonal_stored_weights": zonal_stored_weights,
+    "monthly_report": monthly_report,
+    "daily_report": daily_report,
     "current_run": current_run_table,
     "reanalysis_zone_daily": reanalysis_zone_daily,
     "forecast_zone_table": forecast_zone_table,

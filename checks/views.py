@@ -89,6 +89,43 @@ def zones_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zones(spark, sf_dir).unionByName(moved)
 
 
+# A global grid moved by half a step, so that its seam lies inside a column of the usual one.
+WORLD = GridSpec("world-shift", -192.0, -90.0, 24.0, 18.0, 15, 10)
+
+
+def _rings(*rings: tuple[str, str, str, str, str]) -> str:
+    """SQL of rings from (role, west, south, east, north)."""
+    made = []
+    for role, west, south, east, north in rings:
+        corners = ((west, south), (east, south), (east, north), (west, north))
+        points = ", ".join(f"named_struct('lon', CAST({x} AS DOUBLE), 'lat', CAST({y} AS DOUBLE))" for x, y in corners)
+        made.append(f"named_struct('role', '{role}', 'pts', array({points}))")
+    return f"array({', '.join(made)}) AS rings"
+
+
+def zones_world(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A zone on either side of 180 degrees per nation."""
+    nations = table(spark, sf_dir, "nation").selectExpr("CAST(n_nationkey AS BIGINT) AS k")
+    east = nations.selectExpr("k AS zone_id", _rings(("shell", "150.5 + k", "3 * k - 50", "180", "3 * k - 47.5")))
+    west = nations.selectExpr("k + 100 AS zone_id", _rings(("shell", "-180", "3 * k - 50", "-179.75 + k", "3 * k - 47.5")))
+    return east.unionByName(west)
+
+
+def zones_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A zone of two parts per customer, the first with a hole; their number grows with the data."""
+    placed = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS zone_id", "pmod(c_custkey * 37, 89) / 10.0D AS x", "pmod(c_custkey * 53, 53) / 10.0D + 0.1D AS y"
+    )
+    return placed.selectExpr(
+        "zone_id",
+        _rings(
+            ("shell", "x", "y", "x + 1.3D", "y + 1.1D"),
+            ("hole", "x + 0.2D", "y + 0.3D", "x + 0.7D", "y + 0.9D"),
+            ("shell", "x + 1.5D", "y + 0.2D", "x + 1.9D", "y + 2D"),
+        ),
+    )
+
+
 def zone_daily_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(code_muni, date, mean, max, min): one shuffle, whatever the number of statistics."""
     orders = table(spark, sf_dir, "orders").selectExpr(

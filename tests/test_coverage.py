@@ -123,7 +123,7 @@ def test_footprint_bounds_the_weights(spark):
         },
     )
     box = footprint(zones, spec)
-    assert box == Footprint(rows=4 * 6 + 3 * 2, iy_min=1, iy_max=9, ix_min=1, ix_max=9)
+    assert box == Footprint(rows=4 * 6 + 3 * 2, iy_min=1, iy_max=9, ix_min=1, ix_max=9, zones=3)
     assert zone_weights(zones, spec).count() <= box.rows
 
 
@@ -184,3 +184,22 @@ def test_large_ring(spark):
     ).first()
     assert total.area == pytest.approx(ring_area(points), abs=1e-6)
     assert total.top <= 1 + 1e-9
+
+
+def test_a_zone_of_one_metre_keeps_its_weights(spark):
+    spec = GridSpec("w", -180.375, -90.375, 0.75, 0.75, 480, 241)
+    side = 1e-5
+    zones = make_zones(spark, {1: [("shell", rectangle(10.1, 20.1, 10.1 + side, 20.1 + side))]})
+    rows = zone_weights(zones, spec).collect()
+    assert len(rows) == 1 and rows[0].fraction == pytest.approx(side * side / 0.75**2, rel=1e-4)
+
+
+@pytest.mark.parametrize("west, east", [(179.0, 180.0), (179.7, 179.9), (-180.0, -179.5)])
+def test_global_grid_closes(spark, west, east):
+    spec = GridSpec("w", -180.375, -90.375, 0.75, 0.75, 480, 241)
+    zones = make_zones(spark, {1: [("shell", rectangle(west, 0.0, east, 1.0))]})
+    rows = zone_weights(zones, spec).collect()
+    assert sum(r.fraction for r in rows) * 0.75**2 == pytest.approx(east - west)
+    assert all(0 <= r.ix < 480 for r in rows)
+    box = footprint(zones, spec)
+    assert box.rows >= len(rows) and all(box.ix_min <= r.ix <= box.ix_max for r in rows)

@@ -139,3 +139,11 @@ def test_year_filters_are_ranges(spark):
     days = spark.sql("select explode(array(date'2017-12-31', date'2018-01-01', date'2018-12-31', date'2019-01-01')) d")
     assert days.filter(times.from_year(F.col("d"), 2018)).count() == 3
     assert days.filter(times.in_year(F.col("d"), 2018)).count() == 2
+
+
+def test_rounding_has_no_silent_limits(spark):
+    with pytest.raises(ValueError, match="at most 9"):
+        round_to(F.lit(1.0), 12)
+    for value in (1e19, -3.5e30):
+        assert one(spark, round_to(F.lit(value))) == value
+    assert one(spark, round_to(F.lit(1.0000000005), 9)) == 1.000000001

@@ -121,3 +121,17 @@ def test_daily_stats_over_real_events(spark):
     daily = grid.daily_cell_stats(obs)
     assert daily.agg(F.sum("n_steps")).first()[0] == obs.count()
     assert daily.filter("v_min > v_mean + 1e-9 or v_mean > v_max + 1e-9").count() == 0
+
+
+def test_resampling_across_the_seam(spark):
+    """Four columns of 90 degrees: the target at -157.5 lies between the last column and the first."""
+    source, target = GridSpec("s", -180.0, -90.0, 90.0, 180.0, 4, 1), GridSpec("t", -180.0, -90.0, 45.0, 180.0, 8, 1)
+    cells = spark.createDataFrame([(0, k, v) for k, v in enumerate((0.0, 10.0, 20.0, 100.0))], "iy int, ix int, value double")
+    got = {r.ix: r.value for r in grid.regrid_bilinear(cells, source, target, by=[]).collect()}
+    assert got[0] == pytest.approx(25.0) and got[7] == pytest.approx(75.0) and len(got) == 8
+
+
+def test_columns_of_a_closed_grid(spark):
+    spec = GridSpec("w", 0.0, -90.0, 90.0, 180.0, 4, 1)
+    cells = spark.createDataFrame([(x, 0.0) for x in (45.0, 135.0, -135.0, -45.0, 315.0)], "lon double, lat double")
+    assert [r.ix for r in grid.normalise_grid(cells, spec).collect()] == [0, 1, 2, 3, 3]

@@ -3,7 +3,6 @@ import os
 import struct
 import subprocess
 import sys
-import types
 
 import numpy as np
 import pytest
@@ -12,10 +11,10 @@ from pyspark.sql import functions as F
 from gridzonal.functions import names
 from gridzonal.schema import GridSpec
 from gridzonal.sources import grid_files, manifest, netcdf
-from gridzonal.sinks import write_grid_files
+from gridzonal.sinks import append, write_grid_files
 from gridzonal.operators.grid import daily_cell_stats
 from gridzonal.storage import fresh_path
-from gridzonal.streaming.ingest import append_new, replace_runs, stream_grid_files
+from gridzonal.streaming.ingest import append_new, replace_runs, stored_runs, stream_grid_files, stream_parquet
 
 SPEC = GridSpec("g", 0.0, 0.0, 1.0, 1.0, 2, 2)
 
@@ -175,35 +174,81 @@ def test_files_on_disk_are_not_fetched_again(spark, tmp_path):
     assert sorted(r.target for r in todo.collect()) == ["grid_co_20240102.nc", "grid_o3_20240101.nc"]
 
 
-def test_hdf5_variables_map_to_the_same_form(monkeypatch):
-    """The optional library is absent here, so a stand-in with its interface is read."""
+def test_default_fills_are_missing():
+    for kind, fill in netcdf.DEFAULT_FILLS.items():
+        raw = np.array([1, fill], f">{kind}")
+        assert np.isnan(netcdf.unpack(raw, {}))[1] and netcdf.unpack(raw, {})[0] == 1.0
+    assert netcdf.unpack(np.array([-127], ">i1"), {})[0] == -127.0
+    declared = netcdf.unpack(np.array([-32767, 5], ">i2"), {"_FillValue": np.array([5], ">i2")})
+    assert declared[0] == -32767.0 and np.isnan(declared[1])
 
-    class Dataset:
-        def __init__(self, name, data, scales=(), attrs=None):
-            self.name, self.data, self.attrs = name, np.asarray(data), attrs or {}
-            self.dims = [[scale] if scale is not None else [] for scale in scales]
 
-        def __getitem__(self, _key):
-            return self.data
+def undated(value):
+    return netcdf.write_classic("pm2p5", np.array([0.5, 1.5]), np.array([0.5, 1.5]), np.full((1, 2, 2), value), epoch=None)
 
-    lat, lon = Dataset("/latitude", [1.5, 0.5], [None]), Dataset("/longitude", [0.5, 1.5], [None])
-    time = Dataset("/time", [0, 3], [None], {"units": b"hours since 2024-01-01"})
-    field = Dataset("/t2m", np.arange(8.0).reshape(2, 2, 2), [time, lat, lon], {"_FillValue": np.float64(7.0), "other": 1})
 
-    class File(dict):
-        def __init__(self, _stream, _mode):
-            super().__init__(latitude=lat, longitude=lon, time=time, t2m=field, group={})
+def test_day_and_statistic_come_from_the_name(spark, tmp_path):
+    for day in (1, 2):
+        for k, stat in enumerate(("mean", "max", "min")):
+            (tmp_path / f"grid_pm25_2024010{day}_{stat}.nc").write_bytes(undated(10.0 * day + k))
+    rows = grid_files.scan_grid_files(spark, str(tmp_path), SPEC, variable=names.variable_from_name(F.col("path"))).collect()
+    found = {(r.variable, r.date.day, r.stat, r.value) for r in rows}
+    assert found == {("pm25", d, s, 10.0 * d + k) for d in (1, 2) for k, s in enumerate(("mean", "max", "min"))}
 
-        def __enter__(self):
-            return self
 
-        def __exit__(self, *_):
-            return None
+def test_file_without_any_day_is_refused(spark, tmp_path):
+    (tmp_path / "grid_pm25.nc").write_bytes(undated(1.0))
+    with pytest.raises(Exception, match="no usable time axis") as problem:
+        grid_files.scan_grid_files(spark, str(tmp_path), SPEC).collect()
+    assert "grid_pm25.nc" in str(problem.value)
+
 
-    monkeypatch.setitem(sys.modules, "h5py", types.SimpleNamespace(File=File, Dataset=Dataset))
-    ((name, lats, _lons, times, attrs, layers),) = netcdf.layers_of(netcdf.HDF5_MAGIC)
-    assert (name, lats.tolist(), times) == ("t2m", [1.5, 0.5], [dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 3)])
-    assert np.isnan(netcdf.unpack(layers[1], attrs)[1, 1]) and layers[0].tolist() == [[0.0, 1.0], [2.0, 3.0]]
+@pytest.mark.parametrize(
+    "spec", [GridSpec("coarse", 0.0, 0.0, 2.0, 2.0, 1, 1), GridSpec("moved", 0.5, 0.0, 1.0, 1.0, 2, 2), GridSpec("small", 0.0, 0.0, 1.0, 1.0, 2, 1)]
+)
+def test_file_on_another_grid_is_refused(spark, tmp_path, spec):
+    (tmp_path / "grid_pm25_20240101.nc").write_bytes(undated(1.0))
+    with pytest.raises(Exception, match="are not cell centres of the grid") as problem:
+        grid_files.scan_grid_files(spark, str(tmp_path), spec).collect()
+    assert "grid_pm25_20240101.nc" in str(problem.value)
+
+
+def test_only_matching_files_are_read(spark, tmp_path):
+    for stat in ("mean", "max", "min"):
+        (tmp_path / f"grid_pm25_20240101_{stat}.nc").write_bytes(undated(1.0))
+    (tmp_path / "grid_pm25_20240102_max.nc").write_bytes(b"never opened")
+    scan = grid_files.scan_grid_files(spark, str(tmp_path), SPEC, r"_m(ean|in)\.nc$")
+    assert scan.count() == 8
+    executed = scan._jdf.queryExecution().executedPlan()
+    scan._jdf.queryExecution().toRdd().count()
+
+    def metric(node):
+        if "FileScan" in node.nodeName() or node.nodeName().startswith("Scan binaryFile"):
+            return node.metrics().get("numFiles").get().value()
+        children = node.children()
+        plans = [children.apply(k) for k in range(children.length())]
+        if node.nodeName() == "AdaptiveSparkPlan":
+            plans = [node.executedPlan()]
+        return next((m for m in map(metric, plans) if m is not None), None)
+
+    assert metric(executed) == 2
+
+
+def test_names_of_forecast_files(spark):
+    listed = ["cams_forecast_co_20250709.nc", "cams_forecast_pm25.nc", "cams_pm25_20240102_max.nc", "cams_o3_20240102.nc", "notes.txt"]
+    df = spark.createDataFrame([(n,) for n in listed], "name string")
+    got = df.select(names.variable_from_name(F.col("name")).alias("v"), names.stat_from_name(F.col("name")).alias("s")).collect()
+    assert [(r.v, r.s) for r in got] == [("co", None), ("pm25", None), ("pm25", "max"), ("o3", None), (None, None)]
+
+
+def test_marker_beside_the_files_tells_the_run(spark, tmp_path):
+    (tmp_path / "cams_forecast_pm25.nc").write_bytes(packed_file())
+    (tmp_path / "datestamp_20250709_12:00").write_bytes(b"")
+    run = grid_files.marker_run_time(spark, str(tmp_path))
+    rows = grid_files.scan_grid_files(spark, str(tmp_path), SPEC, variable=names.variable_from_name(F.col("path")), run_time=run).collect()
+    assert {(r.variable, r.run_time, r.lead_hour) for r in rows} == {("pm25", dt.datetime(2025, 7, 9, 12), k) for k in (0, 1)}
+    with pytest.raises(ValueError, match="no marker"):
+        grid_files.marker_run_time(spark, str(tmp_path), "^other_")
 
 
 def test_listing_by_pattern(spark, tmp_path):
@@ -250,7 +295,7 @@ def test_workers_need_not_have_the_package(tmp_path):
         "import pickle, sys, pyarrow as pa\n"
         "mapper = pickle.load(open('mapper', 'rb'))\n"
         "batch = pa.RecordBatch.from_pylist([{'path': 'a.nc', 'variable': 'x', 'run_time': None, "
-        "'source_file': None, 'content': open('a.nc', 'rb').read()}])\n"
+        "'source_file': None, 'stat': None, 'name_date': None, 'modified': None, 'content': open('a.nc', 'rb').read()}])\n"
         "print(sum(b.num_rows for b in mapper([batch])), 'gridzonal' in sys.modules)\n"
     )
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
@@ -265,6 +310,13 @@ def test_cell_outside_the_grid_is_refused(spark, tmp_path):
         write_grid_files(daily_cell_stats(obs), str(tmp_path / "daily"), SPEC)
 
 
+def test_two_rows_for_one_cell_are_refused(spark, tmp_path):
+    rows = [("o3", dt.date(2024, 1, 1), 1, 1, 1.0, 2.0, 0.0)] * 2
+    daily = spark.createDataFrame(rows, "variable string, date date, iy int, ix int, v_mean double, v_max double, v_min double")
+    with pytest.raises(Exception, match="two rows for one cell"):
+        write_grid_files(daily, str(tmp_path / "daily"), SPEC)
+
+
 def test_each_landed_file_is_ingested_once(spark, tmp_path):
     landing, work = tmp_path / "landing", fresh_path(spark, "stream")
     landing.mkdir()
@@ -281,7 +333,7 @@ def test_each_landed_file_is_ingested_once(spark, tmp_path):
     assert ingest() == 16
     assert ingest() == 16
     batch = grid_files.scan_grid_files(spark, str(landing), SPEC, variable=names.variable_from_name(F.col("path")))
-    kept = spark.read.parquet(f"{work}/table").select(*batch.columns)
+    kept = spark.read.schema(batch.schema).parquet(f"{work}/table").select(*batch.columns)
     assert batch.exceptAll(kept).count() == kept.exceptAll(batch).count() == 0
 
 
@@ -293,10 +345,41 @@ def test_run_in_several_files_stays_whole(spark, tmp_path):
     def ingest():
         stream = stream_grid_files(spark, str(landing), SPEC, variable=F.lit("o3"), run_time=run, max_files=1)
         replace_runs(stream, f"{work}/table", f"{work}/progress").awaitTermination()
-        return spark.read.parquet(f"{work}/table")
+        return stored_runs(spark, f"{work}/table")
 
     (landing / "grid_a_20250709.nc").write_bytes(packed_file())
     (landing / "grid_b_20250709.nc").write_bytes(packed_file())
     assert ingest().count() == 16
     (landing / "grid_c_20250710.nc").write_bytes(packed_file())
     assert ingest().groupBy("run_time").count().count() == 2
+    # The same file delivered again replaces its own rows only.
+    os.utime(landing / "grid_a_20250709.nc", (2_000_000_000, 2_000_000_000))
+    assert ingest().count() == 24
+
+
+def test_two_deliveries_before_one_trigger(spark):
+    work = fresh_path(spark, "twice")
+    rows = spark.createDataFrame([("o3", dt.datetime(2025, 7, 9), k) for k in range(10)], "variable string, run_time timestamp_ntz, n int")
+    rows.withColumn("n", -F.col("n")).write.parquet(f"{work}/in/drop-1")
+    rows.write.parquet(f"{work}/in/drop-2")
+    for max_files in (None, 1):
+        stream = stream_parquet(spark, f"{work}/in", rows.schema, max_files)
+        table = f"{work}/table-{max_files}"
+        replace_runs(stream, table, f"{table}-progress", part=None, delivered="drop").awaitTermination()
+        assert sorted(r.n for r in stored_runs(spark, table, part=None, delivered="drop").collect()) == list(range(10))
+        # With the defaults every file is a part of its own.
+        stream = stream_parquet(spark, f"{work}/in", rows.schema, max_files)
+        replace_runs(stream, f"{table}-files", f"{table}-files-progress").awaitTermination()
+        assert stored_runs(spark, f"{table}-files").count() == 20
+
+
+def test_append_after_append_new_is_visible(spark):
+    work = fresh_path(spark, "mixed")
+    rows = spark.createDataFrame([("o3", dt.date(2025, 7, 9), k) for k in range(10)], "variable string, date date, n int")
+    rows.write.parquet(f"{work}/in/drop-1")
+    for _ in range(2):
+        stream = stream_parquet(spark, f"{work}/in", rows.schema)
+        append_new(stream, f"{work}/table", f"{work}/progress").awaitTermination()
+    append(rows, f"{work}/table", ["variable", "date"])
+    append(rows, f"{work}/table", ["variable", "date"])
+    assert spark.read.parquet(f"{work}/table").count() == 30

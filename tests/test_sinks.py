@@ -56,7 +56,9 @@ def test_catalog_tables(spark, daily):
     sinks.rebuild_table(daily.filter("value < 2"), "o3_mean_mean")
     sinks.append_table(daily.filter("value > 4"), "o3_mean_mean")
     assert values(tables.scan_table(spark, "o3_mean_mean")) == [(1, 1.5), (3, 4.5)]
-    assert "o3_mean_mean" in sinks.list_tables(spark)
+    assert "o3_mean_mean" in [r.name for r in sinks.list_tables(spark).collect()]
+    sinks.rebuild_table(spark.table("o3_mean_mean").filter("value > 4"), "o3_mean_mean")  # from itself
+    assert values(tables.scan_table(spark, "o3_mean_mean")) == [(3, 4.5)]
     spark.sql("DROP TABLE o3_mean_mean")
 
 
@@ -79,6 +81,21 @@ def test_shared_folder_is_the_configured_one(spark):
     assert storage.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_paths_are_resolved_once(spark):
+    assert storage.arrow_uri(spark, "/tmp/x") == "file:///tmp/x"
+    assert storage.arrow_uri(spark, "file:/tmp/x") == "file:///tmp/x"
+
+
+def test_fresh_paths_can_be_removed(spark, daily):
+    path = storage.fresh_path(spark, "gone")
+    daily.write.parquet(path)
+    storage.remove_path(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError):
+        storage.remove_path(spark, "/tmp/elsewhere")
+
+
 def test_filters_reach_the_scan(spark):
     path = storage.fresh_path(spark, "obs")
     sinks.append(views.grid_obs(spark, SF), path, ["variable"])
