@@ -182,14 +182,22 @@ def _bound(percent: int) -> str:
     return f"100 * {most} >= {percent} * (nx + ny - {most})"
 
 
-def star_pairs(listed: DataFrame, percent: int) -> DataFrame:
-    """(x, y, nx, ny) of every row with the row of its list that has the fewest rarer n-grams.
+def with_stars(listed: DataFrame) -> DataFrame:
+    """Rows of the lists that hold several, each with the row of its list that has the fewest rarer n-grams.
 
-    A copy with few changes is close to all others of its group. One row per list is the result of a partial aggregate.
+    A copy with few changes is close to all others of its group. One row per list is the result of a partial aggregate, and
+    long lists are not gathered to get it.
     """
     order = F.struct(F.col("rest") - F.col("n"), F.col("n"), F.col("tag"))
-    stars = listed.groupBy("key").agg(F.max_by(F.struct("tag", "n", "rest"), order).alias("star"))
-    pairs = listed.join(stars, "key").selectExpr(
+    stars = listed.groupBy("key").agg(
+        F.count(F.lit(1)).alias("held"), F.max_by(F.struct("tag", "n", "rest"), order).alias("star")
+    )
+    return attach_group(listed, materialise(stars.filter("held > 1"), "stars"), "key", "held")
+
+
+def star_pairs(starred: DataFrame, percent: int) -> DataFrame:
+    """(x, y, nx, ny) of every row and its star."""
+    pairs = starred.selectExpr(
         "tag AS x", "star.tag AS y", "n AS nx", "star.n AS ny", "rest AS rest_x", "star.rest AS rest_y"
     )
     return _oriented(pairs.filter(f"x <> y AND {_bound(percent)}"))
@@ -220,10 +228,12 @@ def _across(listed: DataFrame, labels: DataFrame, tested: DataFrame, percent: in
     named = materialise(named, "named")
     counted = named.groupBy("key", "component").agg(F.count(F.lit(1)).alias("held"))
     mixed = counted.groupBy("key").agg(
-        F.count(F.lit(1)).alias("several"), F.max_by("component", F.struct("held", "component")).alias("main")
+        F.count(F.lit(1)).alias("several"),
+        F.sum("held").alias("held"),
+        F.max_by("component", F.struct("held", "component")).alias("main"),
     )
-    mixed = mixed.filter("several > 1").select("key", "main")
-    inside = materialise(named.join(mixed, "key"), "mixed")
+    mixed = materialise(mixed.filter("several > 1").select("key", "held", "main"), "mixed-lists")
+    inside = materialise(attach_group(named, mixed, "key", "held"), "mixed")
     few = inside.filter("component <> main").selectExpr("key", "n AS nx", "rest AS rest_x", "tag AS x", "component AS cx")
     all_ = inside.selectExpr("key", "n AS ny", "rest AS rest_y", "tag AS y", "component AS cy", "component = main AS in_main")
     pairs = few.join(all_, "key").filter(f"cx <> cy AND (in_main OR x < y) AND {_bound(percent)}")
@@ -255,8 +265,8 @@ def near_components(
     chosen = materialise(able.join(groups.select("tag"), "tag", "left_semi").select("tag", "n", "prefix", "items"), "chosen")
     listed = chosen.select("n", "tag", F.size("items").alias("held"), F.posexplode(F.expr("slice(items, 1, prefix)")).alias("at", "key"))
     listed = listed.select("key", "n", "tag", (F.col("held") - F.col("at")).cast("bigint").alias("rest"))
-    lists = listed.groupBy("key").agg(F.count(F.lit(1)).alias("held")).filter("held > 1").select("key")
-    listed = materialise(listed.join(lists, "key"), "listed")
+    starred = materialise(with_stars(materialise(listed, "prefixes")), "starred")
+    listed = starred.select("key", "n", "tag", "rest")
     # A fragment is a range of the n-grams' hashes.
     part = F.shiftright(F.col("item") * fragments, 64 - int(DROPPED_BITS)).cast("int")
     segments = materialise(
@@ -266,7 +276,7 @@ def near_components(
         .agg(F.collect_list("item").alias("segment")),
         "segments",
     )
-    pairs = materialise(star_pairs(listed, percent), "pairs")
+    pairs = materialise(star_pairs(starred, percent), "pairs")
     links = materialise(count_links(pairs, segments, percent, fragments), "links")
     labels = components(links)
     rest = materialise(_across(listed, labels, pairs.select("x", "y"), percent), "pairs")
