@@ -33,7 +33,7 @@ from gridzonal.storage import fresh_path, materialise
 
 LENGTH = 50
 GRAM = 24
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 SPLITTER_DOCS = 2000
 
 ASKED = "shard int, slice int, step string, ids binary, counts binary, keys binary, more binary"
