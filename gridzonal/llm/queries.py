@@ -14,6 +14,7 @@ from gridzonal.llm.lm import lm_scores
 from gridzonal.llm.mixing import EPOCHS, SEED, TEMPERATURE, mix
 from gridzonal.llm.packing import pack
 from gridzonal.llm.quality import classify
+from gridzonal.llm.shipping import ship_package
 from gridzonal.llm.suffixes import repeated_passages
 from gridzonal.llm.token_orc import token_digests, write_token_orc
 from gridzonal.llm.warc import SHORTEST_REVISIT, page_archive
@@ -24,6 +25,7 @@ CAPACITY = 2048
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
