@@ -16,11 +16,13 @@ from gridzonal.llm.mixing import ADDED, mix
 from gridzonal.llm.packing import pack
 from gridzonal.llm.quality import keep_good
 from gridzonal.llm.queries import CAPACITY, TOKENIZER
+from gridzonal.llm.shipping import ship_package
 from gridzonal.storage import materialise
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
+    ship_package(spark)
     return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
