@@ -1,8 +1,9 @@
 """Language-model scoring of whole texts with a sharded n-gram trie.
 
 Tokens are words (A-Z lower-cased) and an end after each text. Texts are handled in slices, and a slice asks for each of its
-different words and word pairs once. Its tokens are stored once, bucketed by slice. Pass one deals the words to shards by hash, counts them over all training texts and gives
-every word an id. Pass two deals the pairs to shards by context; a shard writes its part of the trie (see
+different words and word pairs once. Texts are read once: a slice is one stored row, tokens and words together, and all passes start from
+the stored rows, so it does not matter whether a second read would cut the table elsewhere. The tokens are stored once more, bucketed by
+slice. Pass one deals the words to shards by hash, counts them over all training texts and gives every word an id. Pass two deals the pairs to shards by context; a shard writes its part of the trie (see
 ``trie``), maps it and answers the slices that asked. Pass three adds up the texts. So every count covers all texts, no task
 holds more than a shard or a slice, a frequent word or pair costs one entry per slice, and nothing of the
 corpus passes through the driver but two sums.
@@ -51,41 +52,52 @@ def _rows(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
-def _slice_tokens(shards: int, kind: str):
-    """Rows of every slice: its tokens ("texts"), or its different words by shard with their counts ("words").
+def _slice_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per slice: its texts' sizes, its tokens as places among its different words, and those words."""
+    number = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        texts, ids = raw_texts(batch.column("text")), batch.column("doc_id").to_pylist()
+        for first, last in slices(texts, SLICE_BYTES):
+            words = Words(texts[first:last])
+            sizes = words.counts + 1
+            tokens = np.empty(int(sizes.sum()), dtype=np.uint64)
+            tokens[np.cumsum(sizes) - 1] = _END[0]
+            tokens[np.arange(len(words.doc)) + words.doc] = words.hashes()
+            del words
+            distinct, own = np.unique(tokens, return_inverse=True)
+            row = (number, -1, "texts", ids[first:last], to_planes(sizes), to_planes(own), to_planes(distinct))
+            yield from _rows([row]).to_batches()
+            number += 1
 
-    The two are made in separate passes over the texts, so that the words need not be stored.
-    """
+
+def _slice_words(shards: int):
+    """The different words of every stored slice by shard, with their counts in training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            texts, ids = raw_texts(batch.column("text")), batch.column("doc_id").to_pylist()
-            for first, last in slices(texts, SLICE_BYTES):
-                words = Words(texts[first:last])
-                sizes = words.counts + 1
-                tokens = np.empty(int(sizes.sum()), dtype=np.uint64)
-                tokens[np.cumsum(sizes) - 1] = _END[0]
-                tokens[np.arange(len(words.doc)) + words.doc] = words.hashes()
-                del words
-                distinct, own = np.unique(tokens, return_inverse=True)
-                if kind == "texts":
-                    rows = [(number, -1, kind, ids[first:last], to_planes(sizes), to_planes(own), None)]
-                else:
-                    learned = np.repeat([not held_out(i) for i in ids[first:last]], sizes)
-                    counts = np.bincount(own[learned], minlength=len(distinct))
-                    edges = np.searchsorted(shard_of(distinct, shards), np.arange(shards + 1))
-                    rows = [
-                        (number, shard, kind, None, to_planes(distinct[a:b]), to_planes(counts[a:b]), None)
-                        for shard, (a, b) in enumerate(zip(edges[:-1], edges[1:]))
-                        if b > a
-                    ]
+            for at in range(batch.num_rows):
+                held = batch.slice(at, 1).to_pylist()[0]
+                sizes, own, distinct = (from_planes(held[k]) for k in ("a", "b", "c"))
+                learned = np.repeat([not held_out(i) for i in held["ids"]], sizes.astype(np.int64))
+                counts = np.bincount(own.astype(np.int64)[learned], minlength=len(distinct))
+                edges = np.searchsorted(shard_of(distinct, shards), np.arange(shards + 1))
+                rows = [
+                    (held["slice"], shard, "words", None, to_planes(distinct[a:b]), to_planes(counts[a:b]), None)
+                    for shard, (a, b) in enumerate(zip(edges[:-1], edges[1:]))
+                    if b > a
+                ]
                 yield from _rows(rows).to_batches()
-                number += 1
 
     return run
 
 
+def _store_slices(docs: DataFrame) -> DataFrame:
+    """The slices as they are cut, each a row of one task's file: no exchange lies between cutting and storing."""
+    path = fresh_path(docs.sparkSession, "lm-slices")
+    docs.mapInArrow(_slice_tokens, BLOCKS).write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(BLOCKS).parquet(path)
+
+
 def _store_texts(texts: DataFrame, buckets: int) -> DataFrame:
     """The slices' tokens as a table bucketed by slice, so that the later passes do not shuffle them."""
     name = f"lm_texts_{uuid.uuid4().hex}"
@@ -249,8 +261,9 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = shards or 4 * partitions
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    texts = _store_texts(chosen.mapInArrow(_slice_tokens(shards, "texts"), BLOCKS), partitions)
-    words = chosen.mapInArrow(_slice_tokens(shards, "words"), BLOCKS)
+    stored = _store_slices(chosen)
+    texts = _store_texts(stored.select("slice", "ids", "a", "b"), partitions)
+    words = stored.mapInArrow(_slice_words(shards), BLOCKS)
     counted = materialise(words.groupBy("shard").applyInArrow(_count_words(shards), BLOCKS), "lm-counts")
     # One row per shard, added up by Spark.
     totals = counted.filter("kind = 'totals'").agg(F.sum(F.col("ids")[0]), F.sum(F.col("ids")[1])).first()

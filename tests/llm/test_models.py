@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -189,6 +190,25 @@ def test_language_model(spark, clashes):
         assert got[6] == pytest.approx(expected[6], rel=0.02, abs=0.05)
 
 
+def test_language_model_of_a_table_that_is_cut_elsewhere_when_read_again(spark, tmp_path):
+    table = [r[:2] for r in rows()]
+
+    def read(batches):
+        part = next(iter(batches)).column("id")[0].as_py()
+        before = len(list(tmp_path.glob(f"{part}-*")))
+        (tmp_path / f"{part}-{before}").touch()
+        held = table[(part + before) % 4 :: 4]
+        yield pa.RecordBatch.from_pydict({"doc_id": pa.array([r[0] for r in held], pa.int64()), "text": [r[1] for r in held]})
+
+    docs = spark.range(0, 4, 1, 4).mapInArrow(read, "doc_id bigint, text string")
+    key = lambda r: (r[0] is None, r[0] or 0, r[2], r[5])
+    found = sorted(map(tuple, lm_scores(docs, shards=5).collect()), key=key)
+    want = sorted(brute_scores(table), key=key)
+    assert [r[:5] for r in found] == [r[:5] for r in want]
+    assert [r[5] for r in found] == pytest.approx([r[5] for r in want])
+    assert [r[6] for r in found] == pytest.approx([r[6] for r in want], rel=0.02, abs=0.05)
+
+
 def test_language_model_without_rows(spark):
     docs = spark.createDataFrame([], DOCS)
     assert lm_scores(docs, shards=3).isEmpty()
