@@ -54,7 +54,9 @@ def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _segments(size: int, fragments: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        # The upper 31 bits are the partition and the lower 32 count its slices, or for tags its rows.
+        number = base = TaskContext.get().partitionId() << 32
+        seen = 0
         for batch in batches:
             texts, ids = raw_texts(batch.column("text")), batch.column("doc_id").to_pylist()
             for first, last in slices(texts, SLICE_BYTES):
@@ -70,7 +72,10 @@ def _segments(size: int, fragments: int):
                 signs = [np.zeros(last - first, dtype=np.uint64) for _ in range(2)]
                 for sign, seed in zip(signs, (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))):
                     np.add.at(sign, row, mix(value + seed))
-                tags = [number * (1 << 20) + i for i in range(last - first)]
+                if seen + last - first > 1 << 32:
+                    raise ValueError("a partition holds more than 2**32 rows; repartition the table")
+                tags = range(base + seen, base + seen + last - first)
+                seen += last - first
                 some = int(mix(np.array([number], dtype=np.uint64))[0] >> np.uint64(1)) % fragments
                 blobs = (to_planes(held), signs[0].tobytes(), signs[1].tobytes())
                 rows = [(number, some, "sets", tags, ids[first:last], *blobs)]

@@ -5,12 +5,15 @@ import itertools
 import random
 import re
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from cases import DOCS, as_rows, documents, rows, words
+from gridzonal.llm import jaccard
 from gridzonal.llm.exact_dedup import append_new, create_index, digests, drop_index, exact_groups, keep_exact
 from gridzonal.llm.graph import components
 from gridzonal.llm.jaccard import keep_one_of_each, near_components
@@ -109,6 +112,17 @@ def test_near_components_at_the_threshold_and_in_a_large_group(spark):
     assert as_rows(found, "doc_id", "n_shingles", "component_id") == sorted_rows(brute_components(table))
 
 
+@pytest.mark.parametrize("part", [0, 2047, 2048, 4_000_000, 2**31 - 1])
+def test_tags_of_any_partition_are_distinct_longs(monkeypatch, part):
+    monkeypatch.setattr(jaccard.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: part))
+    monkeypatch.setattr(jaccard, "SLICE_BYTES", 40)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(9)), "text": [f"text number {k} of these" for k in range(9)]})
+    sent = [row for out in jaccard._segments(5, 3)(iter([batch, batch])) for row in out.to_pylist() if row["kind"] == "sets"]
+    tags = [tag for row in sent for tag in row["tags"]]
+    assert len(sent) > 2 and len({row["slice"] for row in sent}) == len(sent)
+    assert len(set(tags)) == 18 and all(0 <= tag < 2**63 for tag in tags)
+
+
 def test_keep_one_of_each(spark):
     docs = documents(spark, with_clashes=True).filter("doc_id IS NOT NULL AND doc_id <> 7")
     want = {c for _i, _n, c in brute_components([r[:2] for r in rows() if r[0] not in (None, 7)])}
