@@ -3,9 +3,11 @@
 A document's ids and an end id are cut into pieces of at most ``capacity`` tokens. The pieces are range-sorted by length in a
 distributed pass that gives each its rank among equal ones. Since pieces of one length are interchangeable, and so are
 sequences with one gap, a superstep matches whole runs of them: the longest run of pieces still waiting sweeps
-to the run of the smallest gaps that take it, ranks settle who gets which, gaps are updated, and the sweep repeats. The runs number
+to the run of the smallest gaps that take it and fills one gap after the other, ranks settle who gets which, gaps are updated, and the
+sweep repeats. The sweep is a loop on the driver over runs, not over tables of pieces or gaps. The runs number
 at most one per length, whatever the input, so the supersteps cost nothing at scale; every piece then finds
-its sequence by its rank in a distributed join. The result equals best-fit decreasing, piece by piece.
+its sequence by its rank in a distributed join. The sequences are filled as by best-fit decreasing, up to the order of equal pieces
+and of equal gaps.
 
 Null and empty texts are one end id. Repeated rows and ids are packed each on its own. An empty table gives an
 empty result. Columns other than id and text are ignored.
@@ -101,9 +103,9 @@ MATCHES = "length bigint, first_rank bigint, end_rank bigint, first_sequence big
 def match_runs(held: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
     """Supersteps of best fit over runs of equal pieces and runs of equal gaps, longest pieces first.
 
-    A run of pieces goes to the run of the smallest gaps that take it (its successor); of the two, the lower ranks up to the
-    shorter run are matched one to one, so nothing collides; the matched gaps shrink and the rest is swept again. When no
-    gap is left that fits, new sequences are opened and filled with as many pieces as they hold. Rank r of a match goes to sequence
+    A run of pieces goes to the run of the smallest gaps that take it (its successor). A gap that has taken a piece is the smallest
+    that fits until it takes no more, so as many gaps as the run fills get all the pieces they hold, one more gets the
+    remainder, and the other gaps stay as they are. When no gap is left that fits, new sequences are opened. Rank r of a match goes to sequence
     ``first_sequence + r - first_rank``. The input has a row per length, so its size and that of the result depend on the
     capacity, never on the number of pieces.
     """
@@ -127,16 +129,20 @@ def match_runs(held: dict[int, int], capacity: int) -> list[tuple[int, int, int,
                 first, stop = gaps[size].pop()
                 if not gaps[size]:
                     del gaps[size], sizes[place]
-                taken = min(end - rank, stop - first)
-                matches.append((length, rank, rank + taken, first, capacity - size))
-                leave(size, first + taken, stop)
-                leave(size - length, first, first + taken)
-                rank += taken
             else:
-                fit = capacity // length
-                new = -(-(end - rank) // fit)
-                leave(capacity, opened, opened + new)
-                opened += new
+                size, first = capacity, opened
+                stop = opened = opened + -(-(end - rank) // (capacity // length))
+            fit = size // length
+            full = min(stop - first, (end - rank) // fit)
+            rest = end - rank - full * fit if first + full < stop else 0  # under fit
+            for layers, begin, upto in ((fit, first, first + full), (rest, first + full, first + full + 1)):
+                for layer in range(layers if upto > begin else 0):
+                    matches.append((length, rank, rank + upto - begin, begin, capacity - size + layer * length))
+                    rank += upto - begin
+            leave(size - fit * length, first, first + full)
+            if rest:
+                leave(size - rest * length, first + full, first + full + 1)
+            leave(size, first + full + (rest > 0), stop)
     return matches
 
 

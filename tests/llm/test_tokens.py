@@ -2,6 +2,7 @@
 
 import glob
 import math
+import random
 import zlib
 from collections import defaultdict
 
@@ -130,6 +131,29 @@ def test_runs_give_the_sequences_of_best_fit_decreasing():
         assert ranks == list(range(count))
 
 
+def test_runs_give_the_sequences_of_best_fit_decreasing_on_random_lengths():
+    rng = random.Random(9)
+    cases = [(100, {30: 4, 23: 3})]
+    for _ in range(300):
+        capacity = rng.choice([7, 60, 100, 257])
+        cases.append((capacity, {rng.randrange(1, capacity + 1): rng.randrange(1, 30) for _ in range(rng.randrange(1, 14))}))
+    for capacity, held in cases:
+        matches = match_runs(held, capacity)
+        filled, ranks = defaultdict(list), defaultdict(list)
+        for length, first_rank, end_rank, first, offset in matches:
+            ranks[length] += range(first_rank, end_rank)
+            for sequence in range(first, first + end_rank - first_rank):
+                filled[sequence].append((offset, length))
+        assert {length: len(r) for length, r in ranks.items()} == held
+        assert all(sorted(r) == list(range(len(r))) for r in ranks.values())
+        for pieces in filled.values():
+            pieces.sort()
+            assert [o for o, _n in pieces] == [sum(n for _o, n in pieces[:k]) for k in range(len(pieces))]
+            assert sum(n for _o, n in pieces) <= capacity
+        want = best_fit_decreasing([n for n, c in held.items() for _ in range(c)], capacity)
+        assert len(filled) == max(filled) + 1 == want, (capacity, held)
+
+
 def poisson_quantile(rate, u):
     k, p, upto = 0, math.exp(-rate), math.exp(-rate)
     while upto <= u and k < rate + 12 * math.sqrt(rate) + 40:
