@@ -3,7 +3,8 @@
 The tokenizer's normaliser and splitter treat A-Z like a-z and never join characters across white space, nor a letter
 with ASCII punctuation other than an apostrophe. So a text is lower-cased in ASCII and cut at ASCII white space, closing
 punctuation is taken off, each different piece is encoded once by the library and remembered, and a text's ids are joined from
-those of its pieces. Two generations of at most ``REMEMBERED`` pieces are remembered, so that the memory is bounded and
+those of its pieces. Special tokens are the exception, since they are told by their case: a piece with their sign ``<|`` is known by its
+own bytes and encoded as it is. Two generations of at most ``REMEMBERED`` pieces are remembered, so that the memory is bounded and
 frequent pieces stay.
 """
 
@@ -20,6 +21,9 @@ BATCH = 20_000
 # ASCII punctuation without the apostrophe, which starts contractions.
 CLOSING = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
+# Fixed value: how every special token of these vocabularies begins.
+SPECIAL = b"<|"
+
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -34,6 +38,12 @@ def _byte_signs() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def _pieces(text: bytes) -> list[bytes]:
+    if SPECIAL not in text:
+        return text.lower().split()
+    return [piece if SPECIAL in piece else piece.lower() for piece in text.split()]
+
+
 class Encoder:
     """Only for byte-level tokenizers that lower-case and drop white space, as the docstring of the module says."""
 
@@ -82,7 +92,7 @@ class Encoder:
         """Little-endian unsigned 32-bit ids of every text; null counts as empty."""
         if len(self.young) > REMEMBERED:
             self.old, self.young = self.young, {}
-        cut = [(text or "").encode().lower().split() for text in texts]
+        cut = [_pieces((text or "").encode()) for text in texts]
         flat = list(chain.from_iterable(cut))
         coded = list(map(self.young.get, flat))
         missing = {piece for piece, ids in zip(flat, coded) if ids is None}

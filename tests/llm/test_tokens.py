@@ -43,6 +43,14 @@ def test_encoder_equals_the_library(library):
         assert got == b"".join(i.to_bytes(4, "little") for i in ids_of(library, text)), text
 
 
+def test_encoder_tells_special_tokens_by_their_case(library):
+    texts = ["<|ENDOFTEXT|>", "<|EndOfText|>", "a<|STARTOFTEXT|>B. <|startoftext|>Word<|endoftext|>", "X<|endoftext|>Y<|Endoftext|>", "AB<| CD <|>É<|"]
+    encoder = Encoder(PATH)
+    for text, got in zip(texts + texts[::-1], encoder.encode(texts) + encoder.encode(texts[::-1])):
+        assert got == b"".join(i.to_bytes(4, "little") for i in ids_of(library, text)), text
+    assert all(token.content.startswith("<|") for token in library.get_added_tokens_decoder().values())
+
+
 def test_encoder_memory_is_bounded(library, monkeypatch):
     import gridzonal.llm.tokens as tokens
 
