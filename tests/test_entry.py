@@ -1,24 +1,37 @@
 """The driver's contract holds with and without the operators of the training-data pipeline."""
 
+import json
+import os
 import shutil
 import subprocess
 import sys
 from pathlib import Path
 
+import pytest
+
 ROOT = Path(__file__).resolve().parents[1]
-SCRIPT = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), any(k.startswith('op') for k in e.queries()))"
+SCRIPT = "import __spark_entry__ as e, json; print(json.dumps([e.__file__, sorted(e.queries()), sorted(e.oracle_sql())]))"
 
 
-def entry_of(folder):
-    done = subprocess.run([sys.executable, "-c", SCRIPT], cwd=folder, capture_output=True, text=True, timeout=120)
+def entry_of(folder, path):
+    environment = {**os.environ, "PYTHONPATH": os.pathsep.join(map(str, path))}
+    done = subprocess.run(
+        [sys.executable, "-c", SCRIPT], cwd=folder, env=environment, capture_output=True, text=True, timeout=120
+    )
     assert done.returncode == 0, done.stderr
-    return done.stdout.split()
+    where, queries, oracles = json.loads(done.stdout)
+    assert Path(where).parent == folder
+    return queries, oracles
 
 
-def test_entry_without_the_pipeline(tmp_path):
-    skipped = shutil.ignore_patterns("llm", ".git", "corpus_pipeline.py", "__pycache__")
-    shutil.copytree(ROOT, tmp_path / "repo", ignore=skipped)
-    queries, oracles, some = entry_of(tmp_path / "repo")
-    assert queries == oracles and int(queries) > 60 and some == "False"
+@pytest.mark.parametrize("left_out", [("llm",), ("llm", "corpus_pipeline.py")])
+@pytest.mark.parametrize("others", [[], [ROOT]])
+def test_entry_without_the_pipeline(tmp_path, left_out, others):
+    copy = tmp_path / "repo"
+    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(*left_out, ".git", "__pycache__"))
+    queries, oracles = entry_of(copy, [copy, *others])
+    assert queries == oracles and len(queries) > 60
+    assert not [name for name in queries if name.startswith("op") or name == "pipeline"]
     if (ROOT / "gridzonal" / "llm").exists():
-        assert int(entry_of(ROOT)[0]) == int(queries) + 11
+        more = set(entry_of(ROOT, [ROOT])[0]) - set(queries)
+        assert "pipeline" in more and all(name.startswith("op") or name == "pipeline" for name in more)
