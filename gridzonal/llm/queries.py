@@ -6,22 +6,27 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridzonal.llm.exact_dedup import exact_groups
 from gridzonal.llm.jaccard import near_components
 from gridzonal.llm.kdtree import top_k
 from gridzonal.llm.lm import lm_scores
+from gridzonal.llm.merkle import merkle_proofs
 from gridzonal.llm.mixing import EPOCHS, SEED, TEMPERATURE, mix
 from gridzonal.llm.packing import pack
 from gridzonal.llm.quality import classify
+from gridzonal.llm.sharding import read_shards, row_bytes, shard_tree, write_shards
 from gridzonal.llm.shipping import ship_package
 from gridzonal.llm.suffixes import repeated_passages
 from gridzonal.llm.token_orc import token_digests, write_token_orc
 from gridzonal.llm.warc import SHORTEST_REVISIT, page_archive
+from gridzonal.llm.whitening import whiten
 from gridzonal.storage import fresh_path
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
+SHARDS = 40
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +77,30 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_archive(_table(spark, sf_dir, "pages"))
 
 
+def op11_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    path = fresh_path(spark, "shards")
+    write_shards(docs, shard_tree(docs, shards=SHARDS), path)
+    text = F.col("document.text")
+    return read_shards(spark, path, docs.schema).select(
+        "document.doc_id",
+        row_bytes("document.text").alias("size"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op12_gkl_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_veb_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_proofs(_table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_orc": op1_token_orc,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -83,6 +112,9 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ftrl_quality": op8_ftrl_quality,
     "op9_trie_lm": op9_trie_lm,
     "op10_warc": op10_warc,
+    "op11_kd_sharding": op11_kd_sharding,
+    "op12_gkl_whitening": op12_gkl_whitening,
+    "op13_veb_merkle": op13_veb_merkle,
 }
 
 ORACLE: dict[str, str] = {
