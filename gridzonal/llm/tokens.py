@@ -1,10 +1,11 @@
 """Encoding of whole texts with a public tokenizer, inside Arrow tasks.
 
-The tokenizer's normaliser and splitter treat A-Z like a-z and never join characters across white space, nor a letter
+The tokenizer's normaliser composes characters, then lower-cases; its splitter never joins characters across white space, nor a letter
 with ASCII punctuation other than an apostrophe. So a text is lower-cased in ASCII and cut at ASCII white space, closing
 punctuation is taken off, each different piece is encoded once by the library and remembered, and a text's ids are joined from
-those of its pieces. Special tokens are the exception, since they are told by their case: a piece with their sign ``<|`` is known by its
-own bytes and encoded as it is. Two generations of at most ``REMEMBERED`` pieces are remembered, so that the memory is bounded and
+those of its pieces. Two kinds of pieces are known by their own bytes and encoded as they are: those with the sign ``<|`` of special
+tokens, which are told by their case, and those where a combining mark may follow a capital, since some letters compose in one case
+only. A text of any length is taken whole; null counts as empty. Two generations of at most ``REMEMBERED`` pieces are remembered, so that the memory is bounded and
 frequent pieces stay.
 """
 
@@ -38,10 +39,18 @@ def _byte_signs() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+# The first UTF-8 bytes of combining marks that compose with ASCII letters (U+0300 to U+036F).
+MARKS = (b"\xcc", b"\xcd")
+
+
+def _by_case(text: bytes) -> bool:
+    return SPECIAL in text or MARKS[0] in text or MARKS[1] in text
+
+
 def _pieces(text: bytes) -> list[bytes]:
-    if SPECIAL not in text:
+    if not _by_case(text):
         return text.lower().split()
-    return [piece if SPECIAL in piece else piece.lower() for piece in text.split()]
+    return [piece if _by_case(piece) else piece.lower() for piece in text.split()]
 
 
 class Encoder:

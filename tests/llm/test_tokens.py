@@ -51,6 +51,20 @@ def test_encoder_tells_special_tokens_by_their_case(library):
     assert all(token.content.startswith("<|") for token in library.get_added_tokens_decoder().values())
 
 
+def test_encoder_composes_before_it_lowers(library):
+    marks = [chr(c) for c in range(0x300, 0x370)]
+    texts = [" ".join(chr(c) + mark + end for mark in marks for end in ("", ".", "x")) for c in [*range(65, 91), *range(97, 123)]]
+    texts += ["aT\u0591\u0308B É\u0308 H\u0331h\u0331 T \u0308", "\u0308T", "J\u030c" * 50]
+    encoder = Encoder(PATH)
+    for text, got in zip(texts + texts[::-1], encoder.encode(texts) + encoder.encode(texts[::-1])):
+        assert got == b"".join(i.to_bytes(4, "little") for i in ids_of(library, text)), text
+    rng = random.Random(8)
+    signs = [chr(c) for c in (*range(65, 91), *range(97, 123), *range(0x300, 0x346), 0x20, 0x2E, 0xC4, 0xE9, 0x1E97, 0x212A, 0x130)]
+    texts = ["".join(rng.choice(signs) for _ in range(12)) for _ in range(20_000)]
+    for text, got in zip(texts, encoder.encode(texts)):
+        assert got == b"".join(i.to_bytes(4, "little") for i in ids_of(library, text)), text
+
+
 def test_encoder_memory_is_bounded(library, monkeypatch):
     import gridzonal.llm.tokens as tokens
 
