@@ -7,7 +7,7 @@ kth score found there goes with it to all other shards, in blocks of queries, so
 can still matter. The results of all shards are merged by rank.
 
 Vectors that are null, hold a null or non-finite component, or differ in length from most take no part, neither do null ids.
-Scores must fit in 64 bits. A query's own id is no candidate; ties go to the smaller id; repeated rows are candidates
+A vector whose entries could give a score beyond 64 bits stops the job with its id. A query's own id is no candidate; ties go to the smaller id; repeated rows are candidates
 each, and a repeated query row gives its ranks again. An empty table gives an empty result. Other columns are not read.
 """
 
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import heapq
 import io
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,7 @@ SHARD_ROWS = 8192
 LEAF_ROWS = 64
 BLOCK_QUERIES = 2048
 UNIT = 1024
+LARGEST_SCORE = (1 << 63) - 1
 
 FOUND = "tag bigint, query_id bigint, vec_id bigint, score bigint"
 
@@ -39,8 +41,11 @@ def _quantise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, vector in zip(ids, batch.column("vector").to_pylist()):
             if number is None or vector is None or any(x is None for x in vector):
                 continue
-            values = np.floor(np.array(vector, dtype=np.float64) * UNIT)
-            if np.isfinite(values).all():
+            entries = np.array(vector, dtype=np.float64)
+            if np.isfinite(entries).all():
+                values = np.floor(entries * UNIT)
+                if len(values) and np.abs(values).max() > math.isqrt(LARGEST_SCORE // len(values)):
+                    raise ValueError(f"vector {number} has an entry so large that its scores may not fit in 64 bits")
                 kept.append(number)
                 out.append(values.astype("<i8").tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int64()), pa.array(out, pa.binary())], names=["vec_id", "v"])
@@ -87,11 +92,14 @@ class Tree:
         with np.load(io.BytesIO(data)) as held:
             return cls(**{name: held[name] for name in held.files})
 
+    def bound(self, query: np.ndarray, node: int) -> int:
+        """The largest inner product that the box of ``node`` allows."""
+        return int(np.maximum(query * self.low[node], query * self.high[node]).sum())
+
     def search(self, query: np.ndarray, own: int, k: int, least: int | None) -> list[tuple[int, int]]:
         """(score, id) of the k best that reach ``least``, best first; ties to the smaller id."""
         best: list[tuple[int, int]] = []  # a heap whose top is the worst: (score, -id)
-        bounds = np.maximum(query * self.low, query * self.high).sum(axis=1)
-        heap = [(-int(bounds[0]), 0)]
+        heap = [(-self.bound(query, 0), 0)]
         while heap:
             bound, node = heapq.heappop(heap)
             reach = best[0][0] if len(best) == k else least
@@ -112,7 +120,7 @@ class Tree:
                         heapq.heapreplace(best, item)
             else:
                 for child in (self.left[node], self.right[node]):
-                    heapq.heappush(heap, (-int(bounds[child]), int(child)))
+                    heapq.heappush(heap, (-self.bound(query, child), int(child)))
         return [(s, -n) for s, n in sorted(best, key=lambda x: (-x[0], x[1] * -1))]
 
 

@@ -44,6 +44,15 @@ def test_top_k_over_several_shards(spark):
     assert as_rows(found, "query_id", "rank", "vec_id", "score") == brute_top(vectors, 10)
 
 
+def test_top_k_refuses_scores_beyond_64_bits(spark):
+    for large in (1e18, 1e200, -3e6):
+        table = spark.createDataFrame([(1, [1.0, 1.0]), (2, [2.0, 2.0]), (3, [large, 1.0])], "vec_id bigint, embedding array<double>")
+        with pytest.raises(Exception, match="vector 3 has an entry"):
+            top_k(table, table.filter("vec_id = 1")).collect()
+    fine = spark.createDataFrame([(1, [1.0, 1.0]), (2, [2e6, 2.0]), (3, [2e6, 1.0])], "vec_id bigint, embedding array<double>")
+    assert as_rows(top_k(fine, fine.filter("vec_id = 2")), "rank", "vec_id") == [(1, 3), (2, 1)]
+
+
 def test_top_k_with_few_rows(spark):
     few = spark.createDataFrame([(0, [1.0, 2.0]), (1, [0.5, 0.5])], "vec_id bigint, embedding array<float>")
     assert as_rows(top_k(few, few.filter("vec_id = 0")), "query_id", "rank", "vec_id", "score") == [(0, 1, 1, 1024 * 512 + 2048 * 512)]
