@@ -12,7 +12,6 @@ null; repeated records are kept; an empty table gives an archive without records
 from __future__ import annotations
 
 import json
-import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -36,7 +35,7 @@ from pyspark.sql.datasource import (
 )
 
 from gridzonal.llm.skew import attach_group
-from gridzonal.storage import fresh_path, materialise
+from gridzonal.storage import arrow_uri, fresh_path, materialise
 
 SCHEMA = (
     "record_type string, record_id string, target_uri string, refers_to string, date string, "
@@ -57,13 +56,14 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 GZIP_START = b"\x1f\x8b\x08\x04\x00\x00\x00\x00\x00\xff"
 
 RANGE_BYTES = 32 << 20
-MANIFEST = "_manifest.json"
+MANIFEST = "_manifest"
 SHORTEST_REVISIT = 100
 DATE = "2024-01-01T00:00:00Z"
 
 
 def _fs(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else os.path.abspath(path))
+    # ``read_warc`` and ``write_warc`` name the session's file system; a bare path, given to the format itself, is local.
+    return pafs.FileSystem.from_uri(path)
 
 
 def _one_line(value: str) -> str:
@@ -138,7 +138,8 @@ class WarcWriter(DataSourceArrowWriter):
         fs, root = _fs(self.path)
         fs.create_dir(root, recursive=True)
         listed = {m.file: m.ranges for m in messages if m is not None and m.ranges}
-        with fs.open_output_stream(f"{root}/{MANIFEST}", compression=None) as out:
+        # Every commit has a manifest of its own, so what earlier ones wrote stays listed.
+        with fs.open_output_stream(f"{root}/{MANIFEST}-{uuid.uuid4().hex}.json", compression=None) as out:
             out.write(json.dumps(listed).encode())
 
 
@@ -186,12 +187,15 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> list[FileRange]:
         fs, root = _fs(self.path)
-        if fs.get_file_info(f"{root}/{MANIFEST}").type == pafs.FileType.File:
-            with fs.open_input_stream(f"{root}/{MANIFEST}", compression=None) as source:
-                listed = json.loads(source.read())
-            found = [FileRange(name, start, size) for name, all_ in listed.items() for start, size in all_]
+        infos = fs.get_file_info(pafs.FileSelector(root))
+        manifests = [info.path for info in infos if info.base_name.startswith(MANIFEST)]
+        if manifests:
+            found = []
+            for path in sorted(manifests):
+                with fs.open_input_stream(path, compression=None) as source:
+                    listed = json.loads(source.read())
+                found += [FileRange(name, start, size) for name, all_ in listed.items() for start, size in all_]
         else:
-            infos = fs.get_file_info(pafs.FileSelector(root))
             found = [FileRange(i.base_name, 0, i.size) for i in infos if i.base_name.endswith(".warc.gz")]
         return found or [FileRange("", 0, 0)]
 
@@ -236,12 +240,17 @@ class WarcReader(DataSourceReader):
             values = {c: _plain(named[h.lower()]) if h.lower() in named else None for c, h in HEADERS.items()}
             wanted = self._matches(values)
             if wanted:
-                http, _gap, start = block.partition(b"\r\n\r\n")
-                length = _fields(http.split(b"\r\n")[1:]).get("content-length")
-                values["payload_length"] = int(length) if length else None
+                size = int(named["content-length"])
+                if block.startswith(b"HTTP/"):
+                    http, _gap, start = block.partition(b"\r\n\r\n")
+                    length = _fields(http.split(b"\r\n")[1:]).get("content-length")
+                    values["payload_length"] = int(length) if length else None
+                    size -= len(http) + 4
+                else:
+                    # A record of another kind, such as warcinfo or metadata: the block is the payload.
+                    start, values["payload_length"] = block, size
                 values["payload"] = None
                 if self.payload:
-                    size = int(named["content-length"]) - len(http) - 4
                     payload = bytearray(start)
                     while len(payload) < size:
                         payload += inflate.decompress(inflate.unconsumed_tail, 1 << 20)
@@ -289,7 +298,7 @@ def register(spark: SparkSession) -> None:
 
 def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
     register(spark)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
+    return spark.read.format("warc").option("payload", str(payload).lower()).load(arrow_uri(spark, path))
 
 
 def records_of_pages(pages: DataFrame) -> DataFrame:
@@ -326,7 +335,7 @@ def records_of_pages(pages: DataFrame) -> DataFrame:
 
 def write_warc(records: DataFrame, path: str) -> None:
     register(records.sparkSession)
-    records.write.format("warc").mode("append").save(path)
+    records.write.format("warc").mode("append").save(arrow_uri(records.sparkSession, path))
 
 
 def page_archive(pages: DataFrame, path: str | None = None) -> DataFrame:

@@ -109,3 +109,37 @@ def test_files_of_other_writers(spark, tmp_path):
             out.write(gzip.compress(head + body + b"\r\n\r\n"))
     found = warc.read_warc(spark, f"file://{tmp_path}").collect()
     assert [(r.record_id, bytes(r.payload), r.payload_length) for r in found] == [("<urn:page:77>", b"hello", 5)] * 3
+
+
+def test_appends_keep_what_is_there(spark):
+    path = fresh_path(spark, "twice")
+    pages = spark.createDataFrame(PAGES, SCHEMA)
+    for _ in range(2):
+        warc.write_warc(warc.records_of_pages(pages), path)
+    assert warc.read_warc(spark, path).count() == 2 * len(PAGES)
+    assert warc.read_warc(spark, path).filter("record_type = 'revisit'").count() == 2 * sum(r[3] == "revisit" for r in expected())
+
+
+@pytest.mark.parametrize("body", [b"software: x\r\nformat: y\r\n", b"", b"a\r\n\r\nb", b"m" * 5000])
+def test_records_without_http(spark, tmp_path, body):
+    head = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: %d\r\n\r\n" % len(body)
+    with open(tmp_path / "info.warc.gz", "wb") as out:
+        for _ in range(2):
+            out.write(gzip.compress(head + body + b"\r\n\r\n"))
+    found = warc.read_warc(spark, str(tmp_path)).collect()
+    assert [(r.record_type, bytes(r.payload), r.payload_length) for r in found] == [("warcinfo", body, len(body))] * 2
+
+
+def test_paths_are_those_of_the_session(spark):
+    configuration = spark._jsc.hadoopConfiguration()
+    before = configuration.get("fs.defaultFS")
+    pages = spark.createDataFrame(PAGES[:2], SCHEMA)
+    path = fresh_path(spark, "own")
+    warc.write_warc(warc.records_of_pages(pages), path)
+    try:
+        configuration.set("fs.defaultFS", "hdfs://nowhere.invalid:1/")
+        with pytest.raises(Exception, match="nowhere.invalid"):
+            warc.read_warc(spark, path).collect()
+        assert warc.read_warc(spark, f"file://{path}").count() == 2
+    finally:
+        configuration.set("fs.defaultFS", before or "file:///")
