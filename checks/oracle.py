@@ -40,6 +40,9 @@ FORECAST = """fc AS (
          CAST((event_id % 150) // 15 AS INTEGER) AS iy, CAST((event_id % 150) % 15 AS INTEGER) AS ix, value
   FROM events)"""
 
+RUN_CELLS = """SELECT variable, run_time, lead_hour, run_time + lead_hour * INTERVAL 1 HOUR AS valid_time, iy, ix, max(value) AS value
+  FROM fc {where} GROUP BY ALL"""
+
 
 def _zone_rows(key: str, shift: str, extra: str = "") -> str:
     return f"""SELECT CAST({key} AS BIGINT) AS zone_id,
@@ -224,6 +227,8 @@ FROM zd WHERE stat = 'mean' AND code_muni = 5100003 AND year(date) = 2000 GROUP
     "bbox_filter": f"""WITH {OBS} SELECT {OBS_COLUMNS} FROM obs
 WHERE lat BETWEEN 1.5 AND 5.0 AND lon BETWEEN 2.0 AND 8.0""",
     "lead_slice": f"WITH {FORECAST} SELECT * FROM fc WHERE lead_hour = 24",
+    "lead_slice_files": f"WITH {FORECAST} {RUN_CELLS.format(where='WHERE lead_hour = 24')}",
+    "run_files_roundtrip": f"WITH {FORECAST} {RUN_CELLS.format(where='')}",
     "step_filter": f"""WITH {OBS} SELECT {OBS_COLUMNS} FROM obs
 WHERE hour(valid_time) IN (6, 9, 12, 15, 18, 21)""",
     "variable_filter": f"WITH {OBS} SELECT {OBS_COLUMNS} FROM obs WHERE variable = 'purchase'",

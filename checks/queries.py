@@ -20,7 +20,7 @@ from gridzonal.plans.export import monthly_report as report_by_month
 from gridzonal.plans.forecast import current_run, zone_forecast
 from gridzonal.plans.reanalysis import register_series_views, zone_daily
 from gridzonal.schema import DAY_STEPS_O3, GridSpec
-from gridzonal.sources import grid_files, manifest, tables
+from gridzonal.sources import grid_files, layers, manifest, tables
 from gridzonal.storage import fresh_path, materialise
 from gridzonal.streaming.ingest import append_new, replace_runs, stored_runs, stream_parquet
 
@@ -251,6 +251,36 @@ def lead_slice(spark: SparkSession, sf: str) -> DataFrame:
     return v.grid_forecast(spark, sf).filter(grid.at_layer(25))
 
 
+def _run_files(spark: SparkSession, sf: str) -> tuple[str, Column]:
+    """A file for every variable and run, with a layer for every lead hour, and the run time that a file's name tells."""
+    folder = fresh_path(spark, "run-files")
+    stamp = F.date_format("run_time", "yyyyMMddHH")
+    cells = v.grid_forecast(spark, sf).groupBy("variable", "run_time", "lead_hour", "iy", "ix").agg(F.max("value").alias("value"))
+    named = cells.select(
+        F.concat(F.lit("run_"), "variable", F.lit("_"), stamp, F.lit(".nc")).alias("source_file"),
+        "variable", F.col("lead_hour").alias("layer"), "iy", "ix", "value",
+    )
+    layers.write_grid_layers(named, folder, v.GRID)
+    return folder, F.to_timestamp_ntz(F.regexp_extract("path", r"_(\d{10})\.nc$", 1), F.lit("yyyyMMddHH"))
+
+
+RUN_COLUMNS = ("variable", "run_time", "lead_hour", "valid_time", "iy", "ix", "value")
+
+
+def lead_slice_files(spark: SparkSession, sf: str) -> DataFrame:
+    """One layer of each of the runs' files: only its bytes are read."""
+    folder, run_time = _run_files(spark, sf)
+    runs = layers.scan_run_layers(spark, folder, v.GRID, run_time)
+    return runs.filter(grid.at_layer(25)).filter("value IS NOT NULL").select(*RUN_COLUMNS)
+
+
+def run_files_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The runs' files, read back whole in ranges of a few rows."""
+    folder, run_time = _run_files(spark, sf)
+    runs = layers.scan_run_layers(spark, folder, v.GRID, run_time, range_bytes=1 << 16)
+    return runs.filter("value IS NOT NULL").select(*RUN_COLUMNS)
+
+
 def step_filter(spark: SparkSession, sf: str) -> DataFrame:
     return v.grid_obs(spark, sf).filter(grid.at_steps(DAY_STEPS_O3)).select(*OBS_COLUMNS)
 
@@ -617,6 +647,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zone_monthly_2024": zone_monthly_2024,
     "bbox_filter": bbox_filter,
     "lead_slice": lead_slice,
+    "lead_slice_files": lead_slice_files,
+    "run_files_roundtrip": run_files_roundtrip,
     "step_filter": step_filter,
     "variable_filter": variable_filter,
     "zone_weights": zone_weight_table,

@@ -174,16 +174,17 @@ def decode_files(
     ).mapInArrow(_decode(area, axes), DECODED)
 
 
-def to_observations(cells: DataFrame, spec: GridSpec, source_file: bool = False) -> DataFrame:
+def to_observations(cells: DataFrame, spec: GridSpec, source_file: bool = False, is_forecast: bool = False) -> DataFrame:
     """Decoded cells in the ``grid_obs`` schema, plus ``date``, ``stat`` and, if asked for, ``source_file`` and ``delivered``.
 
     With a run time the layer position is the lead hour, and the valid time follows from it. The day is that of the
-    valid time, or that in the name where the file has no time. ``delivered`` is when the file was last changed.
+    valid time, or that in the name where the file has no time. ``delivered`` is when the file was last changed. With ``is_forecast``
+    every file has a run time, and a filter on the lead hour is one on the layer.
     """
     forecast = F.col("run_time").isNotNull()
     located = (
         normalise_grid(cells, spec)
-        .withColumn("lead_hour", F.when(forecast, F.col("layer")))
+        .withColumn("lead_hour", F.col("layer") if is_forecast else F.when(forecast, F.col("layer")))
         .withColumn(
             "valid_time",
             F.coalesce(F.timestamp_add("HOUR", F.col("lead_hour"), F.col("run_time")), F.col("valid_time")),

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 import struct
+from dataclasses import dataclass, replace
 
 import numpy as np
 
@@ -86,40 +87,70 @@ class _Header:
         return result
 
 
-def read_classic(data: bytes) -> dict[str, tuple[tuple[str, ...], np.ndarray, dict]]:
-    """Variables by name: (dimension names, array, attributes). Arrays are views where possible."""
+@dataclass(frozen=True)
+class Entry:
+    """Where a variable lies in its file. A record variable has ``count`` slabs of ``shape``, ``stride`` bytes apart."""
+
+    dims: tuple[str, ...]
+    attrs: dict
+    dtype: np.dtype
+    begin: int
+    count: int
+    shape: tuple[int, ...]
+    stride: int
+    record: bool
+
+    @property
+    def slab(self) -> int:
+        return int(np.prod(self.shape, dtype=np.int64)) * self.dtype.itemsize
+
+    @property
+    def end(self) -> int:
+        return self.begin + (self.count - 1) * self.stride + self.slab if self.record and self.count else self.begin + self.slab
+
+
+def describe(data: bytes, length: int) -> dict[str, Entry]:
+    """The variables of a file of ``length`` bytes, from its header alone."""
     head = _Header(data)
     records = head.read(head.count)
     dims = [(head.name(), head.read(head.count)) for _ in head.items(TAG_DIMENSION)]
     head.attributes()
-    entries = []
+    found = []
     for _ in head.items(TAG_VARIABLE):
         name = head.name()
         ids = [head.read(head.count) for _ in range(head.read(head.count))]
         attrs, kind, _size = head.attributes(), head.read(">i"), head.read(head.count)
         begin = head.read(head.offset)
-        dtype = np.dtype(DTYPES[kind])
-        is_record = bool(ids) and dims[ids[0]][1] == 0
-        shape = [dims[i][1] for i in (ids[1:] if is_record else ids)]
-        size = int(np.prod(shape, dtype=np.int64)) * dtype.itemsize
-        entries.append((name, ids, attrs, dtype, begin, is_record, shape, size))
-    slabs = [entry[7] for entry in entries if entry[5]]
+        record = bool(ids) and dims[ids[0]][1] == 0
+        shape = tuple(dims[i][1] for i in (ids[1:] if record else ids))
+        names = tuple(dims[i][0] for i in ids)
+        found.append((name, Entry(names, attrs, np.dtype(DTYPES[kind]), begin, 1, shape, 0, record)))
+    slabs = [entry.slab for _name, entry in found if entry.record]
     # A lone record variable is stored without padding between records.
     stride = slabs[0] if len(slabs) == 1 else sum(size + -size % 4 for size in slabs)
     result = {}
-    for name, ids, attrs, dtype, begin, is_record, shape, size in entries:
-        n = records if is_record else 1
-        if is_record and n < 0:
-            n = (len(data) - begin) // stride
-        end = begin + (n - 1) * stride + size if is_record else begin + size
-        if n and end > len(data):
-            raise ValueError(f"truncated: variable {name!r} needs {end} bytes, file has {len(data)}")
-        if is_record:
-            steps = (stride, *np.empty(shape, dtype).strides)
-            array = np.ndarray((n, *shape), dtype, buffer=data, offset=begin, strides=steps)
+    for name, entry in found:
+        if entry.record:
+            # A negative number of records: as many as the file holds.
+            count = records if records >= 0 else (length - entry.begin + stride - entry.slab) // stride
+            entry = replace(entry, count=count, stride=stride)
+        if entry.count and entry.end > length:
+            raise ValueError(f"truncated: variable {name!r} needs {entry.end} bytes, file has {length}")
+        result[name] = entry
+    return result
+
+
+def read_classic(data: bytes) -> dict[str, tuple[tuple[str, ...], np.ndarray, dict]]:
+    """Variables by name: (dimension names, array, attributes). Arrays are views where possible."""
+    result = {}
+    for name, entry in describe(data, len(data)).items():
+        if entry.record:
+            steps = (entry.stride, *np.empty(entry.shape, entry.dtype).strides)
+            array = np.ndarray((entry.count, *entry.shape), entry.dtype, buffer=data, offset=entry.begin, strides=steps)
         else:
-            array = np.frombuffer(data, dtype, size // dtype.itemsize, begin).reshape(shape)
-        result[name] = (tuple(dims[i][0] for i in ids), array, attrs)
+            size = entry.slab // entry.dtype.itemsize
+            array = np.frombuffer(data, entry.dtype, size, entry.begin).reshape(entry.shape)
+        result[name] = (entry.dims, array, entry.attrs)
     return result
 
 
@@ -156,7 +187,7 @@ def times_of(raw: np.ndarray, attrs: dict) -> list[dt.datetime] | None:
     unit, *parts = match.groups(default="0")
     origin = dt.datetime(*map(int, parts))
     return [
-        origin + dt.timedelta(seconds=round(float(t) * UNIT_SECONDS[unit])) for t in np.ravel(raw)
+        None if np.isnan(float(t)) else origin + dt.timedelta(seconds=round(float(t) * UNIT_SECONDS[unit])) for t in np.ravel(raw)
     ]
 
 
@@ -181,6 +212,21 @@ def layers_of(data: bytes):
         raise ValueError("no variable on a (lat, lon) grid")
 
 
+def _text(value: str) -> bytes:
+    raw = value.encode("utf-8")
+    return struct.pack(">i", len(raw)) + raw + b"\0" * (-len(raw) % 4)
+
+
+def _attribute_list(**attrs) -> bytes:
+    body = struct.pack(">ii", TAG_ATTRIBUTE if attrs else 0, len(attrs))
+    for key, value in attrs.items():
+        if isinstance(value, str):
+            body += _text(key) + struct.pack(">i", 2) + _text(value)
+        else:
+            body += _text(key) + struct.pack(">iid", 6, 1, value)
+    return body
+
+
 def write_classic(
     variable: str,
     lats: np.ndarray,
@@ -194,35 +240,22 @@ def write_classic(
     Without ``epoch`` the layers have numbers but no times.
     """
 
-    def text(value: str) -> bytes:
-        raw = value.encode("utf-8")
-        return struct.pack(">i", len(raw)) + raw + b"\0" * (-len(raw) % 4)
-
-    def attribute_list(**attrs) -> bytes:
-        body = struct.pack(">ii", TAG_ATTRIBUTE if attrs else 0, len(attrs))
-        for key, value in attrs.items():
-            if isinstance(value, str):
-                body += text(key) + struct.pack(">i", 2) + text(value)
-            else:
-                body += text(key) + struct.pack(">iid", 6, 1, value)
-        return body
-
     hours = np.zeros(len(layers)) if hours is None else hours
     sizes = {"time": len(layers), "latitude": len(lats), "longitude": len(lons)}
     dims = struct.pack(">ii", TAG_DIMENSION, len(sizes))
-    dims += b"".join(text(name) + struct.pack(">i", n) for name, n in sizes.items())
+    dims += b"".join(_text(name) + struct.pack(">i", n) for name, n in sizes.items())
     plan = [
-        ("time", [0], attribute_list(**({} if epoch is None else {"units": f"hours since {epoch}"})), hours),
-        ("latitude", [1], attribute_list(units="degrees_north"), lats),
-        ("longitude", [2], attribute_list(units="degrees_east"), lons),
-        (variable, [0, 1, 2], attribute_list(_FillValue=float("nan")), layers),
+        ("time", [0], _attribute_list(**({} if epoch is None else {"units": f"hours since {epoch}"})), hours),
+        ("latitude", [1], _attribute_list(units="degrees_north"), lats),
+        ("longitude", [2], _attribute_list(units="degrees_east"), lons),
+        (variable, [0, 1, 2], _attribute_list(_FillValue=float("nan")), layers),
     ]
 
     def header(offsets: list[int]) -> bytes:
         out = b"CDF\x02" + struct.pack(">i", 0) + dims + struct.pack(">ii", 0, 0)
         out += struct.pack(">ii", TAG_VARIABLE, len(plan))
         for (name, ids, attrs, array), begin in zip(plan, offsets):
-            out += text(name) + struct.pack(f">i{len(ids)}i", len(ids), *ids) + attrs
+            out += _text(name) + struct.pack(f">i{len(ids)}i", len(ids), *ids) + attrs
             # The size field saturates for large variables; readers derive it from the shape.
             out += struct.pack(">iIq", 6, min(array.size * 8, 2**32 - 1), begin)
         return out
@@ -232,3 +265,32 @@ def write_classic(
         offsets.append(at)
         at += array.size * 8
     return header(offsets) + b"".join(np.ascontiguousarray(a, ">f8").tobytes() for *_, a in plan)
+
+
+def stream_header(variable: str, lats: np.ndarray, lons: np.ndarray, epoch: str | None = "1970-01-01 00:00:00") -> bytes:
+    """The start of a file whose layers follow one by one, each from ``stream_layer``; their number need not be known."""
+    sizes = {"time": 0, "latitude": len(lats), "longitude": len(lons)}
+    dims = struct.pack(">ii", TAG_DIMENSION, len(sizes)) + b"".join(_text(n) + struct.pack(">i", k) for n, k in sizes.items())
+    plan = [
+        ("latitude", [1], _attribute_list(units="degrees_north"), 8 * len(lats)),
+        ("longitude", [2], _attribute_list(units="degrees_east"), 8 * len(lons)),
+        ("time", [0], _attribute_list(**({} if epoch is None else {"units": f"hours since {epoch}"})), 8),
+        (variable, [0, 1, 2], _attribute_list(_FillValue=float("nan")), 8 * len(lats) * len(lons)),
+    ]
+
+    def header(offsets: list[int]) -> bytes:
+        out = b"CDF\x02" + struct.pack(">i", -1) + dims + struct.pack(">ii", 0, 0) + struct.pack(">ii", TAG_VARIABLE, len(plan))
+        for (name, ids, attrs, size), begin in zip(plan, offsets):
+            out += _text(name) + struct.pack(f">i{len(ids)}i", len(ids), *ids) + attrs
+            out += struct.pack(">iIq", 6, min(size, 2**32 - 1), begin)
+        return out
+
+    at, offsets = len(header([0] * len(plan))), []
+    for *_, size in plan:
+        offsets.append(at)
+        at += size
+    return header(offsets) + np.ascontiguousarray(lats, ">f8").tobytes() + np.ascontiguousarray(lons, ">f8").tobytes()
+
+
+def stream_layer(hours: float, layer: np.ndarray) -> bytes:
+    return np.array([hours], ">f8").tobytes() + np.ascontiguousarray(layer, ">f8").tobytes()
