@@ -84,6 +84,7 @@ w AS (
   FROM integrals GROUP BY zone_id, iy, ix)"""
 
 ZONES = f"zone AS ({_zone_rows('n_nationkey', '0')}), {OFFSETS}, {EDGES}"
+ZONES_SMALL = ZONES.replace("CAST(dx AS DOUBLE) AS dx, CAST(dy AS DOUBLE) AS dy", "CAST(dx AS DOUBLE) / 10 AS dx, CAST(dy AS DOUBLE) / 10 AS dy")
 ZONES_WIDE = (
     f"zone AS ({_zone_rows('n_nationkey', '0')} UNION ALL {_zone_rows('n_nationkey + 100', '8')}), {OFFSETS}, {EDGES}"
 )
@@ -251,6 +252,8 @@ days AS (SELECT DISTINCT variable, date FROM obs)
 SELECT d.variable, d.date, z.zone_id, m.value FROM days d CROSS JOIN zone z LEFT JOIN means m
   ON m.variable = d.variable AND m.date = d.date AND m.zone_id = z.zone_id""",
     "daily_cell_stats": f"""WITH {OBS_NULL}, {DAILY}
+SELECT variable, date, iy, ix, {_exact('v_mean')} AS v_mean, v_max, v_min, n_steps FROM daily""",
+    "daily_stats_incremental": f"""WITH {OBS_NULL}, {DAILY}
 SELECT variable, date, iy, ix, {_exact('v_mean')} AS v_mean, v_max, v_min, n_steps FROM daily""",
     "daily_cell_stats_strict": f"""WITH {OBS_NULL}, {DAILY_STRICT}
 SELECT variable, date, iy, ix, {_exact('v_mean')} AS v_mean, v_max, v_min, n_steps FROM daily""",
@@ -348,19 +351,19 @@ near AS (
 SELECT d.variable, d.date, n.iy, n.ix, {_exact('sum(wgt * v_mean) / sum(wgt)')} AS v_mean
 FROM daily d JOIN near n ON d.iy = n.sy AND d.ix = n.sx GROUP BY d.variable, d.date, n.iy, n.ix""",
     "zonal_shuffle_join": _zoned(OBS, DAILY, f"variable, date, zone_id, {_r(_weighted('v_mean'))} AS value"),
-    "zonal_stored_weights": f"""WITH {_obs(MODEL.format(v="value"))}, {ZONES}, {COVER}, {DAILY_STRICT},
+    "zonal_stored_weights": f"""WITH {_obs(MODEL.format(v="value"))}, {ZONES_SMALL}, {COVER}, {DAILY_STRICT},
 m AS (
   SELECT variable, zone_id, date, {_weighted('v_mean')} AS mean,
          {_weighted('v_max')} AS max, {_weighted('v_min')} AS min
-  FROM daily JOIN cover USING (iy, ix) WHERE zone_id IN (0, 24) GROUP BY variable, date, zone_id),
+  FROM daily JOIN cover USING (iy, ix) GROUP BY variable, date, zone_id),
 z AS (
   SELECT d.variable, zone.zone_id AS code_muni, d.date, mean, max, min
   FROM (SELECT DISTINCT variable, date FROM obs) d CROSS JOIN zone LEFT JOIN m
-    ON m.variable = d.variable AND m.date = d.date AND m.zone_id = zone.zone_id WHERE zone.zone_id IN (0, 24))
+    ON m.variable = d.variable AND m.date = d.date AND m.zone_id = zone.zone_id)
 SELECT variable, 'mean' AS stat, code_muni, date, {_r(CONVERT.format(v='mean'))} AS value FROM z
 UNION ALL SELECT variable, 'max', code_muni, date, {_r(CONVERT.format(v='max'))} FROM z
 UNION ALL SELECT variable, 'min', code_muni, date, {_r(CONVERT.format(v='min'))} FROM z""",
-    "rebuild_table": f"WITH {PRICE} SELECT code_muni, date, stat, {_r('value * 2')} AS value FROM zd WHERE stat <> 'min'",
+    "rebuild_table": f"WITH {PRICE} SELECT code_muni, date, stat, {_r('value * 2')} AS value FROM zd",
     "list_tables": "SELECT DISTINCT event_type || '_daily' AS name FROM events ORDER BY name",
     "split_run": f"WITH {FORECAST} SELECT * FROM fc",
     "mixed_appends": f"WITH {OBS} SELECT {OBS_COLUMNS} FROM obs",

@@ -68,11 +68,11 @@ def in_model_units(obs: DataFrame) -> DataFrame:
     return obs.withColumn("value", convert_units(F.col("value") - offset, F.col("variable"), undo))
 
 
-def _pentagon(shift: float = 0.0) -> str:
+def _pentagon(shift: float = 0.0, scale: float = 1.0) -> str:
     lon = f"(pmod(n_nationkey, 5) * 2.2D + 1.3D + {shift}D)"
     lat = "(floor(n_nationkey / 5) * 1.4D + 0.9D)"
     points = ", ".join(
-        f"named_struct('lon', {lon} + ({dx}D), 'lat', {lat} + ({dy}D))" for dx, dy in OFFSETS
+        f"named_struct('lon', {lon} + ({dx}D * {scale}D), 'lat', {lat} + ({dy}D * {scale}D))" for dx, dy in OFFSETS
     )
     return f"array(named_struct('role', 'shell', 'pts', array({points}))) AS rings"
 
@@ -81,6 +81,11 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").selectExpr("CAST(n_nationkey AS BIGINT) AS zone_id", _pentagon())
 
 
+def zones_small(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zones shrunk to a tenth, so that they lie scattered and most cells touch none."""
+    return table(spark, sf_dir, "nation").selectExpr("CAST(n_nationkey AS BIGINT) AS zone_id", _pentagon(scale=0.1))
+
+
 def zones_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The zones and a copy of each moved 8 degrees east, most of which lie off the grid."""
     moved = table(spark, sf_dir, "nation").selectExpr(

@@ -41,12 +41,14 @@ def append(
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
     clustered: bool = False,
+    batches: bool = True,
 ) -> None:
     """Add a batch to a Parquet table, creating it if absent; one write for all batches.
 
-    A table that the streaming ingest has made is partitioned by ``BATCH`` as well; the rows then get a batch of their own.
+    A table that the streaming ingest has made is partitioned by ``BATCH`` as well; the rows then get a batch of their own
+    (``batches``: look for that).
     """
-    if _has_batches(df.sparkSession, path) and BATCH not in df.columns:
+    if batches and _has_batches(df.sparkSession, path) and BATCH not in df.columns:
         df = df.withColumn(BATCH, F.lit(f"append-{uuid.uuid4().hex}"))
         partition_by = [*partition_by, BATCH]
     arranged = _arranged(df, partition_by, sort_by, clustered)

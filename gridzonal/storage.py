@@ -42,6 +42,14 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def remove_below(spark: SparkSession, table: str, part: str) -> None:
+    """Delete a part of a table that the library wrote; ``part`` is relative and can't lead out of the table."""
+    if part.startswith("/") or ".." in part.split("/") or not part.strip("/"):
+        raise ValueError(f"{part!r} is not a part of a table")
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{table.rstrip('/')}/{part}")
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 # Names of file systems in Spark paths and in those of the library that writes single files.
 ARROW_SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "gs": "gs", "abfss": "abfss"}
 
