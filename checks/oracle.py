@@ -40,6 +40,9 @@ FORECAST = """fc AS (
          CAST((event_id % 150) // 15 AS INTEGER) AS iy, CAST((event_id % 150) % 15 AS INTEGER) AS ix, value
   FROM events)"""
 
+# The value between the two rows around a probability; alone, a row is its own quantile.
+QUANTILE = """max(CASE WHEN n = 1 THEN v WHEN s <= {p} * top AND {p} * top < s2 THEN v + (v2 - v) * ({p} * top - s) / (s2 - s) END)"""
+
 RUN_CELLS = """SELECT variable, run_time, lead_hour, run_time + lead_hour * INTERVAL 1 HOUR AS valid_time, iy, ix, max(value) AS value
   FROM fc {where} GROUP BY ALL"""
 
@@ -245,6 +248,19 @@ WHERE (variable, date) NOT IN (SELECT event_type, CAST(ts AS DATE) FROM events)"
     "missing_steps": f"""WITH {DAYS}
 SELECT variable, date, lpad(CAST(h AS VARCHAR), 2, '0') || ':00' AS step FROM days, range(24) s(h)
 EXCEPT SELECT event_type, CAST(ts AS DATE), strftime(ts, '%H:00') FROM events""",
+    "zonal_median": f"""WITH {OBS_NULL}, {ZONES}, {COVER}, {DAILY_STRICT},
+r AS (SELECT variable, date, zone_id, v_max AS v, fraction AS w,
+        row_number() OVER s AS k, count(*) OVER g AS n, coalesce(sum(fraction) OVER (s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM daily JOIN cover USING (iy, ix) WHERE v_max IS NOT NULL
+      WINDOW g AS (PARTITION BY variable, date, zone_id), s AS (PARTITION BY variable, date, zone_id ORDER BY v_max, fraction)),
+p AS (SELECT *, (k - 1) * w + (n - 1) * before AS s FROM r),
+q AS (SELECT *, max(s) OVER (PARTITION BY variable, date, zone_id) AS top, lead(s) OVER o AS s2, lead(v) OVER o AS v2
+      FROM p WINDOW o AS (PARTITION BY variable, date, zone_id ORDER BY k)),
+z AS (SELECT DISTINCT variable, date, zone_id FROM daily JOIN cover USING (iy, ix)),
+m AS (SELECT variable, date, zone_id, {QUANTILE.format(p=0.5)} AS median, {QUANTILE.format(p=0.25)} AS lower, min(v) AS least, max(v) AS most
+      FROM q GROUP BY ALL)
+SELECT variable, date, zone_id, {_r('median', 6)} AS median, {_r('lower', 6)} AS lower, {_r('least', 6)} AS least, {_r('most', 6)} AS most
+FROM z LEFT JOIN m USING (variable, date, zone_id)""",
     "zonal_left_complete": f"""WITH {OBS}, {ZONES_WIDE}, {COVER}, {DAILY},
 means AS (SELECT variable, date, zone_id, {_r(_weighted('v_mean'))} AS value
           FROM daily JOIN cover USING (iy, ix) GROUP BY variable, date, zone_id),

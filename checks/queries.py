@@ -403,6 +403,16 @@ def zonal_multi_stat(spark: SparkSession, sf: str) -> DataFrame:
     return result.withColumns({name: round_to(F.col(name), 6) for name in outputs})
 
 
+def zonal_median(spark: SparkSession, sf: str) -> DataFrame:
+    """Median, lower quartile and ends of the cells of a zone and day."""
+    zones = v.zones(spark, sf)
+    daily = grid.daily_cell_stats(v.grid_obs(spark, sf, with_nulls=True), ["max"], strict=True)
+    asked = {"median": 0.5, "lower": 0.25, "least": 0.0, "most": 1.0}
+    by, rows = ["variable", "date"], footprint(zones, v.GRID).rows
+    found = zonal.zonal_quantiles(daily, zone_weights(zones, v.GRID), by, asked, "v_max", rows)
+    return found.withColumns({name: round_to(F.col(name), 6) for name in asked})
+
+
 def zonal_left_complete(spark: SparkSession, sf: str) -> DataFrame:
     zones = v.zones_wide(spark, sf)
     box = footprint(zones, v.GRID)
@@ -670,6 +680,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "missing_steps": missing_steps,
     "missing_files": missing_files,
     "zonal_left_complete": zonal_left_complete,
+    "zonal_median": zonal_median,
     "daily_cell_stats": daily_cell_stats,
     "daily_cell_stats_strict": daily_cell_stats_strict,
     "zonal_multi_stat": zonal_multi_stat,

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gridzonal.functions.numeric import round_to
 from gridzonal.operators.coverage import Footprint
@@ -124,6 +125,53 @@ def zonal_mean(
     return result.withColumn("value", round_to(F.col("value"), digits))
 
 
+def zonal_quantiles(
+    cells: DataFrame,
+    weights: DataFrame,
+    by: Sequence[str],
+    outputs: dict[str, float],
+    value: str = "value",
+    weight_rows: int | None = None,
+    grid_id: str | None = None,
+) -> DataFrame:
+    """Coverage-weighted quantiles of cells over zones, exact: ``outputs`` maps a result name to a probability in [0, 1].
+
+    With the n values of a zone in ascending order and fractions w, value k stands at S(k) = (k - 1) w(k) + (n - 1) times the fractions
+    before it, and a probability p at p S(n); between two values the result is interpolated. Equal fractions give the usual
+    quantile. Missing cells are ignored; a zone without a value has NULL. All quantiles share a join and a sort by (*by, zone, value),
+    whose groups hold at most one row per cell of the grid and spill to disk.
+    """
+    wrong = {name: p for name, p in outputs.items() if not 0 <= p <= 1}
+    if wrong:
+        raise ValueError(f"probabilities must be in [0, 1], not {wrong}")
+    joined = attach_weights(cells.select(*by, "iy", "ix", F.col(value).alias("_v")), weights, weight_rows, grid_id)
+    group = Window.partitionBy(*by, "zone_id")
+    # Missing cells come last and weigh nothing; they keep their zone on record.
+    order = group.orderBy(F.asc_nulls_last("_v"), "fraction")
+    weight = F.when(F.col("_v").isNotNull(), F.col("fraction")).otherwise(0.0)
+    ranked = joined.withColumns(
+        {
+            "_w": weight,
+            "_n": F.count("_v").over(group),
+            "_k": F.row_number().over(order),
+            "_total": F.sum(weight).over(group),
+            "_upto": F.sum(weight).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        }
+    )
+    last = F.col("_k") == F.col("_n")
+    place = (F.col("_k") - 1) * F.col("_w") + (F.col("_n") - 1) * (F.col("_upto") - F.col("_w"))
+    # The last value stands at the end exactly, however the sums were rounded.
+    placed = ranked.withColumn("_s", F.when(last, (F.col("_n") - 1) * F.col("_total")).otherwise(place))
+    placed = placed.withColumns({"_s2": F.lead("_s").over(order), "_v2": F.lead("_v").over(order)})
+    results = []
+    for name, p in outputs.items():
+        at = F.lit(float(p)) * (F.col("_n") - 1) * F.col("_total")
+        inside = F.col("_v").isNotNull() & (F.col("_s") <= at) & (last | (at < F.col("_s2")))
+        between = F.col("_v") + (F.col("_v2") - F.col("_v")) * (at - F.col("_s")) / (F.col("_s2") - F.col("_s"))
+        results.append(F.max(F.when(inside, F.when(last, F.col("_v")).otherwise(between))).alias(name))
+    return placed.groupBy(*by, "zone_id").agg(*results)
+
+
 def complete_zones(
     result: DataFrame, zones: DataFrame, by: Sequence[str], zone_rows: int | None = None
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from checks import views
 from gridzonal.operators import joins
 from gridzonal.operators.coverage import footprint, zone_weights
 from gridzonal.operators.grid import daily_cell_stats
-from gridzonal.operators.zonal import complete_zones, prune_to_box, prune_to_cells, zonal_mean, zonal_stats
+from gridzonal.operators.zonal import complete_zones, zonal_quantiles, prune_to_box, prune_to_cells, zonal_mean, zonal_stats
 from gridzonal.plans.forecast import current_run, register_forecast_views, zone_forecast
 from gridzonal.plans.reanalysis import register_series_views, zone_daily
 from gridzonal.schema import GridSpec
@@ -270,3 +270,52 @@ def test_current_run_reads_only_recent_partitions(spark):
 def test_current_run_of_nothing(spark):
     empty = spark.createDataFrame([], "variable string, run_time timestamp_ntz, n int")
     assert current_run(empty).count() == 0
+
+
+def weighted_quantile(pairs, p):
+    pairs = sorted(pairs)
+    n, places, before = len(pairs), [], 0.0
+    for k, (_value, weight) in enumerate(pairs):
+        places.append(k * weight + (n - 1) * before)
+        before += weight
+    if n == 1:
+        return pairs[0][0]
+    at = p * places[-1]
+    for k in range(n - 1):
+        if places[k] <= at <= places[k + 1] and places[k] < places[k + 1]:
+            return pairs[k][0] + (pairs[k + 1][0] - pairs[k][0]) * (at - places[k]) / (places[k + 1] - places[k])
+    return pairs[-1][0]
+
+
+def test_quantiles_next_to_brute_force(spark):
+    import random
+
+    import numpy as np
+
+    rng = random.Random(3)
+    weights = [(z, iy, ix, rng.choice([1.0, 1.0, 0.5, rng.random() + 0.01])) for z in range(6) for iy in range(5) for ix in range(5) if rng.random() < 0.4]
+    weights.append((9, 4, 4, 0.25))
+    cells = [(d, iy, ix, rng.choice([None, 1.5, 2.0, rng.random() * 9])) for d in range(3) for iy in range(5) for ix in range(5)]
+    cells += [(7, iy, ix, None) for iy in range(5) for ix in range(5)]
+    asked = {"a": 0.0, "b": 0.1, "c": 0.5, "d": 0.9, "e": 1.0}
+    wt = spark.createDataFrame(weights, "zone_id long, iy int, ix int, fraction double")
+    found = zonal_quantiles(spark.createDataFrame(cells, "day int, iy int, ix int, v double"), wt, ["day"], asked, "v", len(weights))
+    got = {(r.day, r.zone_id): [r[name] for name in asked] for r in found.collect()}
+    groups = {}
+    for day, iy, ix, value in cells:
+        for zone, wy, wx, fraction in weights:
+            if (iy, ix) == (wy, wx):
+                groups.setdefault((day, zone), []).append((value, fraction))
+    assert set(got) == set(groups)
+    for key, pairs in groups.items():
+        pairs = [(v, w) for v, w in pairs if v is not None]
+        want = [weighted_quantile(pairs, p) if pairs else None for p in asked.values()]
+        assert got[key] == pytest.approx(want), key
+    # Equal fractions give the usual quantiles.
+    even = spark.createDataFrame([(1, 0, ix, 0.5) for ix in range(7)], "zone_id long, iy int, ix int, fraction double")
+    values = [rng.random() for _ in range(7)]
+    df = spark.createDataFrame([(0, 0, ix, v) for ix, v in enumerate(values)], "day int, iy int, ix int, v double")
+    row = zonal_quantiles(df, even, ["day"], asked, "v").first()
+    assert [row[name] for name in asked] == pytest.approx([np.quantile(values, p) for p in asked.values()])
+    with pytest.raises(ValueError, match="probabilities"):
+        zonal_quantiles(df, even, ["day"], {"x": 1.5}, "v")
