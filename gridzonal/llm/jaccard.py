@@ -6,9 +6,12 @@ is known to be common there and is sent once, without them. A document can only
 shared, so most leave here with their set size. Pass two works on one representative for every set: candidates share an n-gram of
 the prefix, rarest first, that two sets must share, with enough n-grams after it in both; each candidate pair's overlap
 is counted fragment by fragment on its own and summed per pair. Candidates come in rounds: first every document with the one of its prefix list
-that has the fewest rarer n-grams; then, in lists that still hold more than one component, all pairs across
-components. Pairs inside a component can't change the result, so a large group of near copies costs its members, not its pairs,
-and no link between components is lost.
+that has the fewest rarer n-grams; then, in lists that still hold more than one component, pairs across
+components. Pairs inside a component can't change the result, so a large group of near copies costs its members, not its pairs.
+Nor do two components cost the product of their members: one representative of each is compared first. The distance
+1 - intersection / union is a metric, so if the representatives are further apart than the threshold and the radii of both
+components allow, no two members can link; if they link themselves, the components are one. Members are paired only between these
+cases, and only where their own distances from the representatives leave it open. No link between components is lost.
 
 Null and empty texts, and texts of separators only, have the empty set and no links; fewer words than the shingle's size are one
 shingle. Repeated rows and ids are documents each; a null id never becomes a component's id unless no other is there. An empty table
@@ -215,19 +218,39 @@ def _oriented(pairs: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def count_links(pairs: DataFrame, segments: DataFrame, percent: int, fragments: int) -> DataFrame:
-    """(x, y) of the pairs that link: overlaps are counted in each fragment separately and summed per pair."""
+def overlaps(pairs: DataFrame, segments: DataFrame, fragments: int) -> DataFrame:
+    """(x, y, nx, ny, common) of the pairs that have anything in common: counted in each fragment separately and summed per pair."""
     spread = pairs.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(fragments - 1))))
     left = segments.select("part", F.col("tag").alias("x"), F.col("segment").alias("left_segment"))
     right = segments.select("part", F.col("tag").alias("y"), F.col("segment").alias("right_segment"))
     both = spread.join(left, ["part", "x"]).join(right, ["part", "y"])
     partial = both.select("x", "y", "nx", "ny", F.size(F.array_intersect("left_segment", "right_segment")).alias("common"))
-    summed = partial.groupBy("x", "y", "nx", "ny").agg(F.sum("common").alias("common"))
+    return partial.groupBy("x", "y", "nx", "ny").agg(F.sum("common").alias("common"))
+
+
+def count_links(pairs: DataFrame, segments: DataFrame, percent: int, fragments: int) -> DataFrame:
+    """(x, y) of the pairs that link."""
+    summed = overlaps(pairs, segments, fragments)
     return summed.filter(f"100 * common >= {percent} * (nx + ny - common)").select("x", "y")
 
 
-def _across(listed: DataFrame, labels: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in the lists that still hold several, without those tested before."""
+def distances(pairs: DataFrame, segments: DataFrame, percent: int, fragments: int) -> DataFrame:
+    """(x, y, distance, linked) of all pairs."""
+    counted = overlaps(pairs, segments, fragments).select("x", "y", "common")
+    whole = pairs.join(counted, ["x", "y"], "left").fillna(0, ["common"])
+    return whole.selectExpr(
+        "x", "y", "1 - common / (nx + ny - common) AS distance", f"100 * common >= {percent} * (nx + ny - common) AS linked"
+    )
+
+
+#: More than rounding can add to a sum of three distances.
+_SLACK = 1e-9
+
+
+def _across(
+    listed: DataFrame, labels: DataFrame, tested: DataFrame, segments: DataFrame, sizes: DataFrame, percent: int, fragments: int
+) -> tuple[DataFrame, DataFrame]:
+    """(links of representatives, pairs of other members that may link): of different components, in the lists that still hold several."""
     known = listed.join(labels, listed.tag == labels.node, "left")
     named = known.select("key", "n", "rest", "tag", F.coalesce("component", "tag").alias("component"))
     named = materialise(named, "named")
@@ -239,10 +262,40 @@ def _across(listed: DataFrame, labels: DataFrame, tested: DataFrame, percent: in
     )
     mixed = materialise(mixed.filter("several > 1").select("key", "held", "main"), "mixed-lists")
     inside = materialise(attach_group(named, mixed, "key", "held"), "mixed")
-    few = inside.filter("component <> main").selectExpr("key", "n AS nx", "rest AS rest_x", "tag AS x", "component AS cx")
-    all_ = inside.selectExpr("key", "n AS ny", "rest AS rest_y", "tag AS y", "component AS cy", "component = main AS in_main")
-    pairs = few.join(all_, "key").filter(f"cx <> cy AND (in_main OR x < y) AND {_bound(percent)}")
-    return _oriented(pairs).join(tested, ["x", "y"], "left_anti")
+
+    # One row per list and component: no member has more n-grams from the key on, or fewer in all.
+    present = inside.groupBy("key", "component", "main").agg(F.min("n").alias("n"), F.max("rest").alias("rest"))
+    present = materialise(present, "list-components")
+    few = present.filter("component <> main").selectExpr("key", "n AS nx", "rest AS rest_x", "component AS x")
+    all_ = present.selectExpr("key", "n AS ny", "rest AS rest_y", "component AS y", "component = main AS in_main")
+    near = few.join(all_, "key").filter(f"x <> y AND (in_main OR x < y) AND {_bound(percent)}")
+    near = near.selectExpr("least(x, y) AS x", "greatest(x, y) AS y").distinct()
+
+    def sized(pairs: DataFrame) -> DataFrame:
+        with_x = pairs.join(sizes.selectExpr("tag AS x", "n AS nx"), "x")
+        return materialise(with_x.join(sizes.selectExpr("tag AS y", "n AS ny"), "y").select("x", "y", "nx", "ny"), "sized")
+
+    # A component's name is its representative.
+    members = sized(inside.filter("tag <> component").selectExpr("component AS x", "tag AS y").distinct())
+    away = distances(members, segments, percent, fragments).selectExpr("y AS tag", "distance AS away")
+    placed = materialise(inside.join(away, "tag", "left").fillna(0.0, ["away"]), "placed")
+    radii = placed.groupBy("component").agg(F.max("away").alias("radius"))
+    apart = materialise(distances(sized(near), segments, percent, fragments), "apart")
+    links = materialise(apart.filter("linked").select("x", "y"), "links")
+    joined = components(links)
+    apart = apart.filter("NOT linked")
+    for side in ("x", "y"):
+        radius = radii.select(F.col("component").alias(side), F.col("radius").alias(f"radius_{side}"))
+        top = joined.select(F.col("node").alias(side), F.col("component").alias(f"top_{side}"))
+        apart = apart.join(radius, side).join(top, side, "left")
+    reach = 1 - percent / 100 + _SLACK
+    apart = apart.filter(f"distance <= {reach} + radius_x + radius_y AND coalesce(top_x, x) <> coalesce(top_y, y)")
+    apart = materialise(apart.selectExpr("x AS cx", "y AS cy", "distance"), "apart")
+
+    left = placed.selectExpr("component AS cx", "key", "n AS nx", "rest AS rest_x", "tag AS x", "away AS away_x")
+    right = placed.selectExpr("component AS cy", "key", "n AS ny", "rest AS rest_y", "tag AS y", "away AS away_y")
+    pairs = apart.join(left, "cx").join(right, ["key", "cy"]).filter(f"distance - away_x - away_y <= {reach} AND {_bound(percent)}")
+    return links, materialise(_oriented(pairs).join(tested, ["x", "y"], "left_anti"), "pairs")
 
 
 def near_components(
@@ -284,8 +337,8 @@ def near_components(
     pairs = materialise(star_pairs(starred, percent), "pairs")
     links = materialise(count_links(pairs, segments, percent, fragments), "links")
     labels = components(links)
-    rest = materialise(_across(listed, labels, pairs.select("x", "y"), percent), "pairs")
-    more = materialise(count_links(rest, segments, percent, fragments), "links")
+    tops, rest = _across(listed, labels, pairs.select("x", "y"), segments, chosen.select("tag", "n"), percent, fragments)
+    more = materialise(count_links(rest, segments, percent, fragments).unionByName(tops), "links")
     if not more.isEmpty():
         joined = more.join(labels.selectExpr("node AS x", "component AS cx"), "x", "left")
         joined = joined.join(labels.selectExpr("node AS y", "component AS cy"), "y", "left")

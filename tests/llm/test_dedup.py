@@ -216,3 +216,30 @@ def test_hot_text_of_a_third(spark):
     gone = repeated_passages(docs)
     assert gone.filter("n_removed = n_bytes").count() >= 299
     assert gone.agg(F.count("*")).first()[0] == 900
+
+
+def template_corpus(spark, count):
+    """Documents of two templates out of four, in an order, and six words of their own: sixteen components, none linked to another."""
+    templates = [words(100 + k, 60, 5000) for k in range(4)]
+    table = []
+    for k in range(count):
+        own = [f"own{k}x{j}" for j in range(6)]
+        table.append((k, " ".join(templates[k % 4] + templates[k // 4 % 4] + own), "en", "a", 1))
+    return spark.createDataFrame(table, DOCS).repartition(4), table
+
+
+def test_components_that_share_templates_are_not_paired_member_by_member(spark, monkeypatch):
+    plain, counted = jaccard.count_links, []
+
+    def counting(pairs, *rest):
+        counted[-1].append(pairs.count())
+        return plain(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "count_links", counting)
+    for count in (128, 512):
+        counted.append([])
+        docs, table = template_corpus(spark, count)
+        found = near_components(docs)
+        assert as_rows(found, "doc_id", "n_shingles", "component_id") == sorted_rows(brute_components([r[:2] for r in table]))
+        assert sum(counted[-1]) <= 4 * count
+    assert sum(counted[1]) <= 5 * sum(counted[0])
