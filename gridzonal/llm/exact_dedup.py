@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridzonal.llm.skew import attach_group
+from gridzonal.llm.skew import attach_group, free_name
 from gridzonal.storage import fresh_path, materialise
 
 BUCKETS = 64
@@ -89,11 +89,12 @@ def exact_groups(
 def keep_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns; of repeated (id, text) rows one stays."""
     groups = materialise(exact_groups(docs, id_col, text_col), "exact-groups")
-    kept = groups.filter("kept").select(F.col(id_col).alias("_keep"), F.col("text_sha256").alias("_digest"))
+    own, keep, digest = (free_name(docs, name) for name in ("_own", "_keep", "_digest"))
+    kept = groups.filter("kept").select(F.col(id_col).alias(keep), F.col("text_sha256").alias(digest))
     text = F.coalesce(docs[text_col], F.lit("")).cast("binary")
-    marked = docs.withColumn("_own", F.sha2(text, 256))
-    same = F.col("_own").eqNullSafe(F.col("_digest")) & F.col(id_col).eqNullSafe(F.col("_keep"))
+    marked = docs.withColumn(own, F.sha2(text, 256))
+    same = F.col(own).eqNullSafe(F.col(digest)) & F.col(id_col).eqNullSafe(F.col(keep))
     left = marked.join(kept, same, "left_semi")
-    if kept.groupBy("_keep", "_digest").count().filter("count > 1").isEmpty():
-        return left.drop("_own")
-    return left.dropDuplicates(["_own"]).drop("_own")
+    if kept.groupBy(keep, digest).count().filter("count > 1").isEmpty():
+        return left.drop(own)
+    return left.dropDuplicates([own]).drop(own)

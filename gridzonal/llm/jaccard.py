@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridzonal.llm.graph import components
-from gridzonal.llm.skew import attach_group
+from gridzonal.llm.skew import attach_group, free_name
 from gridzonal.llm.text import Words, from_planes, mix, raw_texts, shard_of, shingles, slices, to_planes
 from gridzonal.storage import materialise
 
@@ -361,5 +361,6 @@ def near_components(
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents whose id is their component's, with all their columns."""
-    kept = near_components(docs, id_col, text_col).filter("doc_id <=> component_id").select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, docs[id_col].eqNullSafe(F.col("_kept")), "left_semi")
+    name = free_name(docs, "_kept")
+    kept = near_components(docs, id_col, text_col).filter("doc_id <=> component_id").select(F.col("doc_id").alias(name))
+    return docs.join(kept, docs[id_col].eqNullSafe(F.col(name)), "left_semi")

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridzonal.llm.skew import attach_group
+from gridzonal.llm.skew import attach_group, free_name
 from gridzonal.storage import materialise
 
 SEED = "mix-1"
@@ -79,18 +79,12 @@ def mix(
     if clash:
         raise ValueError(f"columns {sorted(clash)} clash with columns of the operator")
     rates = repetition_rates(docs, weights, temperature, epochs)
-    steps = materialise(
-        rates.select(
-            F.coalesce(F.concat(F.lit("s:"), "source"), F.lit("null")).alias("_source"),
-            "n_docs",
-            poisson_steps(F.col("rate")).alias("_steps"),
-        ),
-        "rates",
-    )
-    keyed = docs.withColumn("_source", F.coalesce(F.concat(F.lit("s:"), "source"), F.lit("null")))
-    drawn = attach_group(keyed, steps, "_source", "n_docs").withColumn("_u", _unit(F.lit(seed), "doc_id"))
-    count = F.size(F.filter("_steps", lambda step: step <= F.col("_u")))
-    copies = drawn.withColumn("_count", count).filter("_count > 0")
-    copies = copies.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)))
+    source, held, steps, unit, count = (free_name(docs, name) for name in ("_source", "_held", "_steps", "_u", "_count"))
+    named = F.coalesce(F.concat(F.lit("s:"), "source"), F.lit("null"))
+    known = rates.select(named.alias(source), F.col("n_docs").alias(held), poisson_steps(F.col("rate")).alias(steps))
+    keyed = docs.withColumn(source, named)
+    drawn = attach_group(keyed, materialise(known, "rates"), source, held).withColumn(unit, _unit(F.lit(seed), "doc_id"))
+    copies = drawn.withColumn(count, F.size(F.filter(steps, lambda step: step <= F.col(unit)))).filter(F.col(count) > 0)
+    copies = copies.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col(count) - 1)))
     keyed = copies.withColumn("shuffle_key", _unit(F.lit(seed), F.lit("order"), "doc_id", "copy"))
     return keyed.select(*docs.columns, *ADDED).orderBy("shuffle_key", "doc_id", "copy")

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridzonal.llm.skew import free_name
 from gridzonal.llm.text import Words, mix, raw_texts, slices
 from gridzonal.storage import materialise
 
@@ -137,7 +138,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
     for number in range(PASSES):
         learned = rows.groupBy("shard").applyInArrow(_learner(state.astype(np.float32), number), "rows bigint, state binary")
         # At most SHARDS states of a fixed size.
-        states = learned.collect()
+        # In an order of their own, so that sums don't depend on which comes first.
+        states = sorted(learned.collect(), key=lambda r: (r["rows"], bytes(r["state"])))
         if not states:
             break
         share = [r["rows"] / sum(s["rows"] for s in states) for r in states]
@@ -145,8 +147,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
     return Ftrl(state).weights(slice(None)).astype(np.float32)
 
 
-def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """The columns of ``docs`` with ``_score`` between 0 and 1."""
+def score(docs: DataFrame, weights: np.ndarray, name: str = "_score") -> DataFrame:
+    """The columns of ``docs`` with the score, between 0 and 1, as ``name``."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     names = docs.columns
 
@@ -161,9 +163,9 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
                 dot = np.bincount(rows, weights=w[index], minlength=last - first)
                 out[first:last] = w[-1] + SCALE * dot / np.maximum(number, 1)
             out = 1 / (1 + np.exp(-np.clip(out, -30, 30)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*names, "_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*names, name])
 
-    schema = docs.withColumn("_score", F.lit(0.0)).schema
+    schema = docs.withColumn(name, F.lit(0.0)).schema
     return docs.mapInArrow(run, schema)
 
 
@@ -187,4 +189,5 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The documents predicted 1, with all their columns."""
     weights = train(docs, labels.filter(~held_out()), sample)
-    return score(docs, weights).filter(F.col("_score") >= THRESHOLD).drop("_score")
+    name = free_name(docs, "_score")
+    return score(docs, weights, name).filter(F.col(name) >= THRESHOLD).drop(name)

@@ -15,14 +15,19 @@ def attach_group(rows: DataFrame, groups: DataFrame, key: str, size: str, how: s
     of the input, and are broadcast; no other key can hold more than that part, so the rest is a plain
     shuffle join. Both sides should be written tables: each is read twice. In an inner join ``key`` is not null.
     """
-    total = groups.agg(F.sum(size).alias("_total"))
-    hot = (
-        groups.join(F.broadcast(total), F.col(size) * HOT_SHARE > F.col("_total"))
-        .drop("_total")
-        .withColumn("_hot", F.lit(True))
-    )
+    whole, mark = free_name(groups, "_total"), free_name(rows, "_hot")
+    total = groups.agg(F.sum(size).alias(whole))
+    hot = groups.join(F.broadcast(total), F.col(size) * HOT_SHARE > F.col(whole)).drop(whole).withColumn(mark, F.lit(True))
     marked = rows.join(F.broadcast(hot), key, "left")
     added = [c for c in groups.columns if c != key]
-    common = marked.filter("_hot").select(*rows.columns, *added)
-    rest = marked.filter("_hot IS NULL").select(*rows.columns)
+    common = marked.filter(F.col(mark)).select(*rows.columns, *added)
+    rest = marked.filter(F.col(mark).isNull()).select(*rows.columns)
     return common.unionByName(rest.join(groups, key, how).select(*rows.columns, *added))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as it takes to differ from the columns of ``df``."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+# Names that operators give to columns of their own while they work.
+INNER = ("n_docs", "_held", "_source", "_steps", "_u", "_count", "_score", "_own", "_keep", "_digest", "_kept", "_hot", "_total", "rate", "size")
 # Columns of the input whose names operators use themselves.
 CLASHING = "tag bigint, part int, rank int, length bigint, digest string, component_id bigint, n bigint, slice int"
 
