@@ -268,8 +268,9 @@ def _across(
     present = materialise(present, "list-components")
     few = present.filter("component <> main").selectExpr("key", "n AS nx", "rest AS rest_x", "component AS x")
     all_ = present.selectExpr("key", "n AS ny", "rest AS rest_y", "component AS y", "component = main AS in_main")
-    near = few.join(all_, "key").filter(f"x <> y AND (in_main OR x < y) AND {_bound(percent)}")
-    near = near.selectExpr("least(x, y) AS x", "greatest(x, y) AS y").distinct()
+    lists = few.join(all_, "key").filter(f"x <> y AND (in_main OR x < y) AND {_bound(percent)}")
+    lists = materialise(lists.selectExpr("key", "x AS fx", "y AS fy", "least(x, y) AS cx", "greatest(x, y) AS cy"), "near-lists")
+    near = lists.selectExpr("cx AS x", "cy AS y").distinct()
 
     def sized(pairs: DataFrame) -> DataFrame:
         with_x = pairs.join(sizes.selectExpr("tag AS x", "n AS nx"), "x")
@@ -290,11 +291,14 @@ def _across(
         apart = apart.join(radius, side).join(top, side, "left")
     reach = 1 - percent / 100 + _SLACK
     apart = apart.filter(f"distance <= {reach} + radius_x + radius_y AND coalesce(top_x, x) <> coalesce(top_y, y)")
-    apart = materialise(apart.selectExpr("x AS cx", "y AS cy", "distance"), "apart")
-
-    left = placed.selectExpr("component AS cx", "key", "n AS nx", "rest AS rest_x", "tag AS x", "away AS away_x")
-    right = placed.selectExpr("component AS cy", "key", "n AS ny", "rest AS rest_y", "tag AS y", "away AS away_y")
-    pairs = apart.join(left, "cx").join(right, ["key", "cy"]).filter(f"distance - away_x - away_y <= {reach} AND {_bound(percent)}")
+    apart = materialise(apart.selectExpr("x AS cx", "y AS cy", "distance", "radius_x", "radius_y"), "apart")
+
+    # Members of the component that is not the list's main one come first, and only those far enough out.
+    open_lists = lists.join(apart, ["cx", "cy"]).selectExpr("key", "fx", "fy", "distance", "if(fy = cx, radius_x, radius_y) AS radius")
+    left = placed.selectExpr("component AS fx", "key", "n AS nx", "rest AS rest_x", "tag AS x", "away AS away_x")
+    right = placed.selectExpr("component AS fy", "key", "n AS ny", "rest AS rest_y", "tag AS y", "away AS away_y")
+    outer = open_lists.join(left, ["key", "fx"]).filter(f"distance - away_x - radius <= {reach}")
+    pairs = outer.join(right, ["key", "fy"]).filter(f"distance - away_x - away_y <= {reach} AND {_bound(percent)}")
     return links, materialise(_oriented(pairs).join(tested, ["x", "y"], "left_anti"), "pairs")
 
 
