@@ -178,19 +178,44 @@ def complete_zones(
     """Give every zone a row in every group of ``result``; NULL where it had no cell.
 
     ``result`` comes from ``zonal_stats`` with ``keep_groups``, so that a group in which no zone has a cell is there as
-    well. The zone ids are one broadcast row, and each group adds the ids it lacks: one exchange of the result on
-    the group, no second scan, and no frame of groups x zones. Beyond ``BROADCAST_ROWS`` zones (``zone_rows``, from
-    ``Footprint.zones``), or if their number is not known, the frame is joined instead.
+    well. Its rows stay where they are: zones have dense numbers, the numbers seen in a group are or-ed into words of 64
+    bits before they are exchanged, and only the zones of absent bits are added. Both uses of ``result`` read the same
+    exchange, so there is no second scan. Beyond ``BROADCAST_ROWS`` zones (``zone_rows``, from ``Footprint.zones``), or if
+    their number is not known, the frame of groups x zones is joined instead.
     """
     values = [field for field in result.schema if field.name not in (*by, "zone_id")]
     if zone_rows is None or zone_rows > BROADCAST_ROWS:
         frame = frame_of(result.select(*by).distinct(), zones.select("zone_id"), ["zone_id"])
         return frame.join(result.filter("zone_id IS NOT NULL"), [*by, "zone_id"], "left")
-    row = F.struct("zone_id", *[field.name for field in values])
-    groups = result.groupBy(*by).agg(F.collect_list(F.when(F.col("zone_id").isNotNull(), row)).alias("_seen"))
-    ids = zones.agg(F.collect_list("zone_id").alias("_zones"))
-    absent = F.array_except("_zones", F.transform("_seen", lambda seen: seen["zone_id"]))
     empty = [F.lit(None).cast(field.dataType).alias(field.name) for field in values]
-    added = F.transform(absent, lambda zone: F.struct(zone.alias("zone_id"), *empty))
-    rows = groups.join(F.broadcast(ids)).select(*by, F.explode(F.concat("_seen", added)).alias("_row"))
-    return rows.select(*by, "_row.*")
+    added = _absent_zones(result, zones, by, zone_rows).select(*by, "zone_id", *empty)
+    # The partition keeps the filter from moving below the exchange, which would no longer be that of the other branch.
+    rows = result.withColumn("_at", F.spark_partition_id()).filter("zone_id IS NOT NULL")
+    return rows.select(*by, "zone_id", *[field.name for field in values]).unionByName(added)
+
+
+def _absent_zones(result: DataFrame, zones: DataFrame, by: Sequence[str], zone_rows: int) -> DataFrame:
+    """(*by, zone_id) of the zones that a group lacks, from one 64-bit word of zone numbers per 64 zones."""
+    numbered = (
+        zones.agg(F.sort_array(F.collect_set("zone_id")).alias("_zones"))
+        .select(F.posexplode("_zones").alias("_n", "zone_id"))
+        .select("zone_id", F.shiftright("_n", 6).alias("_word"), F.col("_n").bitwiseAND(63).alias("_bit"))
+    )
+    masks = numbered.groupBy("_word").agg(F.collect_list(F.struct("_bit", "zone_id")).alias("_members"))
+    # Always true; all columns stay in use, so that Spark finds the exchange of the other branch again.
+    read = result.filter(F.hash(*result.columns) >= -(2**31))
+    words = (
+        read.join(F.broadcast(numbered), "zone_id", "left")
+        .groupBy(*by, "_word")
+        .agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits"))
+    )
+    seen = F.collect_list(F.when(F.col("_word").isNotNull(), F.struct("_word", "_bits")))
+    groups = words.groupBy(*by).agg(seen.alias("_seen"))
+    every = F.sequence(F.lit(0), F.lit(max(zone_rows - 1, 0) >> 6))
+    unseen = F.array_except(every, F.transform("_seen", lambda word: word["_word"]))
+    blank = F.transform(unseen, lambda word: F.struct(word.alias("_word"), F.lit(0).cast("long").alias("_bits")))
+    full = groups.select(*by, F.inline(F.concat("_seen", blank))).join(F.broadcast(masks), "_word")
+    lacking = F.filter("_members", lambda member: F.getbit(F.col("_bits"), member["_bit"]) == 0)
+    return full.filter(F.bit_count("_bits") < F.size("_members")).select(*by, F.explode(lacking).alias("_m")).select(
+        *by, F.col("_m.zone_id").alias("zone_id")
+    )
