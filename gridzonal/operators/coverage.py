@@ -194,9 +194,18 @@ def edge_weights(edges: DataFrame, spec: GridSpec) -> DataFrame:
     )
 
 
+def spread_zones(zones: DataFrame) -> DataFrame:
+    """(zone_id, rings), dealt over tasks before rings are cut.
+
+    A row group is read by one task, and rings are small next to the cells they cross: without this, one task would
+    hold the cells of all zones of a row group. The hash is of whole rows, so that parts of one zone are spread too.
+    """
+    return zones.select("zone_id", "rings").repartition(F.xxhash64("zone_id", "rings"))
+
+
 def zone_weights(zones: DataFrame, spec: GridSpec) -> DataFrame:
     """Coverage fraction of every cell a zone touches; constant per (grid, zone layer)."""
-    return edge_weights(zone_edges(zones), spec)
+    return edge_weights(zone_edges(spread_zones(zones)), spec)
 
 
 @dataclass(frozen=True)

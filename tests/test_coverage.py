@@ -203,3 +203,15 @@ def test_global_grid_closes(spark, west, east):
     assert all(0 <= r.ix < 480 for r in rows)
     box = footprint(zones, spec)
     assert box.rows >= len(rows) and all(box.ix_min <= r.ix <= box.ix_max for r in rows)
+
+
+def test_zones_are_dealt_out_before_rings_are_cut(spark, tmp_path):
+    path = str(tmp_path / "zones")
+    zones = {number: [("shell", rectangle(0.5, 0, 2, 1 + number % 2))] for number in range(40)}
+    make_zones(spark, zones).coalesce(1).write.parquet(path)
+    weights = zone_weights(spark.read.parquet(path), GridSpec("g", 0.0, 0.0, 1.0, 1.0, 4, 4))
+    lines = plan_of(weights).splitlines()
+    cut = max(at for at, line in enumerate(lines) if "Generate" in line)
+    assert any("Exchange" in line for line in lines[cut:])
+    areas = dict(map(tuple, weights.groupBy("zone_id").sum("fraction").collect()))
+    assert areas == pytest.approx({number: 1.5 * (1 + number % 2) for number in zones})
