@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridzonal.llm.text import byte_prefix_hashes, from_planes, shard_of, span_hash, to_planes
+from gridzonal.llm.text import byte_prefix_hashes, from_planes, gram_hashes, mix, shard_of, span_hash, to_planes
 from gridzonal.storage import fresh_path, materialise
 
 LENGTH = 50
@@ -65,18 +65,32 @@ def _heads(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], new]))
 
 
-def _firsts(doc: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _grouped(doc: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, heads): entries in ascending order of the keys, equal ones as they were, and where each key begins there.
+
+    ``doc`` ascends already, so the first entry of a key is that of its smallest document.
+    """
+    order = np.argsort(keys[0], kind="stable") if len(keys) == 1 else np.lexsort(keys[::-1])
+    return order, _heads(*(key[order] for key in keys))
+
+
+def _firsts(doc: np.ndarray, order: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(indices, shared): the first entry in document order of every key, and whether other documents of the slice have it."""
-    order = np.lexsort((np.arange(len(doc)), doc, *reversed(keys)))
-    heads = _heads(*(key[order] for key in keys))
     if not len(heads):
         return heads, heads.astype(bool)
     last = order[np.append(heads[1:], len(order)) - 1]
     first = order[heads]
-    back = np.argsort(first, kind="stable")
+    back = np.argsort(first)
     return first[back], (doc[first] != doc[last])[back]
 
 
+def _dealt(shard: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, edges): entries by shard, as they were within each, and where each shard begins there."""
+    # Numbers of 16 bits are sorted by counting.
+    order = np.argsort(shard.astype(np.uint16 if shards <= 1 << 16 else np.uint64), kind="stable")
+    return order, np.concatenate([[0], np.cumsum(np.bincount(shard.astype(np.int64), minlength=shards))])
+
+
 class _Slice:
     """The texts of a slice in ascending id order, and what each pass derives from them and the answers so far."""
 
@@ -101,8 +115,7 @@ class _Slice:
 
     def _blocks(self, step: str, doc: np.ndarray, shard: np.ndarray, keys: list[tuple[np.ndarray, int]]) -> list[tuple]:
         """One row per shard: ids of documents with the number of their entries, and the entries' keys."""
-        order = np.argsort(shard, kind="stable")
-        edges = np.searchsorted(shard[order], np.arange(self.shards + 1))
+        order, edges = _dealt(shard, self.shards)
         rows = []
         for number in np.flatnonzero(np.diff(edges)):
             part = order[edges[number] : edges[number + 1]]
@@ -116,8 +129,9 @@ class _Slice:
     def _states(self, step: str, shard: np.ndarray) -> np.ndarray:
         """The answers to the entries of ``_blocks``, in their own order."""
         out = np.zeros(len(shard), dtype=np.uint8)
+        order, edges = _dealt(shard, self.shards)
         for number, states in self.found.get(step, {}).items():
-            out[np.flatnonzero(shard == number)] = states
+            out[order[edges[number] : edges[number + 1]]] = states
         return out
 
     def runs(self) -> None:
@@ -126,25 +140,29 @@ class _Slice:
         self.first = self.last = self.doc = np.zeros(0, dtype=np.int64)
         self.gram = np.zeros(0, dtype=np.uint64)
         if size >= LENGTH:
-            place = np.arange(size - GRAM + 1)
-            gram = span_hash(self.hashes, place, place + GRAM)
+            gram = gram_hashes(self.hashes, GRAM)
             bits = np.uint64(max(24, size.bit_length()))
-            least, reach, span = ((gram >> bits) << bits) | place.astype(np.uint64), LENGTH - GRAM + 1, 1
+            least, reach, span = (gram >> bits << bits) | np.arange(len(gram), dtype=np.uint64), LENGTH - GRAM + 1, 1
             while span * 2 <= reach:
                 least, span = np.minimum(least[:-span], least[span:]), span * 2
             if reach > span:
                 least = np.minimum(least[: span - reach], least[reach - span :])
             anchor = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-            doc = np.repeat(np.arange(len(self.ends)), self.ends - self.starts)[: len(anchor)]
-            able = (np.arange(len(anchor)) + LENGTH <= self.ends[doc]) & self.known[doc]
-            start, anchor, doc = np.flatnonzero(able), anchor[able], doc[able]
-            heads = _heads(anchor, doc)
-            self.first, self.doc, self.gram = start[heads], doc[heads], gram[anchor[heads]]
-            self.last = start[np.append(heads[1:], len(start)) - 1] if len(heads) else self.first
+            # A run ends where the anchor changes, where a text does, and where less than ``LENGTH`` bytes of it are left.
+            new = np.concatenate([[True], anchor[1:] != anchor[:-1]])
+            for place in (self.starts, np.maximum(self.ends - LENGTH + 1, self.starts)):
+                new[place[place < len(new)]] = True
+            heads = np.flatnonzero(new)
+            doc = np.searchsorted(self.ends, heads, side="right")
+            able = (heads + LENGTH <= self.ends[doc]) & self.known[doc]
+            self.first, self.doc, self.gram = heads[able], doc[able], gram[anchor[heads[able]]]
+            self.last = (np.append(heads[1:], len(new)) - 1)[able]
         self.whole = span_hash(self.hashes, self.first, self.last + LENGTH)
         # A run that an earlier document of the slice has is covered; only the others travel.
-        self.sent, _shared = _firsts(self.same[self.doc], self.gram, self.whole)
-        self.run_shard = shard_of(self.gram[self.sent], self.shards)
+        self.by_run = _grouped(self.same[self.doc], self.gram, self.whole)
+        self.sent, _shared = _firsts(self.same[self.doc], *self.by_run)
+        # Anchors have the smallest hash in reach, so most are small: hashed once more, they fill all shards alike.
+        self.run_shard = shard_of(mix(self.gram[self.sent]), self.shards)
 
     def ask_runs(self) -> list[tuple]:
         keys = [(self.gram[self.sent], 24), (self.whole[self.sent], 16)]
@@ -156,8 +174,7 @@ class _Slice:
         self.state = np.full(len(self.first), COVERED, dtype=np.uint8)
         self.state[self.sent] = states
         # Equal ids: a run of the same document as the first one shares its state.
-        order = np.lexsort((np.arange(len(self.doc)), self.same[self.doc], self.whole, self.gram))
-        heads = _heads(self.gram[order], self.whole[order])
+        order, heads = self.by_run
         own = np.repeat(order[heads], np.diff(np.append(heads, len(order)))) if len(heads) else order
         twin = self.same[self.doc[order]] == self.same[self.doc[own]]
         self.state[order[twin]] = self.state[own[twin]]
@@ -167,7 +184,8 @@ class _Slice:
         self.at = np.arange(int(sizes.sum())) - np.repeat(ends - sizes, sizes) + np.repeat(self.first[open_], sizes)
         self.at_doc = np.repeat(self.doc[open_], sizes)
         self.mark = span_hash(self.hashes, self.at, self.at + LENGTH)
-        self.marked, self.mark_shared = _firsts(self.same[self.at_doc], self.mark)
+        self.by_mark = _grouped(self.same[self.at_doc], self.mark)
+        self.marked, self.mark_shared = _firsts(self.same[self.at_doc], *self.by_mark)
         self.mark_shard = shard_of(self.mark[self.marked], self.shards)
 
     def ask_starts(self) -> list[tuple]:
@@ -176,7 +194,11 @@ class _Slice:
     def suffixes(self) -> None:
         """The suffixes that other documents may have too: sorted, different ones with their first document."""
         repeated = (self._states("starts", self.mark_shard) > 0) | self.mark_shared
-        wanted = np.isin(self.mark, self.mark[self.marked[repeated]])
+        order, heads = self.by_mark
+        chosen = np.zeros(len(self.mark), dtype=bool)
+        chosen[self.marked] = repeated
+        wanted = np.zeros(len(self.mark), dtype=bool)
+        wanted[order] = np.repeat(chosen[order[heads]], np.diff(np.append(heads, len(order))))
         self.at, self.at_doc = self.at[wanted], self.at_doc[wanted]
         text = np.lib.stride_tricks.sliding_window_view(self.data, LENGTH)[self.at] if len(self.at) else np.zeros((0, LENGTH), np.uint8)
         keys = np.ascontiguousarray(text).view(f"S{LENGTH}").reshape(-1)
@@ -203,11 +225,10 @@ class _Slice:
         return rows
 
     def result(self, splitters: np.ndarray) -> pa.Table:
-        covered = np.zeros(len(self.data) + 1, dtype=np.int32)
+        covered = np.zeros(len(self.data) + 1, dtype=np.int64)
 
         def cover(first: np.ndarray, end: np.ndarray) -> None:
-            np.add.at(covered, first, 1)
-            np.add.at(covered, end, -1)
+            covered[:] += np.bincount(first, minlength=len(covered)) - np.bincount(end, minlength=len(covered))
 
         done = self.state == COVERED
         cover(self.first[done], self.last[done] + LENGTH)

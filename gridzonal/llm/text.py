@@ -121,6 +121,13 @@ def span_hash(summed: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(values + (ends - starts).astype(np.uint64))
 
 
+def gram_hashes(summed: np.ndarray, size: int) -> np.ndarray:
+    """``span_hash`` of the ``size`` bytes from every place on that has so many."""
+    values = summed[size:] - summed[:-size]
+    values *= powers(_INVERSE, len(summed))[: len(values)]
+    return mix(values + np.uint64(size))
+
+
 def to_planes(values: np.ndarray) -> bytes:
     """Unsigned integers as byte planes, no wider than the largest needs; equal high bytes compress away."""
     raw = np.ascontiguousarray(values, dtype="<u8").view(np.uint8).reshape(len(values), 8)

@@ -243,3 +243,15 @@ def test_components_that_share_templates_are_not_paired_member_by_member(spark,
         assert as_rows(found, "doc_id", "n_shingles", "component_id") == sorted_rows(brute_components([r[:2] for r in table]))
         assert sum(counted[-1]) <= 4 * count
     assert sum(counted[1]) <= 5 * sum(counted[0])
+
+
+def test_runs_fill_all_shards_alike():
+    import gridzonal.llm.suffixes as suffixes
+
+    generator = random.Random(5)
+    texts = ["".join(generator.choices("abcdefgh ", k=4000)) for _ in range(40)]
+    rows = pa.table({"doc_id": list(range(40)), "text": texts, "slice": pa.array([0] * 40, pa.int32())})
+    held = suffixes._Slice(rows, None, 32)
+    held.runs()
+    counts = np.bincount(held.run_shard.astype(int), minlength=32)
+    assert counts.sum() > 3000 and counts.max() < 2 * counts.mean()
