@@ -25,32 +25,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gridzonal.llm.tokens import encoder, groups
+from gridzonal.llm.tokens import Encoder, encoder, groups
 from gridzonal.storage import materialise
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
+def _cut_batch(batch: pa.RecordBatch, held: Encoder, end: bytes, capacity: int) -> Iterator[pa.RecordBatch]:
+    texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
+    for first, last in groups(texts):
+        out: tuple[list, ...] = ([], [], [], [], [])
+        for doc, coded in zip(ids[first:last], held.encode(texts[first:last])):
+            coded += end
+            for piece, at in enumerate(range(0, len(coded), 4 * capacity)):
+                part = coded[at : at + 4 * capacity]
+                for column, value in zip(out, (doc, piece, at // 4, len(part) // 4, zlib.crc32(part))):
+                    column.append(value)
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(column, kind) for column, kind in zip(out, kinds)],
+            names=["doc_id", "piece", "start", "length", "ids_crc32"],
+        )
+
+
 def _cut(tokenizer: str, end_id: int, capacity: int):
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
-        for batch in batches:
-            texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
-            for first, last in groups(texts):
-                out: tuple[list, ...] = ([], [], [], [], [])
-                for doc, coded in zip(ids[first:last], encode(texts[first:last])):
-                    coded += end
-                    for piece, at in enumerate(range(0, len(coded), 4 * capacity)):
-                        part = coded[at : at + 4 * capacity]
-                        for column, value in zip(out, (doc, piece, at // 4, len(part) // 4, zlib.crc32(part))):
-                            column.append(value)
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(column, kind) for column, kind in zip(out, kinds)],
-                    names=["doc_id", "piece", "start", "length", "ids_crc32"],
-                )
+        held = encoder(tokenizer)
+        try:
+            for batch in batches:
+                yield from _cut_batch(batch, held, end, capacity)
+        finally:
+            held.forget()
 
     return run
 

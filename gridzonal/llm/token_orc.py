@@ -37,25 +37,28 @@ def _encode_sorted(tokenizer: str, end_id: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = 0
-        encode = encoder(tokenizer).encode
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for first, last in groups(texts):
-                parts = [ids + end for ids in encode(texts[first:last])]
-                sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
-                edges = np.concatenate([[0], np.cumsum(sizes)])
-                values = pa.array(np.frombuffer(b"".join(parts), dtype="<i4"))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(first, last - first),
-                        pa.array(sizes),
-                        pa.array(before + edges[:-1]),
-                        batch.column("file_no").slice(first, last - first),
-                        pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), values),
-                    ],
-                    names=["doc_id", "n_tokens", "local_start", "file_no", "ids"],
-                )
-                before += int(edges[-1])
+        held = encoder(tokenizer)
+        try:
+            for batch in batches:
+                texts = batch.column("text").to_pylist()
+                for first, last in groups(texts):
+                    parts = [ids + end for ids in held.encode(texts[first:last])]
+                    sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
+                    edges = np.concatenate([[0], np.cumsum(sizes)])
+                    values = pa.array(np.frombuffer(b"".join(parts), dtype="<i4"))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column("doc_id").slice(first, last - first),
+                            pa.array(sizes),
+                            pa.array(before + edges[:-1]),
+                            batch.column("file_no").slice(first, last - first),
+                            pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), values),
+                        ],
+                        names=["doc_id", "n_tokens", "local_start", "file_no", "ids"],
+                    )
+                    before += int(edges[-1])
+        finally:
+            held.forget()
 
     return run
 

@@ -3,7 +3,8 @@
 The tokenizer's normaliser composes characters, then lower-cases; its splitter never joins characters across white space, nor a letter
 with ASCII punctuation other than an apostrophe. So a text is lower-cased in ASCII and cut at ASCII white space, closing
 punctuation is taken off, each different piece is encoded once by the library and remembered, and a text's ids are joined from
-those of its pieces. Two kinds of pieces are known by their own bytes and encoded as they are: those with the sign ``<|`` of special
+those of its pieces: Arrow cuts a batch of texts and numbers its different pieces, only these are looked up one by one, and
+their ids are gathered by number. Two kinds of pieces are known by their own bytes and encoded as they are: those with the sign ``<|`` of special
 tokens, which are told by their case, and those where a combining mark may follow a capital, since some letters compose in one case
 only. A text of any length is taken whole; null counts as empty. Two generations of at most ``REMEMBERED`` pieces are remembered, so that the memory is bounded and
 frequent pieces stay.
@@ -13,10 +14,14 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from collections.abc import Iterator
-from itertools import accumulate, chain
 
-REMEMBERED = 400_000
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+REMEMBERED = 100_000
 BATCH = 20_000
 
 # ASCII punctuation without the apostrophe, which starts contractions.
@@ -69,47 +74,70 @@ class Encoder:
     def _one(self, piece: str) -> bytes:
         """The ids of a piece that the splitter keeps whole."""
         signs = piece if piece.isascii() else piece.lower().encode().decode("latin-1").translate(self.signs)
-        return b"".join([token.id.to_bytes(4, "little") for token in self.merge(signs)])
-
-    def _learn(self, missing: set[bytes]) -> None:
-        young, old, rest = self.young, self.old, []
-        for piece in missing:
-            got = old.get(piece)
-            if got is not None:
-                young[piece] = got
+        ids = [token.id for token in self.merge(signs)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _coded(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of every piece. Letters and closing punctuation are remembered apart, other pieces whole."""
+        young, old = self.young, self.old
+        coded = list(map(young.get, pieces))
+        rest: list[int] = []
+        for at, ids in enumerate(coded):
+            if ids is not None:
                 continue
+            piece = pieces[at]
             core = piece.rstrip(CLOSING)
-            text, closing = core.decode(), piece[len(core) :].decode()
-            if text and not _LETTERS.fullmatch(text):
-                rest.append(piece)
+            if core and not (core.isalpha() and core.islower()) and not _LETTERS.fullmatch(core.decode()):
+                known = old.get(piece)
+                if known is None:
+                    rest.append(at)
+                else:
+                    coded[at] = young[piece] = known
                 continue
             ids = b""
-            for part in (text, closing):
+            for part in (core, piece[len(core) :]):
                 if part:
-                    key = part.encode()
-                    known = young.get(key) or old.get(key) or self._one(part)
-                    young[key] = known
+                    known = young.get(part)
+                    if known is None:
+                        known = young[part] = old.get(part) or self._one(part.decode())
                     ids += known
-            young[piece] = ids
+            coded[at] = ids
         for start in range(0, len(rest), BATCH):
             part = rest[start : start + BATCH]
-            coded = self.tokenizer.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)
-            for piece, got in zip(part, coded):
-                young[piece] = b"".join([i.to_bytes(4, "little") for i in got.ids])
+            found = self.tokenizer.encode_batch_fast([pieces[at].decode() for at in part], add_special_tokens=False)
+            for at, got in zip(part, found):
+                coded[at] = young[pieces[at]] = struct.pack(f"<{len(got.ids)}I", *got.ids)
+        return coded
+
+    def forget(self) -> None:
+        """To be called at the end of a task: the worker lives on, and what it holds is missing to the stages after."""
+        self.young, self.old = {}, {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text; null counts as empty."""
         if len(self.young) > REMEMBERED:
             self.old, self.young = self.young, {}
-        cut = [_pieces((text or "").encode()) for text in texts]
-        flat = list(chain.from_iterable(cut))
-        coded = list(map(self.young.get, flat))
-        missing = {piece for piece, ids in zip(flat, coded) if ids is None}
-        if missing:
-            self._learn(missing)
-            coded = list(map(self.young.__getitem__, flat))
-        edges = list(accumulate(map(len, cut), initial=0))
-        return [b"".join(coded[a:b]) for a, b in zip(edges, edges[1:])]
+        raw = [(text or "").encode() for text in texts]
+        odd = [row for row, text in enumerate(raw) if _by_case(text)]
+        plain = list(raw)
+        for row in odd:
+            plain[row] = b""
+        cut = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(plain, pa.large_string())))
+        words = cut.flatten().dictionary_encode()
+        coded = self._coded(words.dictionary.cast(pa.large_binary()).to_pylist())
+        sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)) // 4
+        ids = np.frombuffer(b"".join(coded), dtype="<u4")
+        code = words.indices.to_numpy()
+        held = sizes[code]
+        upto = np.concatenate([[0], np.cumsum(held)])
+        # Where the ids of each word's piece are, less where they go.
+        shift = (np.cumsum(sizes) - sizes)[code] - upto[:-1]
+        joined = ids[np.repeat(shift, held) + np.arange(upto[-1])].tobytes()
+        edges = (4 * upto[cut.offsets.to_numpy()]).tolist()
+        out = [joined[a:b] for a, b in zip(edges, edges[1:])]
+        for row in odd:
+            out[row] = b"".join(self._coded(_pieces(raw[row])))
+        return out
 
 
 def encoder(path: str) -> Encoder:

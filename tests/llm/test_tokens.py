@@ -232,3 +232,29 @@ def test_empty_tables(spark):
     assert token_digests(spark, path).isEmpty()
     assert pack(docs, PATH, 0, 2048).isEmpty()
     assert mix(docs).isEmpty()
+
+
+def test_letters_are_remembered_once_whatever_closes_them(library):
+    encoder = Encoder(PATH)
+    texts = ["Harbour, harbour. harbour! (harbour) HARBOUR", None, "  harbour;\n\tharbour, ", ""]
+    for text, got in zip(texts, encoder.encode(texts)):
+        assert got == b"".join(i.to_bytes(4, "little") for i in ids_of(library, text or "")), text
+    assert not {b"harbour,", b"harbour.", b"harbour!", b"harbour;"} & set(encoder.young)
+    assert b"harbour" in encoder.young
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_a_task_leaves_nothing_remembered_in_its_worker(whole):
+    import pyarrow as pa
+
+    from gridzonal.llm import packing, token_orc, tokens
+
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some words here", "and others"], "file_no": pa.array([0, 0], pa.int32())})
+    for run in (packing._cut(PATH, 0, 2048), token_orc._encode_sorted(PATH, 1)):
+        found = run(iter([batch, batch]))
+        assert next(found).num_rows == 2
+        assert tokens.encoder(PATH).young
+        if whole:
+            assert sum(b.num_rows for b in found) == 2
+        found.close()
+        assert not tokens.encoder(PATH).young and not tokens.encoder(PATH).old
