@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from gridzonal.llm.graph import components
 from gridzonal.llm.skew import attach_group, free_name
-from gridzonal.llm.text import Words, from_planes, mix, raw_texts, shard_of, shingles, slices, to_planes
+from gridzonal.llm.text import Words, from_planes, give_back, mix, raw_texts, shard_of, shingles, slices, to_planes
 from gridzonal.storage import materialise
 
 WORDS = 5
@@ -99,6 +99,7 @@ def _segments(size: int, fragments: int):
                     rows.append((number, some, "common", None, None, to_planes(value[common]), to_planes(row[common]), None))
                 yield from _rows(rows).to_batches()
                 number += 1
+        give_back()
 
     return run
 
@@ -130,6 +131,18 @@ def _find_shared(table: pa.Table) -> pa.Table:
     return _rows(rows)
 
 
+def _lean(work):
+    """``work`` on a group, after which the worker keeps nothing of it: the stages that follow need the executor's memory."""
+
+    def run(table: pa.Table) -> pa.Table:
+        try:
+            return work(table)
+        finally:
+            give_back()
+
+    return run
+
+
 SETS = "tag bigint, doc_id bigint, n bigint, sign string, prefix int, items array<bigint>"
 
 
@@ -177,8 +190,8 @@ def shingle_sets(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, fra
     spark = docs.sparkSession
     fragments = fragments or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     sent = docs.mapInArrow(_segments(size, fragments), BLOCKS)
-    answered = sent.groupBy("fragment").applyInArrow(_find_shared, BLOCKS)
-    return answered.groupBy("slice").applyInArrow(_assemble(percent), SETS)
+    answered = sent.groupBy("fragment").applyInArrow(_lean(_find_shared), BLOCKS)
+    return answered.groupBy("slice").applyInArrow(_lean(_assemble(percent)), SETS)
 
 
 def _bound(percent: int) -> str:

@@ -6,6 +6,7 @@ rows an Arrow batch holds; one very long text makes a slice of its own.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,15 @@ def powers(base: np.uint64, size: int) -> np.ndarray:
     return known[:size]
 
 
+def give_back() -> None:
+    """To be called when a task is done with large arrays: the worker lives on, and the C library and Arrow keep freed memory."""
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit values that spreads every input bit over all output bits."""
     values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

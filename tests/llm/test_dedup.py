@@ -255,3 +255,12 @@ def test_runs_fill_all_shards_alike():
     held.runs()
     counts = np.bincount(held.run_shard.astype(int), minlength=32)
     assert counts.sum() > 3000 and counts.max() < 2 * counts.mean()
+
+
+def test_a_task_on_shingles_gives_its_memory_back(monkeypatch):
+    from gridzonal.llm import text
+
+    monkeypatch.setattr(jaccard, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["one two three four five six", "seven"]})
+    sent = pa.Table.from_batches(list(jaccard._segments(5, 2)(iter([batch]))))
+    assert sent.num_rows and not text._powers
