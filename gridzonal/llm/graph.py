@@ -24,15 +24,19 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.filter("x <> y").distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether no node but the smallest of a component has several edges: edges lead from the larger node to the smaller."""
+    lower = edges.select(F.col("x").alias("node"), F.lit(1).alias("up"))
+    ends = lower.unionByName(edges.select(F.col("y").alias("node"), F.lit(0).alias("up")))
+    roles = ends.groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("least_up"))
+    return roles.filter("ups > 1 OR ups = 1 AND least_up = 0").agg(F.count(F.lit(1))).first()[0] == 0
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node that has an edge (x, y)."""
-    current = materialise(edges.select("x", "y").filter("x <> y").distinct(), "edges")
-    before = None
-    while True:
+    larger, smaller = F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")
+    current = materialise(edges.filter("x <> y").select(larger, smaller).distinct(), "edges")
+    while not _settled(current):
         current = materialise(_star(_star(current, True), False), "stars")
-        now = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
     roots = current.select(F.col("y").alias("node")).distinct().withColumn("component", F.col("node"))
     return current.select(F.col("x").alias("node"), F.col("y").alias("component")).unionByName(roots)

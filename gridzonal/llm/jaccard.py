@@ -262,8 +262,11 @@ _SLACK = 1e-9
 
 def _across(
     listed: DataFrame, labels: DataFrame, tested: DataFrame, segments: DataFrame, sizes: DataFrame, percent: int, fragments: int
-) -> tuple[DataFrame, DataFrame]:
-    """(links of representatives, pairs of other members that may link): of different components, in the lists that still hold several."""
+) -> tuple[DataFrame, DataFrame] | None:
+    """(links of representatives, pairs of other members that may link): of different components, in the lists that still hold several.
+
+    None if no two components can link.
+    """
     known = listed.join(labels, listed.tag == labels.node, "left")
     named = known.select("key", "n", "rest", "tag", F.coalesce("component", "tag").alias("component"))
     named = materialise(named, "named")
@@ -283,6 +286,8 @@ def _across(
     all_ = present.selectExpr("key", "n AS ny", "rest AS rest_y", "component AS y", "component = main AS in_main")
     lists = few.join(all_, "key").filter(f"x <> y AND (in_main OR x < y) AND {_bound(percent)}")
     lists = materialise(lists.selectExpr("key", "x AS fx", "y AS fy", "least(x, y) AS cx", "greatest(x, y) AS cy"), "near-lists")
+    if lists.isEmpty():
+        return None
     near = lists.selectExpr("cx AS x", "cy AS y").distinct()
 
     def sized(pairs: DataFrame) -> DataFrame:
@@ -354,9 +359,12 @@ def near_components(
     pairs = materialise(star_pairs(starred, percent), "pairs")
     links = materialise(count_links(pairs, segments, percent, fragments), "links")
     labels = components(links)
-    tops, rest = _across(listed, labels, pairs.select("x", "y"), segments, chosen.select("tag", "n"), percent, fragments)
-    more = materialise(count_links(rest, segments, percent, fragments).unionByName(tops), "links")
-    if not more.isEmpty():
+    across = _across(listed, labels, pairs.select("x", "y"), segments, chosen.select("tag", "n"), percent, fragments)
+    more = None
+    if across is not None:
+        tops, rest = across
+        more = materialise(count_links(rest, segments, percent, fragments).unionByName(tops), "links")
+    if more is not None and not more.isEmpty():
         joined = more.join(labels.selectExpr("node AS x", "component AS cx"), "x", "left")
         joined = joined.join(labels.selectExpr("node AS y", "component AS cy"), "y", "left")
         over = components(joined.selectExpr("coalesce(cx, x) AS x", "coalesce(cy, y) AS y"))

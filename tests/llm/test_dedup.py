@@ -13,12 +13,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from cases import DOCS, as_rows, documents, rows, words
-from gridzonal.llm import jaccard
+from gridzonal.llm import graph, jaccard
 from gridzonal.llm.exact_dedup import append_new, create_index, digests, drop_index, exact_groups, keep_exact
 from gridzonal.llm.graph import components
 from gridzonal.llm.jaccard import keep_one_of_each, near_components
 from gridzonal.llm.suffixes import LENGTH, front_code, merge_runs, repeated_passages
-from gridzonal.storage import fresh_path
+from gridzonal.storage import fresh_path, materialise
 
 
 def sorted_rows(found):
@@ -264,3 +264,27 @@ def test_a_task_on_shingles_gives_its_memory_back(monkeypatch):
     batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["one two three four five six", "seven"]})
     sent = pa.Table.from_batches(list(jaccard._segments(5, 2)(iter([batch]))))
     assert sent.num_rows and not text._powers
+
+
+def test_components_that_are_stars_already_take_no_round(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(graph, "materialise", lambda table, label: written.append(label) or materialise(table, label))
+    pairs = [(1, 5), (7, 1), (1, 7), (3, 2), (4, 4)]
+    found = components(spark.createDataFrame(pairs, "x bigint, y bigint"))
+    assert sorted(map(tuple, found.collect())) == [(1, 1), (2, 2), (3, 2), (5, 1), (7, 1)]
+    assert written == ["edges"]
+    written.clear()
+    found = components(spark.createDataFrame([(1, 2), (3, 2), (9, 3)], "x bigint, y bigint"))
+    assert sorted(map(tuple, found.collect())) == [(1, 1), (2, 1), (3, 1), (9, 1)]
+    assert "stars" in written
+
+
+def test_nothing_is_compared_when_no_list_holds_two_components(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(jaccard, "materialise", lambda table, label: written.append(label) or materialise(table, label))
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base + [f"end{i}"]) for i in range(4)] + [" ".join(f"v{i}" for i in range(30))]
+    table = list(enumerate(texts))
+    found = near_components(spark.createDataFrame(table, "doc_id bigint, text string"))
+    assert as_rows(found, "doc_id", "n_shingles", "component_id") == sorted_rows(brute_components(table))
+    assert "near-lists" in written and "placed" not in written
