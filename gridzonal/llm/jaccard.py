@@ -231,6 +231,16 @@ def _oriented(pairs: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def cut(sets: DataFrame, fragments: int) -> DataFrame:
+    """(tag, part, segment): the items of every set by fragment, which is a range of the n-grams' hashes.
+
+    A set is one row and is cut where it lies; its items are not dealt out one by one.
+    """
+    part = f"shiftright(item * {fragments}, {64 - int(DROPPED_BITS)})"
+    parts = f"transform(sequence(0, {fragments - 1}), p -> filter(items, item -> {part} = p))"
+    return sets.select("tag", F.posexplode(F.expr(parts)).alias("part", "segment")).filter("size(segment) > 0")
+
+
 def overlaps(pairs: DataFrame, segments: DataFrame, fragments: int) -> DataFrame:
     """(x, y, nx, ny, common) of the pairs that have anything in common: counted in each fragment separately and summed per pair."""
     spread = pairs.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(fragments - 1))))
@@ -347,15 +357,7 @@ def near_components(
     listed = listed.select("key", "n", "tag", (F.col("held") - F.col("at")).cast("bigint").alias("rest"))
     starred = materialise(with_stars(materialise(listed, "prefixes")), "starred")
     listed = starred.select("key", "n", "tag", "rest")
-    # A fragment is a range of the n-grams' hashes.
-    part = F.shiftright(F.col("item") * fragments, 64 - int(DROPPED_BITS)).cast("int")
-    segments = materialise(
-        chosen.join(listed.select("tag").distinct(), "tag", "left_semi")
-        .select("tag", F.explode("items").alias("item"))
-        .groupBy("tag", part.alias("part"))
-        .agg(F.collect_list("item").alias("segment")),
-        "segments",
-    )
+    segments = materialise(cut(chosen.join(listed.select("tag").distinct(), "tag", "left_semi"), fragments), "segments")
     pairs = materialise(star_pairs(starred, percent), "pairs")
     links = materialise(count_links(pairs, segments, percent, fragments), "links")
     labels = components(links)

@@ -288,3 +288,27 @@ def test_nothing_is_compared_when_no_list_holds_two_components(spark, monkeypatc
     found = near_components(spark.createDataFrame(table, "doc_id bigint, text string"))
     assert as_rows(found, "doc_id", "n_shingles", "component_id") == sorted_rows(brute_components(table))
     assert "near-lists" in written and "placed" not in written
+
+
+def test_sets_are_cut_into_segments_where_they_lie(spark, monkeypatch):
+    plans = {}
+
+    def spy(table, label):
+        plans[label] = table._jdf.queryExecution().optimizedPlan().toString()
+        return materialise(table, label)
+
+    monkeypatch.setattr(jaccard, "materialise", spy)
+    base = [f"w{i}" for i in range(60)]
+    table = [(i, " ".join(base + [f"end{i}"])) for i in range(4)]
+    found = near_components(spark.createDataFrame(table, "doc_id bigint, text string"))
+    assert as_rows(found, "doc_id", "n_shingles", "component_id") == sorted_rows(brute_components(table))
+    assert "collect_list" not in plans["segments"]
+
+
+@pytest.mark.parametrize("fragments", [1, 4, 7])
+def test_segments_hold_every_item_once(spark, fragments):
+    top = (1 << 56) - 1
+    sets = [(1, [0, top, 5, 1 << 55, 1 << 54, (1 << 54) - 1]), (2, [top]), (3, [])]
+    found = jaccard.cut(spark.createDataFrame(sets, "tag bigint, items array<bigint>"), fragments).collect()
+    assert all(v * fragments >> 56 == r.part for r in found for v in r.segment)
+    assert sorted((r.tag, v) for r in found for v in r.segment) == sorted((t, v) for t, items in sets for v in items)
