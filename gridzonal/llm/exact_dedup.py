@@ -38,8 +38,10 @@ def append_new(keys: DataFrame, name: str, id_col: str = "doc_id", buckets: int
     # The anti-join is finished and written before the table it reads grows.
     found = materialise(missing, "digests")
     path = spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first()["data_type"]
+    # A bucket is dealt out whole, so it gets one file however many tasks write; dealt by digest, each task could hold rows of each bucket.
+    bucket = F.pmod(F.hash("digest"), F.lit(buckets))
     (
-        found.repartition(buckets, "digest")
+        found.repartition(buckets, bucket)
         .write.mode("append")
         .format("parquet")
         .option("path", path)

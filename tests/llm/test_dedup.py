@@ -60,6 +60,22 @@ def test_index_grows_and_finds_what_it_has(spark):
     assert spark.table(name).count() == keys.select("digest").distinct().count()
     plan = keys.hint("merge").join(spark.table(name).hint("merge"), "digest", "left_anti")._jdf.queryExecution().toString()
     assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+
+
+@pytest.mark.parametrize("tasks", [4, 31])
+def test_index_has_a_file_per_bucket_however_many_tasks_write(spark, monkeypatch, tasks):
+    frame = type(spark.range(0))
+    dealt = frame.repartition
+    monkeypatch.setattr(frame, "repartition", lambda self, _number, *keys: dealt(self, tasks, *keys))
+    path, name = fresh_path(spark, "index"), f"digest_index_tasks_{tasks}"
+    keys = digests(spark.range(500).selectExpr("id AS doc_id", "concat('text ', id % 400) AS text"))
+    create_index(spark, name, path, 4)
+    append_new(keys, name, buckets=4)
+    files = [row.file for row in spark.table(name).selectExpr("input_file_name() AS file").distinct().collect()]
+    kept = {row.digest: row.keep_id for row in spark.table(name).collect()}
+    drop_index(spark, name)
+    assert len(files) == 4
+    assert kept == {hashlib.sha256(f"text {i}".encode()).hexdigest(): i + 400 if i < 100 else i for i in range(400)}
     drop_index(spark, name)
 
 
